@@ -1,7 +1,4 @@
-"""Presentation values: rounding, fixed decimals, separators, dates.
-
-Rounding is half-to-even on the decimal value of the double, so ``3.125`` shows as ``3.12``.
-"""
+"""Presentation values: rounding, fixed decimals, separators, dates."""
 
 from __future__ import annotations
 
@@ -13,19 +10,24 @@ from tastewell.constants import NOT_AVAILABLE
 DAY_SECONDS = 86400
 
 
-def rounded(value: Column, places: int) -> Column:
-    return F.bround(value, places)
+def fixed(value: Column, places: int) -> Column:
+    """Text with a fixed number of decimals, rounded by the exact binary value.
 
+    ``format_number`` rounds as C and Python formats do: 2.175 is stored a little below the
+    tie and shows as 2.17, 3.125 is a true tie and shows as 3.12. ``round``, ``bround`` and
+    ``format_string`` go by the shortest decimal text of a double and differ on such values.
+    """
+    return F.replace(F.format_number(value, places), F.lit(","), F.lit(""))
 
-def fixed(value: Column, places: int) -> Column:
-    """Text with a fixed number of decimals."""
-    return F.format_string(f"%.{places}f", rounded(value, places))
+
+def rounded(value: Column, places: int) -> Column:
+    """The number that ``fixed`` shows."""
+    return fixed(value, places).try_cast("double")
 
 
 def signed(value: Column, places: int = 4) -> Column:
     """Text with sign and fixed decimals; null stays null."""
-    text = F.format_string(f"%+.{places}f", rounded(value, places))
-    return F.when(value.isNotNull(), text)
+    return F.concat(F.when(value < 0, "").otherwise("+"), fixed(value, places))
 
 
 def thousands(count: Column) -> Column:

@@ -144,11 +144,11 @@ hybrid AS (
 shown AS (
   SELECT h.userId, h.rank, h.movieId, COALESCE(e.title, 'Unknown') AS title,
          COALESCE(e.genres, 'Unknown') AS genres, COALESCE(e.avg_rating, 0.0) AS avg_rating,
-         round_even(greatest(0.0, least(5.0, h.score)), 2) AS pred_rating
+         CAST(printf('%.2f', greatest(0.0, least(5.0, h.score))) AS DOUBLE) AS pred_rating
   FROM hybrid h JOIN enriched e USING (movieId)),
 listing AS (
   SELECT userId, COUNT(*) AS total,
-         string_agg(title || ' (' || printf('%.1f', round_even(pred_rating, 1)) || '★)', ' | ' ORDER BY rank)
+         string_agg(title || ' (' || printf('%.1f', pred_rating) || '★)', ' | ' ORDER BY rank)
            AS details
   FROM shown GROUP BY 1)
 """
@@ -208,7 +208,7 @@ WIDE_BINS = ", ".join(
     f"COUNT(*) FILTER (WHERE rating = {b / 2.0}) AS r_{str(b / 2.0).replace('.', '_')}" for b in range(1, 11)
 )
 SERIALISED = """SELECT userId, string_agg(movieId || ':' || printf('%.2f',
-  round_even(greatest(0.0, least(5.0, score)), 2)), ',' ORDER BY rank) AS items FROM als GROUP BY 1"""
+  greatest(0.0, least(5.0, score))), ',' ORDER BY rank) AS items FROM als GROUP BY 1"""
 CBF_TOP = f"""
 , chosen AS (
   SELECT * FROM features WHERE avg_rating >= {MIN_AVERAGE} AND rating_count >= {MIN_VOTES}
@@ -250,7 +250,7 @@ def statements() -> dict[str, str]:
             "SELECT userId, movieId, tag, CASE WHEN tag IN ('urgent', 'low') THEN ts ELSE 0 END AS ts FROM tags"
         ),
         "result_files_merged": _sql(
-            "SELECT movieId, title, genres, round_even(avg_rating, 2) AS avg_rating, rating_count FROM enriched"
+            "SELECT movieId, title, genres, CAST(printf('%.2f', avg_rating) AS DOUBLE) AS avg_rating, rating_count FROM enriched"
         ),
         "genre_result_files": _sql("SELECT * FROM genre_stats"),
         "stored_statistics": _sql(
@@ -264,7 +264,7 @@ def statements() -> dict[str, str]:
         ),
         "movie_rating_count": _sql("SELECT movieId, rating_count FROM raw_stats"),
         "movie_avg_rating": _sql(
-            "SELECT movieId, avg_rating, round_even(avg_rating, 2) AS avg_shown FROM raw_stats"
+            "SELECT movieId, avg_rating, CAST(printf('%.2f', avg_rating) AS DOUBLE) AS avg_shown FROM raw_stats"
         ),
         "genre_count": _sql("SELECT * FROM genre_stats"),
         "genre_summary": _sql(
@@ -341,7 +341,7 @@ def statements() -> dict[str, str]:
         "recs_flat": _sql("SELECT userId, rank, movieId, round(score, 6) AS score FROM als", LISTS),
         "recs_serialized": _sql(SERIALISED, LISTS),
         "recs_parsed": _sql(
-            "SELECT userId, rank, movieId, round_even(greatest(0.0, least(5.0, score)), 2) AS score FROM als",
+            "SELECT userId, rank, movieId, CAST(printf('%.2f', greatest(0.0, least(5.0, score))) AS DOUBLE) AS score FROM als",
             LISTS,
         ),
         "recs_movies": _sql("SELECT DISTINCT movieId FROM als", LISTS),
@@ -385,7 +385,7 @@ long_predictions AS (
         "recs_for_user_by_model": _sql(
             "SELECT a.userId, a.rank, a.movieId, COALESCE(e.title, 'Unknown') AS title, "
             "COALESCE(e.genres, 'Unknown') AS genres, COALESCE(e.avg_rating, 0.0) AS avg_rating, "
-            "round_even(greatest(0.0, least(5.0, a.score)), 2) AS pred_rating "
+            "CAST(printf('%.2f', greatest(0.0, least(5.0, a.score))) AS DOUBLE) AS pred_rating "
             "FROM als a JOIN enriched e USING (movieId) WHERE a.rank <= 10",
             LISTS,
         ),
@@ -419,8 +419,8 @@ long_predictions AS (
             RUNS,
         ),
         "latest_run": _sql(
-            "SELECT upper(winner_model) AS winner_model, printf('%.4f', round_even(rmse, 4)) AS rmse, "
-            "printf('%+.4f', round_even(rmse_change, 4)) AS rmse_delta FROM newest",
+            "SELECT upper(winner_model) AS winner_model, printf('%.4f', rmse) AS rmse, "
+            "printf('%+.4f', rmse_change) AS rmse_delta FROM newest",
             RUNS,
         ),
         "model_comparison": _sql(
@@ -429,16 +429,16 @@ long_predictions AS (
         "overview_report": _sql(
             "SELECT format('{:,}', user_count) AS user_count, format('{:,}', movie_count) AS movie_count, "
             "format('{:,}', rating_count) AS rating_count, "
-            "(SELECT printf('%.4f', round_even(rmse, 4)) FROM newest) AS rmse_score, "
-            "(SELECT printf('%+.4f', round_even(rmse_change, 4)) FROM newest) AS rmse_delta FROM overview",
+            "(SELECT printf('%.4f', rmse) FROM newest) AS rmse_score, "
+            "(SELECT printf('%+.4f', rmse_change) FROM newest) AS rmse_delta FROM overview",
             RUNS,
         ),
         "report_rows": _sql(
             "SELECT 'scale' AS section, 'ratings' AS label, format('{:,}', rating_count) AS value FROM overview "
             "UNION ALL SELECT 'scale', 'movies', format('{:,}', movie_count) FROM overview "
             "UNION ALL SELECT 'scale', 'users', format('{:,}', user_count) FROM overview "
-            "UNION ALL SELECT 'models', upper(model), 'RMSE = ' || printf('%.4f', round_even(rmse, 4)) "
-            "|| ' | MAE = ' || printf('%.4f', round_even(mae, 4)) FROM newest_models "
+            "UNION ALL SELECT 'models', upper(model), 'RMSE = ' || printf('%.4f', rmse) "
+            "|| ' | MAE = ' || printf('%.4f', mae) FROM newest_models "
             "UNION ALL SELECT 'genres', genre, CAST(count AS VARCHAR) FROM "
             "(SELECT * FROM genre_stats ORDER BY count DESC, genre LIMIT 3)",
             RUNS,
