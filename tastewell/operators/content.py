@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
@@ -18,30 +17,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastewell.constants import (
-    AVERAGE_WEIGHT,
     DEFAULT_RATING,
     LIKE_THRESHOLD,
     LIKES_PER_USER,
     LIST_SIZE,
     MAX_CANDIDATES,
-    MAX_SCORE,
+    NO_GENRES,
     QUALITY_MIN_AVERAGE,
     QUALITY_MIN_VOTES,
-    SIMILARITY_WEIGHT,
     TAGS_PER_MOVIE,
     TEXT_DIMENSIONS,
-    NO_GENRES,
 )
 from tastewell.functions.genres import genre_text
 from tastewell.functions.ranking import top_per_key
 from tastewell.functions.scores import norm, similarity_rating, sparse_dot
+from tastewell.operators.scoring import TOP_SCHEMA, score_pass
 
-# Scores are compared after rounding, so block layout cannot change an order.
-SCORE_DECIMALS = 9
 # Bound of what one scoring pass ships to every executor: 5,000 x 512 doubles are 20 MB.
 CANDIDATES_PER_PASS = 5000
-USERS_PER_BLOCK = 2048
-TOP_SCHEMA = "userId int, rank int, movieId int, score double"
 
 
 def movie_tags_text(tags: DataFrame, limit: int = TAGS_PER_MOVIE) -> DataFrame:
@@ -192,34 +185,6 @@ def quality_candidates(
     )
 
 
-def _dense(idx: pd.Series, val: pd.Series, dimensions: int) -> np.ndarray:
-    """Sparse rows as one dense block."""
-    block = np.zeros((len(idx), dimensions))
-    lengths = np.fromiter((len(i) for i in idx), dtype=np.int64, count=len(idx))
-    if lengths.sum():
-        rows = np.repeat(np.arange(len(idx)), lengths)
-        block[rows, np.concatenate(idx.to_numpy())] = np.concatenate(val.to_numpy())
-    return block
-
-
-def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, column and place (from 0) of the ``k`` best scores of each row.
-
-    Equal scores go to the lower column. Only scores at or above the k-th are sorted.
-    """
-    width = scores.shape[1]
-    if width > k:
-        floor = np.partition(scores, width - k, axis=1)[:, width - k]
-        rows, cols = np.nonzero(scores >= floor[:, None])
-    else:
-        rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    kept = place < k
-    return rows[kept], cols[kept], place[kept]
-
-
 def content_top_k(
     profiles: DataFrame,
     candidates: DataFrame,
@@ -237,7 +202,7 @@ def content_top_k(
     """
     users = profiles.filter(F.col("norm") > 0).select("userId", "idx", "val", "norm")
     passes = [
-        _score_pass(users, block, k, dimensions)
+        score_pass(users, block, k, dimensions)
         for block in _candidate_blocks(candidates, per_pass)
     ]
     if not passes:
@@ -267,39 +232,6 @@ def _candidate_blocks(candidates: DataFrame, per_pass: int) -> Iterator[pd.DataF
         after = int(block["movieId"].iloc[-1])
 
 
-def _score_pass(users: DataFrame, block: pd.DataFrame, k: int, dimensions: int) -> DataFrame:
-    norms = block["norm"].to_numpy(dtype=float)
-    items = _dense(block["idx"], block["val"], dimensions)
-    items /= np.where(norms > 0, norms, 1.0)[:, None]
-    shipped = users.sparkSession.sparkContext.broadcast(
-        (
-            np.ascontiguousarray(items.T),
-            block["movieId"].to_numpy(dtype=np.int32),
-            block["avg_rating"].to_numpy(dtype=float) / MAX_SCORE * AVERAGE_WEIGHT,
-        )
-    )
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matrix, movie_ids, base = shipped.value
-        for batch in batches:
-            for start in range(0, len(batch), USERS_PER_BLOCK):
-                part = batch.iloc[start : start + USERS_PER_BLOCK]
-                vectors = _dense(part["idx"], part["val"], dimensions)
-                vectors /= part["norm"].to_numpy(dtype=float)[:, None]
-                scores = np.round(SIMILARITY_WEIGHT * (vectors @ matrix) + base, SCORE_DECIMALS)
-                rows, cols, place = best_columns(scores, k)
-                yield pd.DataFrame(
-                    {
-                        "userId": part["userId"].to_numpy()[rows],
-                        "rank": place + 1,
-                        "movieId": movie_ids[cols],
-                        "score": scores[rows, cols],
-                    }
-                )
-
-    return users.mapInPandas(score, TOP_SCHEMA)
-
-
 def content_predictions(test: DataFrame, profiles: DataFrame, vectors: DataFrame) -> DataFrame:
     """Test rows with ``pred_cbf``: similarity on the rating scale, a default where unknown.
 
