@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from tastewell.constants import ALS_RANK, ALS_REGULARISATION, LIST_SIZE, SPLIT_SEED
 from tastewell.session import enable_checkpoints
 
-MIN_BLOCKS = 10
+MIN_BLOCKS = 2
 MAX_BLOCKS = 1000
 
 
 def _blocks(spark: SparkSession) -> int:
-    """One block per core, within limits: blocks exchange data pairwise."""
+    """One block per core and so one wave of tasks, within limits: blocks exchange data pairwise."""
     return min(MAX_BLOCKS, max(MIN_BLOCKS, spark.sparkContext.defaultParallelism))
 
 

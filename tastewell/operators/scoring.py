@@ -27,7 +27,8 @@ def dense_rows(idx: pd.Series, val: pd.Series, dimensions: int) -> np.ndarray:
     lengths = np.fromiter((len(i) for i in idx), dtype=np.int64, count=len(idx))
     if lengths.sum():
         rows = np.repeat(np.arange(len(idx)), lengths)
-        block[rows, np.concatenate(idx.to_numpy())] = np.concatenate(val.to_numpy())
+        cols = np.concatenate(idx.to_numpy(), dtype=np.int64, casting="unsafe")
+        block[rows, cols] = np.concatenate(val.to_numpy())
     return block
 
 
