@@ -12,7 +12,10 @@ from tastewell.operators.statistics import movies_with_votes
 
 
 def blend_lists(als: DataFrame, cbf: DataFrame, scale: str = "reference") -> DataFrame:
-    """Both lists as one, ``userId, movieId, score``.
+    """Both lists as one, ``userId, movieId, score``: a full outer join on user and movie.
+
+    Every list holds a movie once, so the join is written as a grouped union: one shuffle, and
+    the result stays partitioned by user and movie for the history filter that follows.
 
     ``scale="reference"`` blends the scores as they are, though content scores end at 1 and
     factor scores at 5; ``scale="rating"`` first brings content scores to the rating scale.
@@ -20,10 +23,18 @@ def blend_lists(als: DataFrame, cbf: DataFrame, scale: str = "reference") -> Dat
     if scale not in ("reference", "rating"):
         raise ValueError(f"unknown scale {scale!r}")
     factor = MAX_SCORE if scale == "rating" else 1.0
-    left = als.select("userId", "movieId", F.col("score").alias("score_als"))
-    right = cbf.select("userId", "movieId", (F.col("score") * factor).alias("score_cbf"))
-    return left.join(right, ["userId", "movieId"], "full_outer").select(
-        "userId", "movieId", blended(F.col("score_als"), F.col("score_cbf")).alias("score")
+    none = F.lit(None).cast("double")
+    both = als.select(
+        "userId", "movieId", F.col("score").alias("score_als"), none.alias("score_cbf")
+    ).unionByName(
+        cbf.select(
+            "userId", "movieId", none.alias("score_als"), (F.col("score") * factor).alias("score_cbf")
+        )
+    )
+    return (
+        both.groupBy("userId", "movieId")
+        .agg(F.max("score_als").alias("score_als"), F.max("score_cbf").alias("score_cbf"))
+        .select("userId", "movieId", blended(F.col("score_als"), F.col("score_cbf")).alias("score"))
     )
 
 

@@ -113,14 +113,24 @@ def user_rating_pages(
 
 
 def user_history(
-    ratings: DataFrame, movies: DataFrame, users: Sequence[int] | None = None
+    ratings: DataFrame,
+    movies: DataFrame,
+    users: Sequence[int] | None = None,
+    places: bool = False,
 ) -> DataFrame:
-    """Ratings with title, genres and date.
+    """Ratings with title, genres and date; a movie not in the table shows as ``ID:`` and its id.
 
-    A movie that is not in the table shows as ``ID:`` and its id.
+    ``places`` adds ``ordinal``, the place in the user's history: newest first, then best
+    rated, undated last. Long histories are numbered in parts of one day, rating and range of
+    movie ids, before titles are joined.
     """
+    dated = _of_users(ratings, users).withColumn("date", epoch_date(F.col("ts")))
+    if places:
+        day = F.coalesce("date", F.lit("0001-01-01").cast("date"))
+        parts = [(day, True), (F.col("rating"), True), (F.floor(F.col("movieId") / 1024), False)]
+        dated = numbered(dated, ["userId"], parts, [F.asc("movieId")])
     known = movies.select("movieId", "title", "genres", F.lit(True).alias("known"))
-    return _of_users(ratings, users).join(known, "movieId", "left").select(
+    return dated.join(known, "movieId", "left").select(
         "userId",
         "movieId",
         F.when(F.col("known"), F.coalesce("title", F.lit(UNKNOWN)))
@@ -130,25 +140,8 @@ def user_history(
         .otherwise(UNKNOWN)
         .alias("genres"),
         "rating",
-        epoch_date(F.col("ts")).alias("date"),
-    )
-
-
-def numbered_history(history: DataFrame) -> DataFrame:
-    """History with its place: newest first, then best rated, undated last.
-
-    Long histories are numbered in parts of one day, rating and range of movie ids.
-    """
-    undated = F.lit("0001-01-01").cast("date")
-    return numbered(
-        history,
-        ["userId"],
-        [
-            (F.coalesce("date", undated), True),
-            (F.col("rating"), True),
-            (F.floor(F.col("movieId") / 1024), False),
-        ],
-        [F.asc("movieId")],
+        "date",
+        *(["ordinal"] if places else []),
     )
 
 

@@ -260,7 +260,7 @@ def statements() -> dict[str, str]:
             "UNION ALL SELECT 'system_stats', 1, COUNT(*) FROM ratings_raw"
         ),
         "stored_recommendations": _sql(
-            "SELECT 'hybrid' AS model, userId, rank, movieId, round(score, 6) AS score FROM hybrid", LISTS
+            "SELECT 'hybrid' AS model, userId, rank, movieId, score FROM hybrid", LISTS
         ),
         "movie_rating_count": _sql("SELECT movieId, rating_count FROM raw_stats"),
         "movie_avg_rating": _sql(
@@ -293,7 +293,7 @@ def statements() -> dict[str, str]:
         "user_history": _sql("SELECT * FROM history"),
         "user_history_numbered": _sql(
             "SELECT userId, ROW_NUMBER() OVER (PARTITION BY userId ORDER BY date DESC NULLS LAST, rating DESC, "
-            "movieId) AS ordinal, movieId, rating, date FROM history"
+            "movieId) AS ordinal, movieId, title, rating, date FROM history"
         ),
         "user_history_summary": _sql(
             "SELECT userId, COUNT(*) AS rated, AVG(rating) AS avg_rating FROM ratings GROUP BY 1"
@@ -325,7 +325,7 @@ def statements() -> dict[str, str]:
             f"AND rating_count >= {MIN_VOTES} ORDER BY rating_count DESC, avg_rating DESC, movieId LIMIT 1000"
         ),
         "cbf_topk": _text(
-            "SELECT userId, rank, movieId, round(score, 6) AS score FROM (SELECT *, CAST(ROW_NUMBER() OVER "
+            "SELECT userId, rank, movieId, score FROM (SELECT *, CAST(ROW_NUMBER() OVER "
             "(PARTITION BY userId ORDER BY score DESC, movieId) AS INT) AS rank FROM scored) WHERE rank <= 10",
             profile + CBF_TOP,
         ),
@@ -338,7 +338,7 @@ def statements() -> dict[str, str]:
             "SELECT 'train' AS side, COUNT(*) AS rows, SUM(rating) AS total FROM train "
             "UNION ALL SELECT 'test', COUNT(*), SUM(rating) FROM test"
         ),
-        "recs_flat": _sql("SELECT userId, rank, movieId, round(score, 6) AS score FROM als", LISTS),
+        "recs_flat": _sql("SELECT userId, rank, movieId, score FROM als", LISTS),
         "recs_serialized": _sql(SERIALISED, LISTS),
         "recs_parsed": _sql(
             "SELECT userId, rank, movieId, CAST(printf('%.2f', greatest(0.0, least(5.0, score))) AS DOUBLE) AS score FROM als",
@@ -349,23 +349,23 @@ def statements() -> dict[str, str]:
             "SELECT greatest(0.0, least(5.0, rating * 2 - 3)) AS score, COUNT(*) AS rows FROM ratings_raw GROUP BY 1"
         ),
         "history_filter": _sql(
-            "SELECT userId, rank, movieId, round(score, 6) AS score FROM als a WHERE NOT EXISTS "
+            "SELECT userId, rank, movieId, score FROM als a WHERE NOT EXISTS "
             "(SELECT 1 FROM train t WHERE t.userId = a.userId AND t.movieId = a.movieId)",
             LISTS,
         ),
         "min_votes_filter": _sql(
-            "SELECT userId, rank, movieId, round(score, 6) AS score FROM als WHERE movieId IN "
+            "SELECT userId, rank, movieId, score FROM als WHERE movieId IN "
             f"(SELECT movieId FROM ratings GROUP BY 1 HAVING COUNT(*) >= {LIST_MIN_VOTES})",
             LISTS,
         ),
-        "hybrid_blend": _sql("SELECT userId, movieId, round(score, 6) AS score FROM blend", LISTS),
+        "hybrid_blend": _sql("SELECT userId, movieId, score FROM blend", LISTS),
         "hybrid_blend_rating_scale": _sql(
-            "SELECT userId, movieId, round(CASE WHEN a.score IS NOT NULL AND c.score IS NOT NULL "
+            "SELECT userId, movieId, CASE WHEN a.score IS NOT NULL AND c.score IS NOT NULL "
             "THEN a.score * 0.7 + c.score * 5.0 * 0.3 WHEN a.score IS NOT NULL THEN a.score "
-            "ELSE c.score * 5.0 END, 6) AS score FROM als a FULL JOIN cbf c USING (userId, movieId)",
+            "ELSE c.score * 5.0 END AS score FROM als a FULL JOIN cbf c USING (userId, movieId)",
             LISTS,
         ),
-        "hybrid_lists": _sql("SELECT userId, rank, movieId, round(score, 6) AS score FROM hybrid", LISTS),
+        "hybrid_lists": _sql("SELECT userId, rank, movieId, score FROM hybrid", LISTS),
         "hybrid_eval": _text(
             _errors("long_predictions", "p", "model"),
             fitted
@@ -391,7 +391,7 @@ long_predictions AS (
         ),
         "community_vs_predicted": _sql(
             "SELECT userId, movieId, title, avg_rating, pred_rating, "
-            "round(pred_rating - avg_rating, 6) AS difference FROM shown",
+            "pred_rating - avg_rating AS difference FROM shown",
             LISTS,
         ),
         "recs_listing": _sql("SELECT * FROM listing ORDER BY CAST(userId AS VARCHAR) LIMIT 100", LISTS),

@@ -260,7 +260,7 @@ def stored_recommendations(spark, sf):
     root = scratch_path(spark, "store")
     write_table(surrogate_lists(spark, sf), root, "recommendations")
     stored = read_table(spark, root, "recommendations").filter("is_winner")
-    return _rounded(stored.select("model", "userId", "rank", "movieId", "score"), "score")
+    return stored.select("model", "userId", "rank", "movieId", "score")
 
 
 # --- Statistics -------------------------------------------------------------------------
@@ -323,8 +323,10 @@ def user_history(spark, sf):
 
 
 def user_history_numbered(spark, sf):
-    numbered = rp.numbered_history(_history(spark, sf))
-    return numbered.select("userId", "ordinal", "movieId", "rating", F.col("date").cast("string").alias("date"))
+    placed = rp.user_history(fx.ratings(spark, sf), fx.movies(spark, sf), places=True)
+    return placed.select(
+        "userId", "ordinal", "movieId", "title", "rating", F.col("date").cast("string").alias("date")
+    )
 
 
 def user_history_summary(spark, sf):
@@ -396,7 +398,7 @@ def _content_lists(spark, sf) -> DataFrame:
 
 
 def cbf_topk(spark, sf):
-    return _rounded(_content_lists(spark, sf), "score")
+    return _content_lists(spark, sf)
 
 
 def _content_predictions(spark, sf) -> DataFrame:
@@ -427,7 +429,7 @@ def split_counts(spark, sf):
 
 def recs_flat(spark, sf):
     """Lists gathered per user and taken apart again."""
-    return _rounded(li.to_flat(li.to_lists(surrogate_als(spark, sf))), "score")
+    return li.to_flat(li.to_lists(surrogate_als(spark, sf)))
 
 
 def recs_serialized(spark, sf):
@@ -453,21 +455,21 @@ def scores_clamped(spark, sf):
 
 def history_filter(spark, sf):
     train, _ = split_by_key(fx.ratings(spark, sf))
-    return _rounded(hy.without_rated(surrogate_als(spark, sf), train), "score")
+    return hy.without_rated(surrogate_als(spark, sf), train)
 
 
 def min_votes_filter(spark, sf):
     ratings = written(fx.ratings(spark, sf), "ratings")
-    return _rounded(hy.with_enough_votes(surrogate_als(spark, sf), ratings, LIST_MIN_VOTES), "score")
+    return hy.with_enough_votes(surrogate_als(spark, sf), ratings, LIST_MIN_VOTES)
 
 
 def hybrid_blend(spark, sf):
-    return _rounded(hy.blend_lists(surrogate_als(spark, sf), surrogate_cbf(spark, sf)), "score")
+    return hy.blend_lists(surrogate_als(spark, sf), surrogate_cbf(spark, sf))
 
 
 def hybrid_blend_rating_scale(spark, sf):
     blended = hy.blend_lists(surrogate_als(spark, sf), surrogate_cbf(spark, sf), "rating")
-    return _rounded(blended, "score")
+    return blended
 
 
 def hybrid_lists(spark, sf):
@@ -475,7 +477,7 @@ def hybrid_lists(spark, sf):
     lists = hy.hybrid_top_k(
         surrogate_als(spark, sf), surrogate_cbf(spark, sf), train, min_votes=LIST_MIN_VOTES
     )
-    return _rounded(lists, "score")
+    return lists
 
 
 def hybrid_eval(spark, sf):
@@ -504,7 +506,7 @@ def recs_for_user_by_model(spark, sf):
 
 def community_vs_predicted(spark, sf):
     shown = rp.recommendations_for(surrogate_lists(spark, sf), enriched(spark, sf))
-    return _rounded(rp.community_comparison(shown), "difference")
+    return rp.community_comparison(shown)
 
 
 def recs_listing(spark, sf):

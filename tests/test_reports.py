@@ -82,7 +82,7 @@ def test_history_views(spark, movies, rows):
         "userId int, movieId int, rating double, ts long",
     )
     history = rp.user_history(ratings, movies)
-    numbered = rp.numbered_history(history).orderBy("ordinal").collect()
+    numbered = rp.user_history(ratings, movies, places=True).orderBy("ordinal").collect()
     assert [(r.movieId, r.title, r.genres, str(r.date)) for r in numbered] == [
         (4, "Four", "Drama", "1970-01-10"),
         (2, "Unknown", "--", "1970-01-06"),
