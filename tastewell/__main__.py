@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from tastewell.plans.statistics_job import load_store
 from tastewell.plans.training import TrainingConfig, chosen_models, run_training
+from tastewell.session import discard_scratch
 
 
 def main() -> None:
@@ -31,6 +32,7 @@ def main() -> None:
             config = TrainingConfig(models=chosen_models(args.model))
             run_training(spark, args.store, args.run_id, config).show(truncate=False)
     finally:
+        discard_scratch(spark)
         spark.stop()
 
 

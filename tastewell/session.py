@@ -28,10 +28,22 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tastewell-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, grouped by application."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/tastewell-{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to the shared folder.
+
+    For the end of a job: frames made by ``written`` cannot be read any more.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -87,3 +87,12 @@ def test_best_columns_against_sorting(height, width, k, seed):
         for p, c in enumerate(sorted(range(width), key=lambda c: (-scores[r, c], c))[:k])
     ]
     assert list(zip(got_rows, got_cols, place)) == expected
+
+
+def test_written_frames_live_in_the_named_folder(spark, rows):
+    from tastewell.session import shared_folder, written
+
+    df = spark.createDataFrame([(1, [1.5]), (2, [])], "a int, b array<double>")
+    copy = written(df, "copy")
+    assert rows(copy) == rows(df) and copy.schema.simpleString() == df.schema.simpleString()
+    assert shared_folder(spark) in copy.inputFiles()[0]

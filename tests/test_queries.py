@@ -55,4 +55,4 @@ def test_partition_count_does_not_matter(spark, rows, name):
     try:
         assert rows(query(spark, SF)) == many
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
