@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from tastewell import schemas
 from tastewell.constants import (
@@ -42,7 +41,7 @@ from tastewell.operators.hybrid import hybrid_predictions, hybrid_top_k
 from tastewell.operators.ratings import split_by_key
 from tastewell.operators.statistics import movie_statistics
 from tastewell.session import written
-from tastewell.sources.tables import load_dataset, read_table, write_table
+from tastewell.sources.tables import load_dataset, read_table, table_exists, write_table
 
 
 @dataclass
@@ -146,12 +145,9 @@ def recommendation_lists(
 
 def _kept_lists(spark: SparkSession, root: str, models: Sequence[str]) -> DataFrame | None:
     """Stored lists of models that are not part of this run; they no longer win."""
-    try:
-        stored = read_table(spark, root, "recommendations")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not table_exists(spark, root, "recommendations"):
+        return None
+    stored = read_table(spark, root, "recommendations")
     return stored.filter(~F.col("model").isin(list(models))).withColumn("is_winner", F.lit(False))
 
 

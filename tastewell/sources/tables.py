@@ -23,6 +23,11 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def table_exists(spark: SparkSession, root: str, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, name))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A stored table; fails when its schema is not the expected one."""
     stored = spark.read.parquet(table_path(root, name))
