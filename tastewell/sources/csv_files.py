@@ -21,15 +21,22 @@ POSITION = "_position"
 
 
 def _read_text_fields(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str], multi_line: bool
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str],
+    multi_line: bool,
+    check_header: bool = False,
 ) -> DataFrame:
-    """All columns as text, plus the raw text of rows with too few or too many fields."""
+    """All columns as text, plus the raw text of rows with too few or too many fields.
+
+    ``check_header`` fails on a file whose header differs; otherwise position counts.
+    """
     fields = [T.StructField(name, T.StringType()) for name in [*columns, RAW]]
     return spark.read.csv(
         path,
         schema=T.StructType(fields),
         header=True,
-        enforceSchema=True,
+        enforceSchema=not check_header,
         quote='"',
         escape='"',
         multiLine=multi_line,
@@ -44,13 +51,14 @@ def _by_header(
 ) -> DataFrame:
     """As above, but columns are found by their name in the header.
 
-    Only the header is read to find the order; other columns are ignored.
+    Only a header is read to find the order; other columns are ignored. All files must have
+    the same header.
     """
     header = spark.read.csv(path, header=True, quote='"', escape='"').columns
     missing = [name for name in columns if name not in header]
     if missing:
         raise ValueError(f"columns missing from the header: {', '.join(missing)}")
-    return _read_text_fields(spark, path, header, multi_line)
+    return _read_text_fields(spark, path, header, multi_line, check_header=True)
 
 
 def _with_position(df: DataFrame) -> DataFrame:

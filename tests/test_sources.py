@@ -76,6 +76,14 @@ def test_ratings_without_a_column_fail(spark, tmp_path):
         csv_files.read_ratings(spark, f"{tmp_path}/r.csv")
 
 
+def test_ratings_files_with_different_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("userId,movieId,rating,timestamp\n1,2,3,4\n")
+    (tmp_path / "b.csv").write_text("movieId,userId,rating,timestamp\n1,2,3,4\n")
+    good, _ = csv_files.read_ratings(spark, str(tmp_path))
+    with pytest.raises(Exception, match="header"):
+        good.collect()
+
+
 def test_tags_keep_text_and_reject_blanks(spark, csvs, rows):
     good, rejects = csv_files.read_tags(spark, f"{csvs}/tags.csv")
     assert rows(good) == [(1, 10, " spaced ", 5), (2, 11, "dark, slow", 0)]
