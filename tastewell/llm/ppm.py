@@ -26,7 +26,7 @@ from tastewell.session import written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDER = 5
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 5 << 20
 KEYS_PER_BUCKET = 500_000
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
 SYMBOLS = 255  # every byte but START
@@ -79,11 +79,21 @@ def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes[first], np.diff(np.append(first, len(codes)))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], volume: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches of at most ``volume`` bytes of text; a single text may exceed it."""
+    for batch in batches:
+        sizes, start = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), 0
+        while start < batch.num_rows:
+            fit = max(1, int(np.searchsorted(np.cumsum(sizes[start:]), volume, side="right")))
+            yield batch.slice(start, fit)
+            start += fit
+
+
 def _pack(order: int, chunk_bytes: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        for batch in batches:
+        for batch in _pieces(batches, chunk_bytes):
             lists = _words(batch.column(1))
             texts = pc.cast(pc.binary_join(lists, " "), pa.binary())
             place, lengths = 0, pc.binary_length(texts).to_numpy(zero_copy_only=False)
