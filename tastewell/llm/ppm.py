@@ -26,7 +26,8 @@ from tastewell.session import written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDER = 5
-CHUNK_BYTES = 5 << 20
+CHUNK_BYTES = 16 << 20
+SLICE_BYTES = 2 << 20  # of a chunk worked on at a time
 KEYS_PER_BUCKET = 500_000
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
 SYMBOLS = 255  # every byte but START
@@ -35,8 +36,8 @@ CHUNK_SCHEMA = (
     "ids array<bigint>, learn array<boolean>, text binary, lengths array<int>, keys bigint, train_tokens bigint, "
     "train_docs bigint, pairs array<int>, pair_counts array<bigint>"
 )
-REQUEST_SCHEMA = "bucket bigint, chunk bigint, kind int, keys binary, counts binary"
-ANSWER_SCHEMA = "chunk bigint, kind int, bucket bigint, known bigint, answers binary"
+REQUEST_SCHEMA = "bucket bigint, chunk bigint, kind int, n bigint, keys binary, counts binary"
+ANSWER_SCHEMA = "chunk bigint, kind int, bucket bigint, n bigint, known bigint, answers binary"
 SCORE_SCHEMA = "id bigint, learn boolean, n_tokens bigint, n_known bigint, log_counts double, score double"
 
 
@@ -79,6 +80,48 @@ def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes[first], np.diff(np.append(first, len(codes)))
 
 
+def _slices(text: np.ndarray, lengths: np.ndarray, order: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(documents, their codes, starts among these) for a bounded volume of text at a time; one document at least."""
+    ends, start = np.cumsum(lengths), 0
+    while start < len(lengths):
+        begin = int(ends[start] - lengths[start])
+        stop = max(start + 1, int(np.searchsorted(ends, begin + SLICE_BYTES, side="right")))
+        yield slice(start, stop), *_stream(text[begin : int(ends[stop - 1])], lengths[start:stop], order)
+        start = stop
+
+
+def _distinct(text: np.ndarray, lengths: np.ndarray, learn: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a chunk in order, and how often each occurs in training documents."""
+    keys, trained, times = [], [], []
+    for docs, codes, _ in _slices(text, lengths, order):
+        keys.append(_counted(codes)[0])
+        found = _counted(codes[np.repeat(learn[docs], lengths[docs] + 1)])
+        trained.append(found[0])
+        times.append(found[1])
+    all_keys = _counted(np.concatenate(keys))[0]
+    places = np.searchsorted(all_keys, np.concatenate(trained))
+    return all_keys, np.bincount(places, weights=np.concatenate(times), minlength=len(all_keys)).astype(np.int32)
+
+
+def _squeezed(keys: np.ndarray) -> bytes:
+    """Ascending codes as differences, byte by byte, compressed."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return _small(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T))
+
+
+def _unsqueezed(data: bytes, n: int) -> np.ndarray:
+    planes = _large(data, np.uint8, 8 * n).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _small(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _large(data: bytes, kind: type, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, codec="zstd"), kind)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], volume: int) -> Iterator[pa.RecordBatch]:
     """Parts of the batches of at most ``volume`` bytes of text; a single text may exceed it."""
     for batch in batches:
@@ -93,7 +136,7 @@ def _pack(order: int, chunk_bytes: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        for batch in _pieces(batches, chunk_bytes):
+        for batch in _pieces(batches, SLICE_BYTES):
             lists = _words(batch.column(1))
             texts = pc.cast(pc.binary_join(lists, " "), pa.binary())
             place, lengths = 0, pc.binary_length(texts).to_numpy(zero_copy_only=False)
@@ -103,7 +146,7 @@ def _pack(order: int, chunk_bytes: int):
                 stop = min(len(texts), place + max(fit, 0 if held else 1))
                 if stop > place:
                     part = slice(place, stop)
-                    held.append((batch.column(0)[part], batch.column(2)[part], texts[part], lists[part]))
+                    held.append((batch.column(0)[part], batch.column(2)[part], texts[part], pc.list_value_length(lists[part])))
                     size += int(lengths[part].sum())
                     place = stop
                 if place < len(texts) or size >= chunk_bytes:
@@ -116,15 +159,17 @@ def _pack(order: int, chunk_bytes: int):
 
 
 def _chunk(held: list[tuple], order: int) -> pa.RecordBatch:
-    ids, learn, texts, lists = (pa.concat_arrays([h[i] for h in held]) for i in range(4))
+    ids, learn, texts, tokens = (pa.concat_arrays([h[i] for h in held]) for i in range(4))
     lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
     text = b"".join(texts.to_pylist())
-    codes, starts = _stream(np.frombuffer(text, np.uint8), lengths, order)
     train = learn.to_numpy(zero_copy_only=False).astype(bool)
-    taken = np.repeat(train, lengths + 1)
-    pairs = np.bincount((codes[taken] & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
+    pairs, keys = np.zeros(1 << 16, np.int64), []
+    for docs, codes, _ in _slices(np.frombuffer(text, np.uint8), lengths, order):
+        keys.append(_counted(codes)[0])
+        codes = codes[np.repeat(train[docs], lengths[docs] + 1)]
+        pairs += np.bincount((codes & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
     seen = np.flatnonzero(pairs)
-    tokens = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    tokens = tokens.to_numpy(zero_copy_only=False)
     one = lambda value, kind: pa.array([value], kind)
     return pa.RecordBatch.from_arrays(
         [
@@ -132,7 +177,7 @@ def _chunk(held: list[tuple], order: int) -> pa.RecordBatch:
             one(train.tolist(), pa.list_(pa.bool_())),
             one(text, pa.binary()),
             one(lengths.astype(np.int32), pa.list_(pa.int32())),
-            one(len(_counted(codes)[0]), pa.int64()),
+            one(len(_counted(np.concatenate(keys))[0]), pa.int64()),
             one(int(tokens[train].sum() + train.sum()), pa.int64()),
             one(int(train.sum()), pa.int64()),
             one(seen.astype(np.int32), pa.list_(pa.int32())),
@@ -175,14 +220,11 @@ def _requests(order: int, buckets: int):
             for row in range(batch.num_rows):
                 chunk = batch.column("chunk")[row].as_py()
                 text, lengths, learn, lists = _unpacked(batch, row)
-                codes, _ = _stream(text, lengths, order)
-                keys, _ = _counted(codes)
-                trained, times = _counted(codes[np.repeat(learn, lengths + 1)])
-                counts = np.zeros(len(keys), np.int32)
-                counts[np.searchsorted(keys, trained)] = times
+                keys, counts = _distinct(text, lengths, learn, order)
                 place, at = _by_bucket(_gram_bucket(keys, buckets), buckets)
                 keys, counts = keys[place], counts[place]
-                out = [(b, chunk, 0, keys[at[b] : at[b + 1]].tobytes(), counts[at[b] : at[b + 1]].tobytes()) for b in range(buckets)]
+                spans = [slice(at[b], at[b + 1]) for b in range(buckets)]
+                out = [(b, chunk, 0, w.stop - w.start, _squeezed(keys[w]), _small(counts[w])) for b, w in enumerate(spans) if w.stop > w.start]
                 words = lists.flatten().dictionary_encode()
                 sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
                 index = words.indices.to_numpy(zero_copy_only=False)
@@ -191,13 +233,14 @@ def _requests(order: int, buckets: int):
                 spread = pa.ListArray.from_arrays(pa.array(at, pa.int32()), words.dictionary.take(pa.array(place)))
                 joined = pc.cast(pc.binary_join(spread, " "), pa.binary())
                 counts = counts[place]
-                out += [(b, chunk, 1, joined[b].as_py(), counts[at[b] : at[b + 1]].tobytes()) for b in range(buckets)]
-                columns = list(zip(*(r for r in out if r[3]), strict=True))
+                spans = [slice(at[b], at[b + 1]) for b in range(buckets)]
+                out += [(b, chunk, 1, w.stop - w.start, joined[b].as_py(), _small(counts[w])) for b, w in enumerate(spans) if w.stop > w.start]
+                columns = list(zip(*out, strict=True))
                 if columns:
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                        names=["bucket", "chunk", "kind", "keys", "counts"],
+                        names=["bucket", "chunk", "kind", "n", "keys", "counts"],
                     )
 
     return requests
@@ -292,11 +335,11 @@ def _answer(order: int, pairs: np.ndarray):
             part = [r for r in rows if r["kind"] == kind]
             if not part:
                 continue
-            counts = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in part]).astype(np.int64)
+            counts = np.concatenate([_large(r["counts"], np.int32, r["n"]) for r in part]).astype(np.int64)
             if kind == 0:
-                keys, inverse = np.unique(np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in part]), return_inverse=True)
+                keys, inverse = np.unique(np.concatenate([_unsqueezed(r["keys"], r["n"]) for r in part]), return_inverse=True)
                 total = np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)
-                values = code_lengths(keys, total, pairs, order)[inverse]
+                values = code_lengths(keys, total, pairs, order).astype(np.float32)[inverse]
                 known = 0
             else:
                 lists = pc.split_pattern(pa.array([r["keys"] for r in part], pa.binary()), b" ").flatten()
@@ -305,12 +348,11 @@ def _answer(order: int, pairs: np.ndarray):
                 values, known = total[codes], int((total > 0).sum())
             at = 0
             for i, r in enumerate(part):
-                size = len(r["counts"]) // 4
-                out.append((r["chunk"], kind, r["bucket"], known if i == 0 else 0, values[at : at + size].tobytes()))
-                at += size
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+                out.append((r["chunk"], kind, r["bucket"], r["n"], known if i == 0 else 0, _small(values[at : at + r["n"]])))
+                at += r["n"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         columns = zip(*out, strict=True)
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "kind", "bucket", "known", "answers"])
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "kind", "bucket", "n", "known", "answers"])
 
     return answer
 
@@ -320,20 +362,20 @@ def _finish(order: int, buckets: int, end_count: int):
         batch = chunks.combine_chunks().to_batches()[0]
         text, lengths, learn, lists = _unpacked(batch, 0)
         by_kind: dict[int, list] = {0: [], 1: []}
-        for r in sorted(answers.select(["kind", "bucket", "answers"]).to_pylist(), key=lambda r: r["bucket"]):
-            by_kind[r["kind"]].append(r["answers"])
-        codes, starts = _stream(text, lengths, order)
-        index, keys = pd.factorize(codes)
+        for r in sorted(answers.select(["kind", "bucket", "n", "answers"]).to_pylist(), key=lambda r: r["bucket"]):
+            by_kind[r["kind"]].append(_large(r["answers"], (np.float32, np.int64)[r["kind"]], r["n"]))
+        keys, _ = _distinct(text, lengths, learn, order)
         # The answers come bucket by bucket, ascending in each, as the requests went.
-        ranked = np.argsort(keys, kind="stable")
-        place = ranked[np.argsort(_gram_bucket(keys[ranked], buckets), kind="stable")]
         value = np.empty(len(keys))
-        value[place] = np.frombuffer(b"".join(by_kind[0]), np.float64)
-        score = np.add.reduceat(value[index], starts)
+        value[_by_bucket(_gram_bucket(keys, buckets), buckets)[0]] = np.concatenate(by_kind[0])
+        score = np.empty(len(lengths))
+        for docs, codes, starts in _slices(text, lengths, order):
+            index, own = pd.factorize(codes)
+            score[docs] = np.add.reduceat(value[np.searchsorted(keys, own)][index], starts)
         words = lists.flatten().dictionary_encode()
         place, _ = _by_bucket(_word_bucket(words.dictionary, buckets), buckets)
         count = np.zeros(len(words.dictionary), np.int64)
-        count[place] = np.frombuffer(b"".join(by_kind[1]), np.int64)
+        count[place] = np.concatenate([np.zeros(0, np.int64), *by_kind[1]])
         sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         row = np.repeat(np.arange(len(sizes)), sizes)
         used = count[words.indices.to_numpy(zero_copy_only=False)]
