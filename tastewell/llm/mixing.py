@@ -48,22 +48,22 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, repea
     return rows.select("source", F.col("source_size").cast("long"), target.alias("target"))
 
 
-def running(df: DataFrame, keys: list[str], part: str, order: list[str], value: str, name: str) -> DataFrame:
-    """Adds the running sum of ``value`` per ``keys``, by ``part`` first; no key has to fit into one task.
+def running(df: DataFrame, keys: list[str], part: str, order: list, sums: dict[str, str]) -> DataFrame:
+    """Adds running sums (column: new name) per ``keys``, by ``part`` first; no key has to fit into one task.
 
     The sums of the parts run first (at most as many rows per key as there are parts), then each part runs
     for itself.
     """
-    totals = df.groupBy(*keys, part).agg(F.sum(value).alias("__sum"))
     ahead = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("__ahead", F.coalesce(F.sum("__sum").over(ahead), F.lit(0))).drop("__sum")
-    for k in keys:
-        totals = totals.withColumnRenamed(k, f"__{k}")
+    totals = df.groupBy(*keys, part).agg(*(F.sum(c).alias(f"__sum_{c}") for c in sums))
+    before = {c: F.coalesce(F.sum(f"__sum_{c}").over(ahead), F.lit(0)).alias(f"__ahead_{c}") for c in sums}
+    totals = totals.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(part).alias("__part"), *before.values())
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    totals = totals.withColumnRenamed(part, "__part")
     inside = Window.partitionBy(*keys, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = df.withColumn(name, F.sum(value).over(inside)).join(totals, [*same, F.col(part) == F.col("__part")])
-    return joined.withColumn(name, F.col(name) + F.col("__ahead")).drop("__ahead", "__part", *(f"__{k}" for k in keys))
+    summed = df.select("*", *(F.sum(c).over(inside).alias(name) for c, name in sums.items()))
+    joined = summed.join(totals, [*same, F.col(part).eqNullSafe(F.col("__part"))])
+    joined = joined.withColumns({name: F.col(name) + F.col(f"__ahead_{c}") for c, name in sums.items()})
+    return joined.drop("__part", *(f"__{k}" for k in keys), *(f"__ahead_{c}" for c in sums))
 
 
 def mix(
@@ -89,7 +89,7 @@ def mix(
     rows = written(fields.groupBy("id", "source", "size", "mark").agg(F.count("*").alias("copies")), "mix-rows")
     rows = rows.withColumn("words", F.col("size") * F.col("copies")).withColumn("part", F.shiftrightunsigned("mark", 52))
     targets = written(source_targets(rows.groupBy("source").agg(F.sum("words").alias("source_size")), weights, repeats), "mix-targets")
-    placed = running(rows, ["source"], "part", ["mark", "id", "size"], "words", "reached")
+    placed = running(rows, ["source"], "part", ["mark", "id", "size"], {"words": "reached"})
     named = targets.select(F.col("source").alias("__source"), "source_size", "target")
     placed = written(placed.join(named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source"), "mix-placed")
     copies = (
@@ -102,7 +102,7 @@ def mix(
         .withColumn("slot", F.least(F.floor(F.col("finish") * PARTS), F.lit(PARTS)).cast("long"))
     )
     budget = targets.agg(F.sum("source_size")).first()[0] or 0
-    queue = running(copies, [], "slot", ["finish", F.col("source").asc_nulls_last(), "mark", "id", "size"], "words", "sent")
+    queue = running(copies, [], "slot", ["finish", F.col("source").asc_nulls_last(), "mark", "id", "size"], {"words": "sent"})
     queue = queue.withColumn("taken", F.least(F.col("words"), F.lit(int(budget)) - (F.col("sent") - F.col("words")))).filter("taken > 0")
     queue = written(queue.select("id", "source", "size", "mark", "copies", "round", "finish", "taken"), "mix-queue")
     sums = queue.groupBy("id", "source", "size", "mark").agg(F.sum("taken").alias("taken"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastewell.llm import decontamination, language, mixing, ppm, simhash, token_store
+from tastewell.llm import decontamination, language, maxscore, mixing, ppm, sharding, simhash, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; shards have near equal bytes."""
+    rows = sharding.shard_rows(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_fair_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     documents, _ = mixing.mix(table(spark, sf_dir, "documents"))
@@ -48,6 +54,11 @@ def op6_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.id").alias("doc_id"), "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for every vector whose id is divisible by 100."""
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, read back from the files."""
     return token_store.token_documents(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -59,7 +70,7 @@ def op10_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.learn_and_predict(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
-REGISTERED = [op1_ppm, op2_simhash, op4_fair_queue, op6_prefix_join, op9_direct_codes, op10_hyperdimensional]
+REGISTERED = [op1_ppm, op2_simhash, op3_minimax, op4_fair_queue, op6_prefix_join, op7_maxscore, op9_direct_codes, op10_hyperdimensional]
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

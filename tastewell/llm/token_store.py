@@ -191,7 +191,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, decoded from the files."""
     runs = spark.read.parquet(folder)
-    ahead = running(runs.select("part", "run", "n_tokens"), [], "part", ["run"], "n_tokens", "upto")
+    ahead = running(runs.select("part", "run", "n_tokens"), [], "part", ["run"], {"n_tokens": "upto"})
     ahead = ahead.select("part", "run", (F.col("upto") - F.col("n_tokens")).alias("before"))
     docs = runs.mapInArrow(_documents, "part bigint, run bigint, id bigint, inside bigint, n_tokens bigint, ids_crc32 bigint")
     return docs.join(ahead, ["part", "run"]).select("id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
@@ -200,7 +200,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 def read_token(spark: SparkSession, folder: str, places: DataFrame) -> DataFrame:
     """(place, token) for each global token place asked for; only the runs that hold one are sent and touched."""
     runs = spark.read.parquet(folder)
-    ahead = running(runs.select("part", "run", "n_tokens"), [], "part", ["run"], "n_tokens", "upto")
+    ahead = running(runs.select("part", "run", "n_tokens"), [], "part", ["run"], {"n_tokens": "upto"})
     span = ahead.select("part", "run", (F.col("upto") - F.col("n_tokens")).alias("before"), "upto")
     asked = span.join(places.select("place"), (F.col("place") >= F.col("before")) & (F.col("place") < F.col("upto")))
     wanted = asked.groupBy("part", "run").agg(F.collect_list("place").alias("places"), F.first("before").alias("before"))
