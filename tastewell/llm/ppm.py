@@ -150,8 +150,10 @@ def _pack(order: int, chunk_bytes: int):
                     size += int(lengths[part].sum())
                     place = stop
                 if place < len(texts) or size >= chunk_bytes:
-                    yield _chunk(held, order)
-                    held, size = [], 0
+                    full, held, size = held, [], 0
+                    yield _chunk(full, order)
+                    del full
+                    pa.default_memory_pool().release_unused()
         if held:
             yield _chunk(held, order)
 
@@ -175,7 +177,7 @@ def _chunk(held: list[tuple], order: int) -> pa.RecordBatch:
         [
             pa.array([ids.to_pylist()], pa.list_(pa.int64())),
             one(train.tolist(), pa.list_(pa.bool_())),
-            one(text, pa.binary()),
+            one(pa.compress(text, codec="zstd", asbytes=True), pa.binary()),
             one(lengths.astype(np.int32), pa.list_(pa.int32())),
             one(len(_counted(np.concatenate(keys))[0]), pa.int64()),
             one(int(tokens[train].sum() + train.sum()), pa.int64()),
@@ -189,8 +191,8 @@ def _chunk(held: list[tuple], order: int) -> pa.RecordBatch:
 
 def _unpacked(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Text bytes, lengths, training mask and word lists of a chunk."""
-    text = batch.column("text")[row].as_buffer()
     lengths = batch.column("lengths")[row].values.to_numpy().astype(np.int64)
+    text = pa.decompress(batch.column("text")[row].as_buffer(), int(lengths.sum()), codec="zstd") if lengths.sum() else pa.py_buffer(b"")
     learn = batch.column("learn")[row].values.to_numpy(zero_copy_only=False).astype(bool)
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     texts = pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(offsets), text])
@@ -218,6 +220,7 @@ def _requests(order: int, buckets: int):
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
+                pa.default_memory_pool().release_unused()
                 chunk = batch.column("chunk")[row].as_py()
                 text, lengths, learn, lists = _unpacked(batch, row)
                 keys, counts = _distinct(text, lengths, learn, order)
