@@ -76,7 +76,7 @@ def _masks() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(variant, mark, near): near holds for variants within radius one."""
+    """(variant, flip): the number of the flip that made the variant; a fingerprint is its variant flipped again."""
     single, double = _masks()
     both = np.concatenate([single, double])
     for batch in batches:
@@ -87,12 +87,8 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = group[start : start + 256]
                 out = (part[:, None] ^ masks[None, :]).ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(out.view(np.int64)),
-                        pa.array(np.repeat(part, len(masks)).view(np.int64)),
-                        pa.array(np.tile(np.arange(len(masks)) < len(single), len(part))),
-                    ],
-                    names=["variant", "mark", "near"],
+                    [pa.array(out.view(np.int64)), pa.array(np.tile(np.arange(len(masks), dtype=np.int16), len(part)))],
+                    names=["variant", "flip"],
                 )
 
 
@@ -101,16 +97,17 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts = [[batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)] for batch in batches if batch.num_rows]
     if not parts:
         return
-    variant, mark = (np.concatenate([p[i] for p in parts]) for i in range(2))
-    # Equal variants stand together; within them those of radius one first, by fingerprint.
-    near = np.bitwise_count((variant ^ mark).view(np.uint64)) <= 1
+    variant, flip = (np.concatenate([p[i] for p in parts]) for i in range(2))
     order = np.argsort(variant)
-    variant, mark, near = variant[order], mark[order], near[order]
+    variant, flip = variant[order], flip[order]
     same = variant[1:] == variant[:-1]
     shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-    variant, mark, near = variant[shared], mark[shared], near[shared]
+    variant, flip = variant[shared], flip[shared]
     if not len(variant):
         return
+    single, double = _masks()
+    mark, near = variant ^ np.concatenate([single, double]).view(np.int64)[flip], flip < len(single)
+    # Equal variants stand together; within them those of radius one first, by fingerprint.
     order = np.lexsort((mark, ~near, variant))
     variant, mark, near = variant[order], mark[order], near[order]
     first = np.flatnonzero(np.concatenate([[True], variant[1:] != variant[:-1]]))
@@ -130,7 +127,7 @@ def links(marks: DataFrame) -> DataFrame:
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), emitted // VARIANTS_PER_PARTITION + 1)
     # Few small rows become a thousand times as many: deal them to all cores first.
     spread = distinct.repartition(partitions, F.xxhash64("mark"))
-    variants = spread.mapInArrow(_variants, "variant bigint, mark bigint, near boolean").select("variant", "mark")
+    variants = spread.mapInArrow(_variants, "variant bigint, flip smallint")
     met = variants.repartition(partitions, "variant").mapInArrow(_meet, "a bigint, b bigint")
     return met.distinct().filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
 
