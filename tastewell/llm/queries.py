@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastewell.llm import decontamination, language, maxscore, mixing, ppm, sharding, simhash, token_store
+from tastewell.llm import decontamination, language, maxscore, mixing, page_text, ppm, sharding, simhash, token_store, toxicity
+
+from tastewell.llm.labelled_pages import labelled_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +49,14 @@ def op4_fair_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(3) == 1, F.lit(True)))
+    sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), ~F.col("held_out"))
+    scored = toxicity.score_texts(docs, toxicity.train(*sample), keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op6_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie inside an occurrence of a benchmark window."""
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -59,6 +69,12 @@ def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op8_page_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = page_text.extract_text(table(spark, sf_dir, "pages"), *page_text.train(labelled_pages()))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op9_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, read back from the files."""
     return token_store.token_documents(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -70,7 +86,7 @@ def op10_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.learn_and_predict(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
-REGISTERED = [op1_ppm, op2_simhash, op3_minimax, op4_fair_queue, op6_prefix_join, op7_maxscore, op9_direct_codes, op10_hyperdimensional]
+REGISTERED = [op1_ppm, op2_simhash, op3_minimax, op4_fair_queue, op5_string_kernel, op6_prefix_join, op7_maxscore, op8_page_model, op9_direct_codes, op10_hyperdimensional]
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
