@@ -114,5 +114,7 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
 def decontaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no window of an item, with their columns."""
     found = contamination(docs, items, id_column, text_column).filter("contaminated")
-    hit = written(found.select("row").distinct(), "contaminated")
-    return docs.join(hit, row_key(id_column, text_column).eqNullSafe(F.col("row")), "left_anti")
+    hit = written(found.select(F.col("row").alias("__row")).distinct(), "contaminated")
+    if hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hit = F.broadcast(hit)
+    return docs.join(hit, row_key(id_column, text_column).eqNullSafe(F.col("__row")), "left_anti")

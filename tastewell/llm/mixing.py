@@ -16,6 +16,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
 SEED = 17
+BROADCAST_ROWS = 500_000  # of ids and finish times: some 30 MB
 PARTS = 4096  # of a source's shuffled order, and of the time up to the cut
 
 
@@ -126,11 +127,15 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """
     _, queue = mix(docs, id_column, text_column, source_column)
     sent = queue.select("id", "mark", "finish", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))).alias("copy"))
-    # Equal rows share one entry; each of them is sent for its own share.
     mark = F.xxhash64(F.lit(SEED), F.col(id_column), F.col(text_column), F.col(source_column))
     shares = sent.groupBy(F.col("id").alias("__id"), F.col("mark").alias("__mark")).agg(F.sort_array(F.collect_list("finish")).alias("__finish"))
+    shares = written(shares, "mix-shares")
+    if shares.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        shares = F.broadcast(shares)
     whole = docs.select(F.struct("*").alias("doc"), F.col(id_column).cast("long").alias("doc_key"), mark.alias("doc_mark"))
-    one = whole.dropDuplicates(["doc_key", "doc_mark"])
-    joined = one.join(shares, F.col("doc_key").eqNullSafe(F.col("__id")) & (F.col("doc_mark") == F.col("__mark")))
+    if queue.filter("copies > 1").limit(1).count():
+        # Equal rows share one entry, which says how often the text is sent in all.
+        whole = whole.dropDuplicates(["doc_key", "doc_mark"])
+    joined = whole.join(shares, F.col("doc_key").eqNullSafe(F.col("__id")) & (F.col("doc_mark") == F.col("__mark")))
     out = joined.select("doc", F.explode("__finish").alias("finish"), "doc_key")
     return out.repartitionByRange("finish", "doc_key").sortWithinPartitions("finish", "doc_key").select("doc.*")

@@ -93,6 +93,47 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in REGISTERED}
 
 
+# Words of both tables; every item window of ten words or less; every stretch of that length in a document.
+PREFIX_JOIN_SQL = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '{separators}'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '{separators}'), lambda x: x <> '') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, list_slice(w, s, s + 9) AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(2, len(w) - 8))) AS s FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT len(win) AS n FROM windows),
+stretches AS (
+  SELECT doc_id, n, s, list_slice(w, s, s + n - 1) AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lengths WHERE len(w) >= n)),
+hits AS (SELECT doc_id, s, n, item FROM stretches JOIN windows USING (win)),
+spots AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, s, n FROM hits)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+MAXSCORE_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
 def statements() -> dict[str, str]:
-    """SQL twins by query name."""
-    return {}
+    """SQL twins by query name. The others hash, learn or search in ways that SQL does not have."""
+    separators = decontamination.SEPARATORS
+    return {
+        "op6_prefix_join": PREFIX_JOIN_SQL.format(upper=decontamination.UPPER, lower=decontamination.LOWER, separators=separators),
+        "op7_maxscore": MAXSCORE_SQL,
+    }

@@ -131,8 +131,7 @@ def shard_cuts(ends: _Ends, widest: int, shards: int) -> list[int]:
 def shard_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shards: int = SHARDS) -> DataFrame:
     """(id, size, text_crc32, shard, slot) of every row; shards have near equal bytes.
 
-    Size is the UTF-8 length plus one. Equal texts stay together; nulls are a group of their own, of size
-    one and checksum 0, and so are empty texts. A group larger than an even share fills a shard by itself.
+    Size is the UTF-8 length plus one. Equal texts stay together; a null text counts as empty. A group larger than an even share fills a shard by itself.
     Slots run from 0 in every shard, by group, then by id (null first); rows alike in both take any order.
     Other columns are ignored; an empty table gives no rows.
     """
@@ -142,7 +141,7 @@ def shard_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         F.col(id_column).cast("long").alias("id"),
         size.alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.coalesce(F.sha2(text.cast("binary"), 256), F.lit("")).alias("key"),
+        F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256).alias("key"),
         F.pmod(F.xxhash64(id_column), F.lit(SPREAD)).alias("sub"),
     )
     rows = written(rows, "shard-rows")

@@ -30,6 +30,8 @@ RADIUS = 3
 SEED = 42
 VARIANTS_PER_PARTITION = 1 << 20
 HASHES_PER_STEP = 1 << 16
+VIEWS, VIEW_BITS = 2, 40  # fingerprints of the distinct words, for candidates
+BROADCAST_KEYS = 500_000  # pairs of id and text hash: some 20 MB
 
 
 def fingerprint(words: list[bytes], shingle: int) -> int:
@@ -67,68 +69,80 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
 
 
-def _masks() -> tuple[np.ndarray, np.ndarray]:
+def _masks(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Flips within radius one, and the pair flips inside one half."""
-    bit = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
-    half = BITS // 2
+    bit = np.uint64(1) << np.arange(bits, dtype=np.uint64)
+    half = bits // 2
     pairs = [bit[i + h] | bit[j + h] for h in (0, half) for i in range(half) for j in range(i + 1, half)]
     return np.concatenate([[np.uint64(0)], bit]), np.array(pairs, np.uint64)
 
 
-def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(variant, flip): the number of the flip that made the variant; a fingerprint is its variant flipped again."""
-    single, double = _masks()
+def _variants(bits: int):
+    single, double = _masks(bits)
     both = np.concatenate([single, double])
-    for batch in batches:
-        marks = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        even = np.bitwise_count(marks) % 2 == 0
-        for group, masks in ((marks[even], both), (marks[~even], single)):
-            for start in range(0, len(group), 256):
-                part = group[start : start + 256]
-                out = (part[:, None] ^ masks[None, :]).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out.view(np.int64)), pa.array(np.tile(np.arange(len(masks), dtype=np.int16), len(part)))],
-                    names=["variant", "flip"],
-                )
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Star edges of the variants of one partition."""
-    parts = [[batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)] for batch in batches if batch.num_rows]
-    if not parts:
-        return
-    variant, flip = (np.concatenate([p[i] for p in parts]) for i in range(2))
-    order = np.argsort(variant)
-    variant, flip = variant[order], flip[order]
-    same = variant[1:] == variant[:-1]
-    shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-    variant, flip = variant[shared], flip[shared]
-    if not len(variant):
-        return
-    single, double = _masks()
-    mark, near = variant ^ np.concatenate([single, double]).view(np.int64)[flip], flip < len(single)
-    # Equal variants stand together; within them those of radius one first, by fingerprint.
-    order = np.lexsort((mark, ~near, variant))
-    variant, mark, near = variant[order], mark[order], near[order]
-    first = np.flatnonzero(np.concatenate([[True], variant[1:] != variant[:-1]]))
-    sizes = np.diff(np.append(first, len(variant)))
-    hub, reached = np.repeat(mark[first], sizes), np.repeat(near[first], sizes)
-    keep = reached & (mark != hub)
-    edges = np.unique(np.stack([hub[keep], mark[keep]], 1), axis=0)
-    if len(edges):
-        yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
-
-
-def links(marks: DataFrame) -> DataFrame:
-    """Verified edges (a, b) between distinct fingerprints that connect all pairs within the radius."""
+
+    def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(variant, flip): the number of the flip that made the variant; a fingerprint is its variant flipped again."""
+        for batch in batches:
+            marks = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            even = np.bitwise_count(marks) % 2 == 0
+            for group, masks in ((marks[even], both), (marks[~even], single)):
+                for start in range(0, len(group), 256):
+                    part = group[start : start + 256]
+                    out = (part[:, None] ^ masks[None, :]).ravel()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(out.view(np.int64)), pa.array(np.tile(np.arange(len(masks), dtype=np.int16), len(part)))],
+                        names=["variant", "flip"],
+                    )
+
+    return variants
+
+
+def _meet(bits: int):
+    single, double = _masks(bits)
+    both = np.concatenate([single, double]).view(np.int64)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Star edges of the variants of one partition."""
+        parts = [[batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)] for batch in batches if batch.num_rows]
+        if not parts:
+            return
+        variant, flip = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        order = np.argsort(variant)
+        variant, flip = variant[order], flip[order]
+        same = variant[1:] == variant[:-1]
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        variant, flip = variant[shared], flip[shared]
+        if not len(variant):
+            return
+        mark, near = variant ^ both[flip], flip < len(single)
+        # Equal variants stand together; within them those of radius one first, by fingerprint.
+        order = np.lexsort((mark, ~near, variant))
+        variant, mark, near = variant[order], mark[order], near[order]
+        first = np.flatnonzero(np.concatenate([[True], variant[1:] != variant[:-1]]))
+        sizes = np.diff(np.append(first, len(variant)))
+        hub, reached = np.repeat(mark[first], sizes), np.repeat(near[first], sizes)
+        keep = reached & (mark != hub)
+        edges = np.unique(np.stack([hub[keep], mark[keep]], 1), axis=0)
+        if len(edges):
+            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
+
+    return meet
+
+
+def links(marks: DataFrame, bits: int = BITS) -> DataFrame:
+    """Verified edges (a, b) between distinct fingerprints that connect all pairs within the radius.
+
+    Bits above ``bits`` never differ inside a pair: they keep fingerprints of several kinds apart.
+    """
     spark = marks.sparkSession
     distinct = written(marks.select("mark").distinct(), "marks")
-    emitted = distinct.count() * (1 + BITS + 496)
+    emitted = distinct.count() * (1 + bits + bits // 2 * (bits // 2 - 1) // 2)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), emitted // VARIANTS_PER_PARTITION + 1)
-    # Few small rows become a thousand times as many: deal them to all cores first.
+    # Few small rows become hundreds of times as many: deal them to all cores first.
     spread = distinct.repartition(partitions, F.xxhash64("mark"))
-    variants = spread.mapInArrow(_variants, "variant bigint, flip smallint")
-    met = variants.repartition(partitions, "variant").mapInArrow(_meet, "a bigint, b bigint")
+    variants = spread.mapInArrow(_variants(bits), "variant bigint, flip smallint")
+    met = variants.repartition(partitions, "variant").mapInArrow(_meet(bits), "a bigint, b bigint")
     return met.distinct().filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
 
 
@@ -156,17 +170,93 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
     )
 
 
-def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3) -> DataFrame:
-    """One row of every near-duplicate group, with its columns: the smallest id, then the smallest text hash.
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the key of the word sequence and the views: majority bits of the hashes of the distinct words."""
+    for batch in batches:
+        keys, views = [], []
+        for text in batch.column(2).to_pylist():
+            words = (text or "").encode().lower().split()
+            keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
+            hashed = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, set(words))), np.uint8).reshape(-1, 16)
+            bits = 2 * np.unpackbits(hashed, axis=1).sum(0, dtype=np.int64) > len(hashed)
+            views.append([int.from_bytes(np.packbits(bits[v * VIEW_BITS : (v + 1) * VIEW_BITS])) | v << VIEW_BITS for v in range(VIEWS)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(views, pa.list_(pa.int64()))],
+            names=["id", "text_hash", "key", "views"],
+        )
+
+
+def _shingle_sets(shingle: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(node, shingles): the distinct hashes of the text's word shingles."""
+        for batch in batches:
+            out = []
+            for text in batch.column(1).to_pylist():
+                words = (text or "").encode().lower().split()
+                parts = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False)) if len(words) > shingle else [b" ".join(words)]
+                out.append(np.unique(np.array([xxhash.xxh3_64_intdigest(p) for p in parts], np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return sets
 
-    Of rows that are equal in both, one stays.
+
+def _near(df: DataFrame, keys: DataFrame, how: str, most: int) -> DataFrame:
+    """Joins on (id, text hash), nulls being equal; the keys are sent whole only if they are few."""
+    if keys.limit(most + 1).count() <= most:
+        keys = F.broadcast(keys)
+    same = F.col("__key.id").eqNullSafe(F.col("__id")) & F.col("__key.text_hash").eqNullSafe(F.col("__text_hash"))
+    return df.join(keys, same, how)
+
+
+def deduplicated(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, similarity: float = 0.8, most: int = BROADCAST_KEYS
+) -> DataFrame:
+    """One row of every group of near duplicates, with its columns.
+
+    Texts are linked whose sets of word shingles have a Jaccard similarity of ``similarity`` or more. At this
+    similarity a fingerprint of shingles differs in far more than three bits, so candidates are found by the
+    same ball hashing over two short fingerprints of the distinct words, in which such texts differ in about
+    two, and each candidate link is verified on the shingles themselves. The row with the smallest id stays,
+    null last; of rows alike in id and text one. Null, empty and blank texts are equal to each other.
     """
-    groups = near_duplicate_groups(docs, id_column, text_column, shingle).select(F.col(id_column).alias("__id"), "fingerprint", "component_id")
-    # The kept id of a group is the group's name; where all ids are null the fingerprint tells groups apart.
-    kept = written(groups.filter(F.col("__id").eqNullSafe(F.col("component_id"))).select("__id", "fingerprint").distinct(), "kept")
-    own = docs.join(kept, F.col(id_column).eqNullSafe(F.col("__id")), "left_semi")
-    mark = F.xxhash64(*(F.col(c) for c in docs.columns))
-    repeated = docs.groupBy(id_column).agg(F.count("*").alias("n"), F.min(mark).alias("first")).filter("n > 1")
-    repeated = written(repeated.select(F.col(id_column).alias("__id"), "first"), "repeated-ids")
-    first = own.join(repeated, F.col(id_column).eqNullSafe(F.col("__id")) & (mark != F.col("first")), "left_anti")
-    return first.dropDuplicates([id_column, text_column]) if repeated.limit(1).count() else first
+    own = docs.select(F.struct(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("text_hash")).alias("__key"), F.struct("*").alias("__doc"))
+    keyed = own.select("__key.id", "__key.text_hash", F.col(f"__doc.{text_column}").alias("text")).mapInArrow(
+        _sketches, "id bigint, text_hash bigint, key binary, views array<bigint>"
+    )
+    keyed = written(keyed, "sketches")
+    named = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash")
+    classes = keyed.groupBy("key").agg(F.min(named).alias("name"), F.first("views").alias("views"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "text-classes")
+    # The smallest class of each fingerprint stands for it; the others with that fingerprint are linked to it.
+    held = written(classes.select("node", F.explode("views").alias("mark")), "class-marks")
+    first = written(held.groupBy("mark").agg(F.min("node").alias("first")), "first-classes")
+    found = links(first, VIEW_BITS)
+    names = first.select(F.col("mark").alias("__mark"), "first")
+    edges = found.join(names, F.col("a") == F.col("__mark")).select(F.col("first").alias("a"), "b")
+    edges = edges.join(names, F.col("b") == F.col("__mark")).select("a", F.col("first").alias("b"))
+    alike = held.join(first, "mark").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    edges = written(edges.union(alike).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    wanted = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = written(wanted.join(classes, "node").select("node", F.col("name.id").alias("__id"), F.col("name.text_hash").alias("__text_hash")), "wanted")
+    texts = _near(own, wanted, "inner", most).select("node", F.col(f"__doc.{text_column}").alias("text"))
+    sets = written(texts.mapInArrow(_shingle_sets(shingle), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "shingle-sets")
+    one = edges.join(sets.withColumnRenamed("node", "a").withColumnRenamed("shingles", "left"), "a")
+    both = one.join(sets.withColumnRenamed("node", "b").withColumnRenamed("shingles", "right"), "b")
+    common = F.size(F.array_intersect("left", "right"))
+    near = both.filter(common >= F.lit(similarity) * (F.size("left") + F.size("right") - common)).select("a", "b")
+    grouped = components(near).select(F.col("node").alias("member"), "component")
+    joined = classes.join(grouped, F.col("node") == F.col("member"), "left")
+    groups = joined.select("key", "name", F.coalesce("component", "node").alias("component"))
+    kept = groups.groupBy("component").agg(F.min("name").alias("kept"))
+    # What goes: every (id, text) that is not the kept one of its group.
+    kept_names = kept.select(F.col("kept.id").alias("__id"), F.col("kept.text_hash").alias("__text_hash"))
+    rows = keyed.groupBy("id", "text_hash").agg(F.count("*").alias("n"))
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__text_hash"))
+    state = written(rows.join(kept_names.withColumn("stays", F.lit(True)), same, "left").select("id", "text_hash", "n", "stays"), "fates")
+    names = [F.col("id").alias("__id"), F.col("text_hash").alias("__text_hash")]
+    rest = _near(own, written(state.filter("stays IS NULL").select(*names), "dropped"), "left_anti", most)
+    again = written(state.filter("stays AND n > 1").select(*names), "repeated")
+    if again.limit(1).count():
+        repeated = _near(rest, again, "left_semi", most).dropDuplicates(["__key"])
+        rest = _near(rest, again, "left_anti", most).union(repeated)
+    return rest.select("__doc.*")
