@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+VISIBLE_TEXT = r"(?U)\S"
 
 
 def to_int(text: Column) -> Column:
@@ -18,13 +20,14 @@ def to_long(text: Column) -> Column:
 
 
 def to_finite_double(text: Column) -> Column:
-    """Number or null; NaN and infinities count as malformed."""
+    """Number or null; NaN, infinities and type suffixes count as malformed."""
     value = text.try_cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return F.when(text.rlike(NUMBER_TEXT) & (F.abs(value) < float("inf")), value)
 
 
 def is_blank(text: Column) -> Column:
-    return F.coalesce(F.trim(text), F.lit("")) == ""
+    """Null, empty, or white space of any kind only."""
+    return ~F.coalesce(text.rlike(VISIBLE_TEXT), F.lit(False))
 
 
 def first_non_empty(*texts: Column) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Up to this limit Spark itself trims each group before the shuffle (WindowGroupLimit).
-MAP_SIDE_LIMIT = 1000
+# Up to this limit Spark itself trims each group before the shuffle.
+MAP_SIDE_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_per_key(
@@ -28,7 +28,7 @@ def top_per_key(
     however many map tasks there are. Use it where a single group may span the whole table.
     """
     parts = df
-    if n > MAP_SIDE_LIMIT:
+    if n > int(df.sparkSession.conf.get(MAP_SIDE_SETTING)):
         salts = max(salts, 64)
     if salts > 1:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
@@ -51,9 +51,9 @@ def numbered(
 ) -> DataFrame:
     """Number every row of every group in order, without sorting a whole group in one task.
 
-    ``buckets`` is a leading part of the order, as (non-null expression, descending) pairs.
-    Rows are counted per bucket, the counts are summed up along the buckets, and only the
-    rows inside one bucket are sorted by ``order``.
+    ``buckets`` is a leading part of the order, as (expression, descending) pairs. Rows are
+    counted per bucket, the counts are summed up along the buckets, and only the rows inside
+    one bucket are sorted by ``order``. Null keys and bucket values are values like any other.
     """
     labels = [f"_bucket_{i}" for i in range(len(buckets))]
     cut = df.withColumns({label: expr for label, (expr, _) in zip(labels, buckets)})
@@ -69,8 +69,10 @@ def numbered(
         .drop("_rows")
     )
     inside = Window.partitionBy(*keys, *labels).orderBy(*order)
+    named = offsets.select("_offset", *[F.col(c).alias(f"_of_{c}") for c in (*keys, *labels)])
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*keys, *labels)]
     return (
-        cut.join(offsets, [*keys, *labels])
+        cut.join(named, same)
         .withColumn(name, F.col("_offset") + F.row_number().over(inside))
-        .drop("_offset", *labels)
+        .select(*df.columns, name)
     )

@@ -7,21 +7,16 @@ the scoring tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
-import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastewell.constants import (
+    AVERAGE_WEIGHT,
     DEFAULT_RATING,
     LIKE_THRESHOLD,
-    LIKES_PER_USER,
     LIST_SIZE,
-    MAX_CANDIDATES,
+    MAX_SCORE,
     NO_GENRES,
     QUALITY_MIN_AVERAGE,
     QUALITY_MIN_VOTES,
@@ -31,17 +26,18 @@ from tastewell.constants import (
 from tastewell.functions.genres import genre_text
 from tastewell.functions.ranking import top_per_key
 from tastewell.functions.scores import norm, similarity_rating, sparse_dot
-from tastewell.operators.scoring import TOP_SCHEMA, score_pass
+from tastewell.operators.scoring import SCORE_DECIMALS, top_by_passes
+from tastewell.session import written
 
 # Bound of what one scoring pass ships to every executor: 5,000 x 512 doubles are 20 MB.
 CANDIDATES_PER_PASS = 5000
 
 
 def movie_tags_text(tags: DataFrame, limit: int = TAGS_PER_MOVIE) -> DataFrame:
-    """The first tags of each movie (by time, user, tag) as one text.
+    """The first tags of each movie (by time, user, tag) as one text, for display.
 
     Salted: one movie may hold any share of all tags. The list itself has at most ``limit``
-    entries.
+    entries; the model counts all tags, see ``content_rows``.
     """
     order = [F.asc("ts"), F.asc("userId"), F.asc("tag")]
     first = top_per_key(tags, ["movieId"], order, limit, "place", salts=16)
@@ -71,45 +67,71 @@ def movie_content(
     )
 
 
+def content_rows(movies: DataFrame, tags: DataFrame | None = None) -> DataFrame:
+    """The pieces of each movie's content, ``movieId, content``: its genres, and each of its tags.
+
+    All tags count, and no movie's tags are ever gathered in one row. A movie without any genre or
+    tag has a piece without words; one with tags but no genre has an empty first word, as in its
+    joined text.
+    """
+    genres = movies.select("movieId", genre_text(F.col("genres")).alias("content"))
+    if tags is None:
+        return genres
+    tagged = tags.select(F.col("movieId").alias("tagged")).distinct()
+    empty = (F.col("content") == "") & F.col("tagged").isNull()
+    head = genres.join(tagged, F.col("movieId") == F.col("tagged"), "left").select(
+        "movieId", F.when(empty, " ").otherwise(F.col("content")).alias("content")
+    )
+    known = tags.join(movies.select("movieId"), "movieId", "left_semi")
+    return head.unionByName(known.select("movieId", F.col("tag").alias("content")))
+
+
+def _terms(content: DataFrame) -> DataFrame:
+    """Content with its ``terms``: words without stop words."""
+    words = Tokenizer(inputCol="content", outputCol="words").transform(content)
+    return StopWordsRemover(inputCol="words", outputCol="terms").transform(words)
+
+
 def item_vectors(content: DataFrame, dimensions: int = TEXT_DIMENSIONS) -> DataFrame:
-    """TF-IDF vector of each text: ``movieId, idx, val, norm``.
+    """TF-IDF vector of each movie: ``movieId, idx, val, norm``.
 
-    Fitting reads the content once for the document frequencies, a vector of ``dimensions``
-    numbers. Hand in written content so that it is not computed twice.
+    A movie may have one row of content or several: counts are summed per movie and bucket, with
+    partial sums before the shuffle. Document frequencies are at most ``dimensions`` rows. Hand in
+    written content so that it is not computed twice.
     """
-    steps = Pipeline(
-        stages=[
-            Tokenizer(inputCol="content", outputCol="words"),
-            StopWordsRemover(inputCol="words", outputCol="terms"),
-            HashingTF(inputCol="terms", outputCol="counts", numFeatures=dimensions),
-            IDF(inputCol="counts", outputCol="tfidf"),
-        ]
+    hashed = HashingTF(inputCol="terms", outputCol="counts", numFeatures=dimensions).transform(_terms(content))
+    vector = F.unwrap_udt("counts")
+    cells = F.explode_outer(F.arrays_zip(vector["indices"].alias("idx"), vector["values"].alias("val")))
+    counts = (
+        hashed.select("movieId", cells.alias("c"))
+        .groupBy("movieId", F.col("c.idx").alias("idx"))
+        .agg(F.sum("c.val").alias("tf"))
     )
-    vector = F.unwrap_udt("tfidf")
+    counts = written(counts, "term-counts")
+    movies = counts.select(F.count_distinct("movieId")).scalar()
+    idf = F.log((movies + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
+    frequencies = counts.groupBy("idx").agg(F.count("*").alias("df")).select("idx", idf.alias("idf"))
+    weighted = counts.join(frequencies, "idx", "left").select(
+        "movieId", F.when(F.col("idx").isNotNull(), F.struct("idx", (F.col("tf") * F.col("idf")).alias("val"))).alias("cell")
+    )
+    # At most one cell per dimension.
     return (
-        steps.fit(content)
-        .transform(content)
-        .select("movieId", vector["indices"].alias("idx"), vector["values"].alias("val"))
+        weighted.groupBy("movieId")
+        .agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+        .select("movieId", F.col("cells.idx").alias("idx"), F.col("cells.val").alias("val"))
         .withColumn("norm", norm(F.col("val")))
     )
 
 
 def term_weights(content: DataFrame) -> DataFrame:
     """TF-IDF by term instead of bucket, ``movieId, term, weight``: no hash collisions."""
-    words = Pipeline(
-        stages=[
-            Tokenizer(inputCol="content", outputCol="words"),
-            StopWordsRemover(inputCol="words", outputCol="terms"),
-        ]
-    )
     terms = (
-        words.fit(content)
-        .transform(content)
+        _terms(content)
         .select("movieId", F.explode("terms").alias("term"))
         .groupBy("movieId", "term")
         .agg(F.count("*").alias("tf"))
     )
-    documents = content.select(F.count("*")).scalar()
+    documents = content.select(F.count_distinct("movieId")).scalar()
     frequencies = terms.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log((documents + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return terms.join(frequencies, "term").select(
@@ -130,10 +152,12 @@ def item_features(vectors: DataFrame, statistics: DataFrame) -> DataFrame:
 
 
 def liked_movies(
-    ratings: DataFrame, min_rating: float = LIKE_THRESHOLD, per_user: int = LIKES_PER_USER
+    ratings: DataFrame, min_rating: float = LIKE_THRESHOLD, per_user: int | None = None
 ) -> DataFrame:
-    """The best rated movies of each user: by rating, then time, then movie."""
+    """The movies each user likes; with ``per_user`` the best of them: by rating, then time, then movie."""
     likes = ratings.filter(F.col("rating") >= min_rating)
+    if per_user is None:
+        return likes.select("userId", "movieId", "rating")
     order = [F.desc("rating"), F.desc("ts"), F.asc("movieId")]
     return top_per_key(likes, ["userId"], order, per_user).select("userId", "movieId", "rating")
 
@@ -141,15 +165,14 @@ def liked_movies(
 def user_profiles(likes: DataFrame, vectors: DataFrame) -> DataFrame:
     """Rating-weighted mean vector of the liked items: ``userId, idx, val, norm``.
 
-    Likes are capped per user, so grouping by user is balanced and one shuffle suffices: both
-    sums run on the same partitioning. Index -1 carries the weight of the user.
+    Sums per user and index are combined before the shuffle, so a heavy user is no heavier than
+    the dimension. Index -1 carries the weight of the user.
     """
     weight = F.struct(F.lit(-1).alias("idx"), F.lit(1.0).alias("val"))
     entries = F.concat(F.array(weight), F.arrays_zip("idx", "val"))
     summed = (
         likes.join(vectors.select("movieId", "idx", "val"), "movieId")
         .select("userId", "rating", "idx", "val")
-        .repartition("userId")
         .select("userId", "rating", F.explode(entries).alias("e"))
         .groupBy("userId", F.col("e.idx").alias("idx"))
         .agg(F.sum(F.col("rating") * F.col("e.val")).alias("total"))
@@ -175,14 +198,27 @@ def quality_candidates(
     features: DataFrame,
     min_average: float = QUALITY_MIN_AVERAGE,
     min_votes: int = QUALITY_MIN_VOTES,
-    limit: int = MAX_CANDIDATES,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Well rated movies with enough votes, the most voted first."""
-    return (
-        features.filter((F.col("avg_rating") >= min_average) & (F.col("rating_count") >= min_votes))
-        .orderBy(F.desc("rating_count"), F.desc("avg_rating"), F.asc("movieId"))
-        .limit(limit)
-    )
+    """Well rated movies with enough votes; with ``limit`` the most voted of them."""
+    fit = features.filter((F.col("avg_rating") >= min_average) & (F.col("rating_count") >= min_votes))
+    if limit is None:
+        return fit
+    return fit.orderBy(F.desc("rating_count"), F.desc("avg_rating"), F.asc("movieId")).limit(limit)
+
+
+def competitive_candidates(candidates: DataFrame, k: int) -> DataFrame:
+    """The candidates that can be among anyone's ``k`` best; nothing that could be is lost.
+
+    Movies with the same vector are equally similar to everyone, so only their means tell them apart.
+    Of equal means the ``k`` lowest ids suffice, and of lower means none that is further below the k-th
+    best than rounding can bridge.
+    """
+    slack = 4 * 10.0**-SCORE_DECIMALS / AVERAGE_WEIGHT * MAX_SCORE
+    rows = top_per_key(candidates, ["idx", "val", "avg_rating"], [F.asc("movieId")], k, "_place").drop("_place")
+    best = top_per_key(rows.select("idx", "val", "avg_rating"), ["idx", "val"], [F.desc("avg_rating")], k, "_place")
+    floor = best.groupBy("idx", "val").agg(F.min("avg_rating").alias("_floor"))
+    return rows.join(floor, ["idx", "val"]).filter(F.col("avg_rating") >= F.col("_floor") - F.lit(slack)).drop("_floor")
 
 
 def content_top_k(
@@ -196,40 +232,14 @@ def content_top_k(
 
     The score is a weighted sum of similarity to the profile and mean rating. Users stay where
     they are: a pass multiplies blocks of profiles with at most ``per_pass`` candidates that
-    every executor holds. One pass covers the usual limit and needs no shuffle at all. More
-    candidates take more passes, whose lists are merged exactly; hand in written candidates
-    and profiles then. Users whose profile has no weight get no list.
+    every executor holds until the pass is written. The lists of the passes are merged exactly;
+    hand in written profiles. Candidates that cannot enter any list are left out beforehand.
+    Users whose profile has no weight get no list.
     """
     users = profiles.filter(F.col("norm") > 0).select("userId", "idx", "val", "norm")
-    passes = [
-        score_pass(users, block, k, dimensions)
-        for block in _candidate_blocks(candidates, per_pass)
-    ]
-    if not passes:
-        return users.sparkSession.createDataFrame([], TOP_SCHEMA)
-    if len(passes) == 1:
-        return passes[0]
-    pooled = reduce(DataFrame.unionByName, passes).drop("rank")
-    order = [F.desc("score"), F.asc("movieId")]
-    return top_per_key(pooled, ["userId"], order, k).select("userId", "rank", "movieId", "score")
-
-
-def _candidate_blocks(candidates: DataFrame, per_pass: int) -> Iterator[pd.DataFrame]:
-    """Candidates in blocks of ascending movie id, each small enough to ship."""
-    after = None
-    while True:
-        rest = candidates if after is None else candidates.filter(F.col("movieId") > after)
-        block = (
-            rest.select("movieId", "idx", "val", "norm", "avg_rating")
-            .orderBy("movieId")
-            .limit(per_pass)
-            .toPandas()
-        )
-        if len(block):
-            yield block
-        if len(block) < per_pass:
-            return
-        after = int(block["movieId"].iloc[-1])
+    chosen = competitive_candidates(candidates, k)
+    base = F.col("avg_rating") / MAX_SCORE * AVERAGE_WEIGHT
+    return top_by_passes(users, chosen.withColumn("base", base), k, dimensions, per_pass)
 
 
 def content_predictions(test: DataFrame, profiles: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -7,19 +7,22 @@ from collections.abc import Sequence
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastewell.constants import ALS_RANK, ALS_REGULARISATION, LIST_SIZE, SPLIT_SEED
+from tastewell.operators.scoring import top_by_passes
 from tastewell.session import enable_checkpoints
 
 MIN_BLOCKS = 2
 MAX_BLOCKS = 1000
+RATINGS_PER_BLOCK = 1_000_000
+ITEMS_PER_PASS = 50_000  # 10 doubles each: some 4 MB
 
 
-def _blocks(spark: SparkSession) -> int:
-    """One block per core and so one wave of tasks, within limits: blocks exchange data pairwise."""
-    return min(MAX_BLOCKS, max(MIN_BLOCKS, spark.sparkContext.defaultParallelism))
+def block_count(train: DataFrame) -> int:
+    """Blocks for so many ratings; the cluster does not matter, so equal data gives equal factors."""
+    return min(MAX_BLOCKS, max(MIN_BLOCKS, -(-train.count() // RATINGS_PER_BLOCK)))
 
 
 def fit_als(
@@ -28,15 +31,17 @@ def fit_als(
     regularisations: Sequence[float] = (ALS_REGULARISATION,),
     folds: int = 2,
     seed: int = SPLIT_SEED,
+    blocks: int | None = None,
 ) -> ALSModel:
     """Explicit, nonnegative factors.
 
     More than one grid point is cross-validated on RMSE; a single point leaves nothing to
-    choose and is fitted once. Lineage is cut every ten rounds in the shared folder.
+    choose and is fitted once. Lineage is cut every ten rounds in the shared folder. Ids have to
+    fit into 32 bits here.
     """
     spark = train.sparkSession
     enable_checkpoints(spark)
-    blocks = _blocks(spark)
+    blocks = blocks or block_count(train)
     als = ALS(
         userCol="userId",
         itemCol="movieId",
@@ -79,13 +84,19 @@ def als_predictions(test: DataFrame, model: ALSModel | None) -> DataFrame:
     return scored.withColumn("pred_als", F.when(~F.isnan(value), value)).drop("prediction")
 
 
-def als_top_k(model: ALSModel, k: int = LIST_SIZE) -> DataFrame:
-    """The ``k`` best movies of every user, rated ones included: ``userId, rank, movieId, score``."""
-    return model.recommendForAllUsers(k).select(
-        "userId", F.posexplode("recommendations").alias("place", "item")
-    ).select(
-        "userId",
-        (F.col("place") + 1).alias("rank"),
-        F.col("item.movieId").alias("movieId"),
-        F.col("item.rating").cast("double").alias("score"),
-    )
+def als_top_k(
+    model: ALSModel, k: int = LIST_SIZE, users: DataFrame | None = None, movies: DataFrame | None = None
+) -> DataFrame:
+    """The ``k`` best movies of every user, rated ones included: ``userId, rank, movieId, score``.
+
+    ``users`` and ``movies`` restrict both sides by their ids before anything is multiplied.
+    """
+    places = F.transform(F.col("features"), lambda x, i: i)
+    vector = [places.alias("idx"), F.col("features").cast("array<double>").alias("val"), F.lit(1.0).alias("norm")]
+    people = model.userFactors.select(F.col("id").alias("userId"), *vector)
+    items = model.itemFactors.select(F.col("id").alias("movieId"), *vector, F.lit(0.0).alias("base"))
+    if users is not None:
+        people = people.join(users.select("userId"), "userId", "left_semi")
+    if movies is not None:
+        items = items.join(movies.select("movieId"), "movieId", "left_semi")
+    return top_by_passes(people, items, k, model.rank, ITEMS_PER_PASS, weight=1.0)

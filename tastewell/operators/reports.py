@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tastewell.constants import (
     LATEST_RUN,
-    LISTING_USERS,
     LIST_SIZE,
     MISSING_DETAIL,
     NOT_AVAILABLE,
@@ -24,7 +23,6 @@ from tastewell.functions.casting import to_int
 from tastewell.functions.display import epoch_date, fixed, rounded, signed, thousands
 from tastewell.functions.ranking import numbered
 from tastewell.functions.scores import clamp
-from tastewell.operators.content import movie_tags_text
 from tastewell.operators.evaluation import rmse_changes
 
 
@@ -85,12 +83,16 @@ def community_comparison(shown: DataFrame) -> DataFrame:
 
 
 def movie_details(movies: DataFrame, tags: DataFrame | None = None) -> DataFrame:
-    """Movies with defaults for display, and their tags."""
+    """Movies with defaults for display, and all their different tags, the earliest first."""
     base = movies
     if tags is None:
         base = base.withColumn("tags_text", F.lit(None).cast("string"))
     else:
-        base = base.join(movie_tags_text(tags), "movieId", "left")
+        # Repeats of a tag are combined before the shuffle; a row holds different tags only.
+        first = tags.groupBy("movieId", "tag").agg(F.min("ts").alias("ts"))
+        listed = F.sort_array(F.collect_list(F.struct("ts", "tag")))
+        text = first.groupBy("movieId").agg(F.concat_ws(" ", F.transform(listed, lambda t: t["tag"])).alias("tags_text"))
+        base = base.join(text, "movieId", "left")
     return base.select(
         "movieId",
         F.coalesce("title", F.lit(UNKNOWN)).alias("title"),
@@ -161,7 +163,7 @@ def top_movies(movies: DataFrame, limit: int = LIST_SIZE) -> DataFrame:
 
 
 def recommendation_listing(
-    recommendations: DataFrame, movies: DataFrame, limit: int | None = LISTING_USERS
+    recommendations: DataFrame, movies: DataFrame, limit: int | None = None
 ) -> DataFrame:
     """One line per user: number of items and ``Title (4.5★)`` items.
 

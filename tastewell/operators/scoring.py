@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tastewell.constants import AVERAGE_WEIGHT, MAX_SCORE, SIMILARITY_WEIGHT
+from tastewell.constants import SIMILARITY_WEIGHT
+from tastewell.functions.ranking import top_per_key
+from tastewell.session import written
 
 # Tasks get these functions by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -50,8 +54,15 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np
     return rows[kept], cols[kept], place[kept]
 
 
-def score_pass(users: DataFrame, block: pd.DataFrame, k: int, dimensions: int) -> DataFrame:
-    """The ``k`` best of one block of candidates for every user, without a shuffle."""
+def score_pass(
+    users: DataFrame, block: pd.DataFrame, k: int, dimensions: int, weight: float = SIMILARITY_WEIGHT
+) -> DataFrame:
+    """The ``k`` best of one block of candidates for every user, without a shuffle.
+
+    The score is ``weight`` times the product of the normed vectors plus the candidate's ``base``.
+
+    The result is written, so that the block can be dropped from the executors at once.
+    """
     norms = block["norm"].to_numpy(dtype=float)
     items = dense_rows(block["idx"], block["val"], dimensions)
     items /= np.where(norms > 0, norms, 1.0)[:, None]
@@ -59,7 +70,7 @@ def score_pass(users: DataFrame, block: pd.DataFrame, k: int, dimensions: int) -
         (
             np.ascontiguousarray(items.T),
             block["movieId"].to_numpy(dtype=np.int32),
-            block["avg_rating"].to_numpy(dtype=float) / MAX_SCORE * AVERAGE_WEIGHT,
+            block["base"].to_numpy(dtype=float),
         )
     )
 
@@ -70,7 +81,7 @@ def score_pass(users: DataFrame, block: pd.DataFrame, k: int, dimensions: int) -
                 part = batch.iloc[start : start + USERS_PER_BLOCK]
                 vectors = dense_rows(part["idx"], part["val"], dimensions)
                 vectors /= part["norm"].to_numpy(dtype=float)[:, None]
-                scores = np.round(SIMILARITY_WEIGHT * (vectors @ matrix) + base, SCORE_DECIMALS)
+                scores = np.round(weight * (vectors @ matrix) + base, SCORE_DECIMALS)
                 rows, cols, place = best_columns(scores, k)
                 yield pd.DataFrame(
                     {
@@ -81,4 +92,40 @@ def score_pass(users: DataFrame, block: pd.DataFrame, k: int, dimensions: int) -
                     }
                 )
 
-    return users.mapInPandas(score, TOP_SCHEMA)
+    found = written(users.mapInPandas(score, TOP_SCHEMA), "top-pass")
+    shipped.destroy()
+    return found
+
+
+def top_by_passes(
+    users: DataFrame, candidates: DataFrame, k: int, dimensions: int, per_pass: int, weight: float = SIMILARITY_WEIGHT
+) -> DataFrame:
+    """The ``k`` best candidates of every user: ``userId, rank, movieId, score``.
+
+    Users have ``userId, idx, val, norm``, candidates ``movieId, idx, val, norm, base``. Users stay
+    where they are; a pass ships at most ``per_pass`` candidates, and the passes' lists are merged.
+    """
+    # Sorted by id, so that a block reads few row groups.
+    chosen = candidates.select("movieId", "idx", "val", "norm", "base")
+    chosen = written(chosen.repartitionByRange("movieId").sortWithinPartitions("movieId"), "pass-candidates")
+    passes = [score_pass(users, block, k, dimensions, weight) for block in _blocks(chosen, per_pass)]
+    if not passes:
+        return users.sparkSession.createDataFrame([], TOP_SCHEMA)
+    if len(passes) == 1:
+        return passes[0]
+    pooled = reduce(DataFrame.unionByName, passes).drop("rank")
+    order = [F.desc("score"), F.asc("movieId")]
+    return top_per_key(pooled, ["userId"], order, k).select("userId", "rank", "movieId", "score")
+
+
+def _blocks(candidates: DataFrame, per_pass: int) -> Iterator[pd.DataFrame]:
+    """Candidates in blocks of ascending movie id, each small enough to ship."""
+    after = None
+    while True:
+        rest = candidates if after is None else candidates.filter(F.col("movieId") > after)
+        block = rest.orderBy("movieId").limit(per_pass).toPandas()
+        if len(block):
+            yield block
+        if len(block) < per_pass:
+            return
+        after = int(block["movieId"].iloc[-1])

@@ -88,8 +88,9 @@ def genre_chart(genres: DataFrame, label_share: float = CHART_LABEL_SHARE) -> Da
 
 
 def rating_histogram(ratings: DataFrame) -> DataFrame:
-    """Count per rating value that occurs."""
-    return ratings.dropna(subset=["rating"]).groupBy("rating").agg(F.count("*").alias("count"))
+    """Count per rating value that occurs, in order of value."""
+    counted = ratings.dropna(subset=["rating"]).groupBy("rating").agg(F.count("*").alias("count"))
+    return counted.orderBy("rating")
 
 
 def binned_histogram(histogram: DataFrame) -> DataFrame:

@@ -42,10 +42,10 @@ raw_stats AS (
 enriched AS (
   SELECT movieId, m.title, m.genres, s.avg_rating, s.rating_count
   FROM movies m FULL JOIN raw_stats s USING (movieId)),
-train AS (
-  SELECT * FROM ratings WHERE (CAST(userId AS BIGINT) * 31 + CAST(movieId AS BIGINT) * 17) % 10 < 8),
-test AS (
-  SELECT * FROM ratings WHERE (CAST(userId AS BIGINT) * 31 + CAST(movieId AS BIGINT) * 17) % 10 >= 8),
+sides AS (
+  SELECT *, CAST('0x' || substr(md5(userId || '-' || movieId), 1, 8) AS BIGINT) % 10000 AS side FROM ratings),
+train AS (SELECT userId, movieId, rating, ts FROM sides WHERE side < 8000),
+test AS (SELECT userId, movieId, rating, ts FROM sides WHERE side >= 8000),
 genre_of AS (
   SELECT trim(g) AS genre FROM (
     SELECT unnest(string_split(genres, '|')) AS g FROM movies
@@ -67,15 +67,22 @@ placed_tags AS (
 tag_text AS (
   SELECT movieId, string_agg(tag, ' ' ORDER BY place) AS tags_text
   FROM placed_tags WHERE place <= 100 GROUP BY 1),
+all_tags AS (SELECT movieId, string_agg(tag, ' ' ORDER BY place) AS tags_text FROM placed_tags GROUP BY 1),
+shown_tags AS (
+  SELECT movieId, string_agg(tag, ' ' ORDER BY ts, tag) AS tags_text
+  FROM (SELECT movieId, tag, MIN(ts) AS ts FROM tags GROUP BY 1, 2) GROUP BY 1),
 content AS (
   SELECT movieId, concat_ws(' ', replace(genres, '|', ' '), COALESCE(tags_text, '')) AS content
   FROM movies LEFT JOIN tag_text USING (movieId)),
+whole_content AS (
+  SELECT movieId, concat_ws(' ', replace(genres, '|', ' '), COALESCE(tags_text, '')) AS content
+  FROM movies LEFT JOIN all_tags USING (movieId)),
 words AS (
   SELECT movieId, unnest(CASE
       WHEN content = '' THEN ['']
       WHEN rtrim(content, ' ') = '' THEN []
       ELSE string_split(rtrim(lower(content), ' '), ' ') END) AS term
-  FROM content),
+  FROM whole_content),
 terms AS (SELECT movieId, term, COUNT(*) AS tf FROM words WHERE term <> 'not' GROUP BY 1, 2),
 idf AS (
   SELECT term, ln(((SELECT COUNT(*) FROM content) + 1.0) / (COUNT(*) + 1.0)) AS idf FROM terms GROUP BY 1),
@@ -91,10 +98,7 @@ features AS (
 
 def _profiles(source: str, name: str) -> str:
     return f"""
-{name}_likes AS (
-  SELECT userId, movieId, rating FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY userId ORDER BY rating DESC, ts DESC, movieId) AS rn
-    FROM {source} WHERE rating >= 4.0) WHERE rn <= {LIKES}),
+{name}_likes AS (SELECT userId, movieId, rating, ts FROM {source} WHERE rating >= 4.0),
 {name}_weight AS (
   SELECT userId, SUM(rating) AS weight FROM {name}_likes JOIN content USING (movieId) GROUP BY 1),
 {name}_terms AS (
@@ -211,8 +215,7 @@ SERIALISED = """SELECT userId, string_agg(movieId || ':' || printf('%.2f',
   greatest(0.0, least(5.0, score))), ',' ORDER BY rank) AS items FROM als GROUP BY 1"""
 CBF_TOP = f"""
 , chosen AS (
-  SELECT * FROM features WHERE avg_rating >= {MIN_AVERAGE} AND rating_count >= {MIN_VOTES}
-  ORDER BY rating_count DESC, avg_rating DESC, movieId LIMIT 1000),
+  SELECT * FROM features WHERE avg_rating >= {MIN_AVERAGE} AND rating_count >= {MIN_VOTES}),
 pair_dots AS (
   SELECT p.userId, w.movieId, SUM(p.value * w.weight) AS dot
   FROM fitted_terms p JOIN (SELECT w.* FROM weights w JOIN chosen USING (movieId)) w USING (term)
@@ -234,6 +237,12 @@ def statements() -> dict[str, str]:
         "tags_clean": _sql("SELECT * FROM tags"),
         "ingest_movies": "SELECT CAST(p_partkey AS INT) AS movieId, p_name || ', \"' || p_brand || '\"' "
         "|| chr(10) || p_type AS title, p_type AS genres FROM part",
+        "ingest_movies_split": "SELECT CAST(p_partkey AS INT) AS movieId, "
+        "CASE WHEN p_partkey % 7 = 1 THEN p_name ELSE p_name || ', \"' || p_brand || '\"' END AS title, "
+        "p_type AS genres FROM part WHERE p_partkey % 7 NOT IN (0, 2)",
+        "ingest_overview": "SELECT CASE p_partkey % 7 WHEN 0 THEN 'too few fields' WHEN 2 THEN 'unbalanced quote' "
+        "ELSE 'accepted' END AS reason, COUNT(*) AS rows FROM part GROUP BY 1",
+        "movie_line_count": _sql("SELECT CAST(movieId AS VARCHAR) AS movie, COUNT(*) AS lines FROM lines GROUP BY 1"),
         "ingest_ratings": _sql(
             "SELECT userId, movieId, rating, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY userId, "
             "movieId ORDER BY ts DESC, rating DESC) AS rn FROM lines WHERE l_linenumber <> 7) WHERE rn = 1"
@@ -284,7 +293,7 @@ def statements() -> dict[str, str]:
         "movie_details": _text(
             "SELECT movieId, COALESCE(title, 'Unknown') AS title, COALESCE(genres, '--') AS genres, "
             "COALESCE(avg_rating, 0.0) AS avg_rating, COALESCE(rating_count, 0) AS rating_count, "
-            "COALESCE(tags_text, '') AS tags FROM enriched LEFT JOIN tag_text USING (movieId)"
+            "COALESCE(tags_text, '') AS tags FROM enriched LEFT JOIN shown_tags USING (movieId)"
         ),
         "top_movies": _sql(
             "SELECT movieId, COALESCE(title, 'Unknown') AS title, rating_count FROM enriched "
@@ -313,7 +322,11 @@ def statements() -> dict[str, str]:
         "tfidf_hashed": _text(
             "SELECT movieId, round(total, 6) AS total, round(norm, 6) AS norm FROM norms"
         ),
-        "liked_movies": _text("SELECT * FROM fitted_likes", profile),
+        "liked_movies": _text(
+            "SELECT userId, movieId, rating FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY userId "
+            f"ORDER BY rating DESC, ts DESC, movieId) AS rn FROM fitted_likes) WHERE rn <= {LIKES}",
+            profile,
+        ),
         "user_profile": _text(
             "SELECT userId, round(total, 6) AS total, round(norm, 6) AS norm FROM fitted", profile
         ),
@@ -322,7 +335,7 @@ def statements() -> dict[str, str]:
         ),
         "quality_candidates": _text(
             f"SELECT movieId, avg_rating, rating_count FROM features WHERE avg_rating >= {MIN_AVERAGE} "
-            f"AND rating_count >= {MIN_VOTES} ORDER BY rating_count DESC, avg_rating DESC, movieId LIMIT 1000"
+            f"AND rating_count >= {MIN_VOTES}"
         ),
         "cbf_topk": _text(
             "SELECT userId, rank, movieId, score FROM (SELECT *, CAST(ROW_NUMBER() OVER "
@@ -338,6 +351,19 @@ def statements() -> dict[str, str]:
             "SELECT 'train' AS side, COUNT(*) AS rows, SUM(rating) AS total FROM train "
             "UNION ALL SELECT 'test', COUNT(*), SUM(rating) FROM test"
         ),
+        "split_by_user": _sql(
+            "SELECT userId, COUNT(*) AS rows, CAST(SUM(movieId) AS BIGINT) AS movies FROM test GROUP BY 1"
+        ),
+        "ratings_latest_nulls": _sql(
+            "SELECT userId, movieId, CASE WHEN movieId % 10 <> 3 THEN rating END AS rating, "
+            "CASE WHEN movieId % 10 <> 4 THEN ts ELSE 0 END AS ts FROM ratings"
+        ),
+        "user_history_numbered_nulls": _sql(
+            "SELECT userId, ROW_NUMBER() OVER (PARTITION BY userId ORDER BY date DESC NULLS LAST, rating DESC NULLS LAST, "
+            "movieId) AS ordinal, movieId, rating, date FROM (SELECT userId, movieId, "
+            "CASE WHEN movieId % 10 <> 3 THEN rating END AS rating, CASE WHEN movieId % 10 <> 4 THEN date END AS date "
+            "FROM history)"
+        ),
         "recs_flat": _sql("SELECT userId, rank, movieId, score FROM als", LISTS),
         "recs_serialized": _sql(SERIALISED, LISTS),
         "recs_parsed": _sql(

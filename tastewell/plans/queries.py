@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastewell import fixtures as fx
+from tastewell.constants import HYBRID_MIN_VOTES, LISTING_USERS
 from tastewell.functions.display import fixed
 from tastewell.functions.scores import clamp
 from tastewell.operators import content as cb
@@ -21,7 +22,7 @@ from tastewell.operators import hybrid as hy
 from tastewell.operators import lists as li
 from tastewell.operators import reports as rp
 from tastewell.operators import statistics as st
-from tastewell.operators.ratings import split_by_key
+from tastewell.operators.ratings import latest_ratings, split_by_key
 from tastewell.plans.statistics_job import write_statistics
 from tastewell.plans.training import TrainingConfig, run_training
 from tastewell.session import scratch_path, written
@@ -54,12 +55,16 @@ def content(spark: SparkSession, sf: str) -> DataFrame:
     return cb.movie_content(fx.movies(spark, sf), fx.tags(spark, sf))
 
 
+def pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return cb.content_rows(fx.movies(spark, sf), fx.tags(spark, sf))
+
+
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return written(cb.item_vectors(written(content(spark, sf), "content")), "vectors")
+    return written(cb.item_vectors(pieces(spark, sf)), "vectors")
 
 
 def profiles(ratings: DataFrame, items: DataFrame) -> DataFrame:
-    return cb.user_profiles(cb.liked_movies(ratings, per_user=LIKES), items)
+    return cb.user_profiles(cb.liked_movies(ratings), items)
 
 
 def surrogate_als(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,6 +146,47 @@ def ingest_movies(spark, sf):
     return csv_files.last_written(good, ["movieId"])
 
 
+def _movies_csv(spark, sf) -> str:
+    """Movie lines; some short, some long, some with an open quote, some quoted with commas."""
+    key = F.col("p_partkey")
+    line = (
+        F.when(key % 7 == 0, F.concat(key, F.lit(","), F.col("p_name")))
+        .when(key % 7 == 1, F.concat(key, F.lit(","), F.col("p_name"), F.lit(","), F.col("p_type"), F.lit(",extra")))
+        .when(key % 7 == 2, F.concat(key, F.lit(',"'), F.col("p_name"), F.lit(","), F.col("p_type")))
+        .otherwise(F.concat(key, F.lit(',"'), F.col("p_name"), F.lit(', ""'), F.col("p_brand"), F.lit('""",'), F.col("p_type")))
+    )
+    path = scratch_path(spark, "movie-lines")
+    # One raw column: a separator and a quote that no line holds leave the lines as they are.
+    lines = fx.table(spark, sf, "part").select(line.alias("movieId,title,genres"))
+    lines.write.csv(path, header=True, sep="\x01", quote="\x00", escape="\x00")
+    return path
+
+
+def ingest_movies_split(spark, sf):
+    """Good rows of split files, whatever columns are asked for."""
+    return _split_movies(spark, sf)[0].drop("_position")
+
+
+def _split_movies(spark, sf):
+    return csv_files.read_movies(spark, _movies_csv(spark, sf), multi_line=False)
+
+
+def ingest_overview(spark, sf):
+    """Counts from split files: good rows, and rejects by reason."""
+    good, rejects = _split_movies(spark, sf)
+    accepted = good.agg(F.lit("accepted").alias("reason"), F.count("*").alias("rows"))
+    return accepted.unionByName(rejects.groupBy("reason").agg(F.count("*").alias("rows")))
+
+
+def movie_line_count(spark, sf):
+    """Lines per movie in the ratings files, malformed ratings included."""
+    path = scratch_path(spark, "rating-lines")
+    lines = fx._lines_with_orders(spark, sf)
+    rating = F.when(F.col("l_linenumber") == 7, "n/a").otherwise("4.0")
+    lines.select("userId", "movieId", rating.alias("rating"), F.col("ts").alias("timestamp")).write.csv(path, header=True)
+    return csv_files.line_counts(spark, path)
+
+
 def _ratings_csv(spark, sf) -> str:
     """Rating lines in time order, so the last in the files is the latest; some malformed."""
     bad = F.col("l_linenumber") == 7
@@ -358,12 +404,12 @@ def movie_content(spark, sf):
 
 
 def tfidf_terms(spark, sf):
-    return _rounded(cb.term_weights(written(content(spark, sf), "content")), "weight")
+    return _rounded(cb.term_weights(written(pieces(spark, sf), "content")), "weight")
 
 
 def tfidf_hashed(spark, sf):
     total = F.aggregate("val", F.lit(0.0), lambda a, x: a + x)
-    items = cb.item_vectors(written(content(spark, sf), "content"))
+    items = cb.item_vectors(pieces(spark, sf))
     return _rounded(items.select("movieId", total.alias("total"), "norm"), "total", "norm")
 
 
@@ -389,16 +435,16 @@ def quality_candidates(spark, sf):
     return chosen.select("movieId", "avg_rating", "rating_count")
 
 
-def _content_lists(spark, sf) -> DataFrame:
-    ratings = written(fx.ratings(spark, sf), "ratings")
-    items = vectors(spark, sf)
+def _content_model(ratings: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Profiles and candidates of one set of ratings, written."""
     features = cb.item_features(items, st.movie_statistics(ratings))
     candidates = cb.quality_candidates(features, MIN_AVERAGE, MIN_VOTES)
-    return cb.content_top_k(profiles(ratings, items), candidates)
+    return written(profiles(ratings, items), "profiles"), written(candidates, "candidates")
 
 
 def cbf_topk(spark, sf):
-    return _content_lists(spark, sf)
+    ratings = written(fx.ratings(spark, sf), "ratings")
+    return cb.content_top_k(*_content_model(ratings, vectors(spark, sf)))
 
 
 def _content_predictions(spark, sf) -> DataFrame:
@@ -427,6 +473,33 @@ def split_counts(spark, sf):
     return sides.groupBy("side").agg(F.count("*").alias("rows"), F.sum("rating").alias("total"))
 
 
+def split_by_user(spark, sf):
+    """Test rows of each user."""
+    _, test = split_by_key(fx.ratings(spark, sf))
+    return test.groupBy("userId").agg(F.count("*").alias("rows"), F.sum("movieId").alias("movies"))
+
+
+def _with_nulls(spark, sf) -> DataFrame:
+    """Ratings some of which lack the rating, some the time."""
+    return fx.ratings(spark, sf).select(
+        "userId",
+        "movieId",
+        F.when(F.col("movieId") % 10 != 3, F.col("rating")).alias("rating"),
+        F.when(F.col("movieId") % 10 != 4, F.col("ts")).alias("ts"),
+    )
+
+
+def ratings_latest_nulls(spark, sf):
+    """Latest ratings where times and ratings are missing."""
+    return latest_ratings(_with_nulls(spark, sf).unionByName(fx.ratings(spark, sf).filter("movieId % 10 = 4").withColumn("ts", F.lit(-1).cast("bigint"))))
+
+
+def user_history_numbered_nulls(spark, sf):
+    """Every row keeps its place, also without a rating or a date."""
+    placed = rp.user_history(_with_nulls(spark, sf), fx.movies(spark, sf), places=True)
+    return placed.select("userId", "ordinal", "movieId", "rating", F.col("date").cast("string").alias("date"))
+
+
 def recs_flat(spark, sf):
     """Lists gathered per user and taken apart again."""
     return li.to_flat(li.to_lists(surrogate_als(spark, sf)))
@@ -510,11 +583,11 @@ def community_vs_predicted(spark, sf):
 
 
 def recs_listing(spark, sf):
-    return rp.recommendation_listing(surrogate_lists(spark, sf), enriched(spark, sf))
+    return rp.recommendation_listing(surrogate_lists(spark, sf), enriched(spark, sf), LISTING_USERS)
 
 
 def recs_search(spark, sf):
-    listing = rp.recommendation_listing(surrogate_lists(spark, sf), enriched(spark, sf), limit=None)
+    listing = rp.recommendation_listing(surrogate_lists(spark, sf), enriched(spark, sf))
     return rp.search_listing(listing, "RED (bolt|ring)")
 
 
@@ -578,9 +651,19 @@ def als_eval(spark, sf):
 
 
 def hybrid_topk(spark, sf):
+    """Both models fitted to the same training ratings; only unrated movies with enough votes."""
     train, _ = split_by_key(written(fx.ratings(spark, sf), "ratings"))
-    als = fa.als_top_k(fa.fit_als(train), 20)
-    return hy.hybrid_top_k(als, _content_lists(spark, sf), train)
+    return _hybrid_lists(spark, sf, written(train, "train"))
+
+
+def _hybrid_lists(spark, sf, train: DataFrame) -> DataFrame:
+    voted = written(st.movies_with_votes(train, HYBRID_MIN_VOTES), "voted")
+    people, candidates = _content_model(train, vectors(spark, sf))
+    fit = written(candidates.join(voted, "movieId", "left_semi"), "voted-candidates")
+    model = fa.fit_als(train)
+    als = hy.unrated_lists(lambda users, n: fa.als_top_k(model, n, users, voted), train, 20)
+    cbf = hy.unrated_lists(lambda users, n: cb.content_top_k(people.join(users, "userId", "left_semi"), fit, n), train, 10)
+    return hy.hybrid_top_k(als, cbf, train)
 
 
 def _small_thresholds() -> TrainingConfig:
@@ -606,6 +689,9 @@ REGISTERED: list[Query] = [
     ratings_latest,
     tags_clean,
     ingest_movies,
+    ingest_movies_split,
+    ingest_overview,
+    movie_line_count,
     ingest_ratings,
     ingest_tags,
     ingest_rejects,
@@ -646,6 +732,9 @@ REGISTERED: list[Query] = [
     cbf_predictions,
     cbf_eval,
     split_counts,
+    split_by_user,
+    ratings_latest_nulls,
+    user_history_numbered_nulls,
     recs_flat,
     recs_serialized,
     recs_parsed,

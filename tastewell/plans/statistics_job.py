@@ -25,6 +25,7 @@ def load_store(
 
     # Parsed once: the statistics and the deduplicated table read the columnar copy.
     accepted = written(rating_rows, "accepted-ratings")
+    movie_rows = written(movie_rows, "accepted-movies")
     write_table(last_written(accepted, ["userId", "movieId"]), root, "ratings")
     write_table(tag_rows, root, "tags", mode="overwrite")
     write_statistics(accepted, last_written(movie_rows, ["movieId"]), movie_rows, root)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.ml.recommendation import ALSModel
@@ -13,20 +14,20 @@ from pyspark.sql import functions as F
 from tastewell import schemas
 from tastewell.constants import (
     HYBRID_MIN_VOTES,
-    LIKES_PER_USER,
     LIST_SIZE,
-    MAX_CANDIDATES,
     MODELS,
     QUALITY_MIN_AVERAGE,
     QUALITY_MIN_VOTES,
+    SPLIT_SEED,
+    TRAIN_FRACTION,
 )
 from tastewell.operators.content import (
     content_predictions,
+    content_rows,
     content_top_k,
     item_features,
     item_vectors,
     liked_movies,
-    movie_content,
     quality_candidates,
     user_profiles,
 )
@@ -37,9 +38,9 @@ from tastewell.operators.evaluation import (
     with_winner_flag,
 )
 from tastewell.operators.factorisation import als_predictions, als_top_k, fit_als
-from tastewell.operators.hybrid import hybrid_predictions, hybrid_top_k
-from tastewell.operators.ratings import split_by_key
-from tastewell.operators.statistics import movie_statistics
+from tastewell.operators.hybrid import hybrid_predictions, hybrid_top_k, unrated_lists
+from tastewell.operators.ratings import split_at_random, split_by_key
+from tastewell.operators.statistics import movie_statistics, movies_with_votes
 from tastewell.session import written
 from tastewell.sources.tables import load_dataset, read_table, table_exists, write_table
 
@@ -51,15 +52,20 @@ class TrainingConfig:
     models: Sequence[str] = field(default_factory=lambda: list(MODELS))
     k: int = LIST_SIZE
     content_pool: int = LIST_SIZE
-    likes_per_user: int = LIKES_PER_USER
+    likes_per_user: int | None = None
     min_average: float = QUALITY_MIN_AVERAGE
     min_votes: int = QUALITY_MIN_VOTES
-    max_candidates: int = MAX_CANDIDATES
+    max_candidates: int | None = None
     hybrid_min_votes: int = HYBRID_MIN_VOTES
     hybrid_scale: str = "reference"
     eval_fraction: float = 1.0
     als_ranks: Sequence[int] = (10,)
     als_regularisations: Sequence[float] = (0.1,)
+    als_blocks: int | None = None
+    split: str = "key"
+    train_fraction: float = TRAIN_FRACTION
+    split_seed: int = SPLIT_SEED
+    updated_at: datetime | None = None
 
 
 @dataclass
@@ -83,8 +89,7 @@ def chosen_models(name: str) -> list[str]:
 def fit_content(
     train: DataFrame, movies: DataFrame, tags: DataFrame | None, config: TrainingConfig
 ) -> ContentModel:
-    content = written(movie_content(movies, tags), "content")
-    vectors = written(item_vectors(content), "vectors")
+    vectors = written(item_vectors(content_rows(movies, tags)), "vectors")
     likes = liked_movies(train, per_user=config.likes_per_user)
     candidates = quality_candidates(
         item_features(vectors, movie_statistics(train)),
@@ -114,23 +119,23 @@ def predictions(
 def recommendation_lists(
     als: ALSModel | None, content: ContentModel | None, train: DataFrame, config: TrainingConfig
 ) -> DataFrame:
-    """The lists of all chosen models in one table, ``model, userId, rank, movieId, score``.
+    """The lists of all chosen models in one table, ``model, userId, rank, movieId, score``."""
+    lists: dict[str, DataFrame] = {}
+    if "als" in config.models:
+        lists["als"] = als_top_k(als, config.k)
+    if "cbf" in config.models:
+        lists["cbf"] = content_top_k(content.profiles, content.candidates, config.k)
+    if "hybrid" in config.models:
+        # The pools hold what the hybrid may show: movies with enough votes that the user has not rated.
+        voted = written(movies_with_votes(train, config.hybrid_min_votes), "voted")
+        candidates = written(content.candidates.join(voted, "movieId", "left_semi"), "voted-candidates")
+
+        def content_lists(users: DataFrame, n: int) -> DataFrame:
+            return content_top_k(content.profiles.join(users, "userId", "left_semi"), candidates, n)
 
-    Each pool is computed once; a model's own list is its head.
-    """
-    hybrid = "hybrid" in config.models
-    pools: dict[str, DataFrame] = {}
-    if als is not None:
-        size = 2 * config.k if hybrid else config.k
-        pools["als"] = written(als_top_k(als, size), "als-pool")
-    if content is not None:
-        size = max(config.k, config.content_pool) if hybrid else config.k
-        pools["cbf"] = written(content_top_k(content.profiles, content.candidates, size), "cbf-pool")
-    lists = {m: pool.filter(F.col("rank") <= config.k) for m, pool in pools.items()}
-    if hybrid:
         lists["hybrid"] = hybrid_top_k(
-            pools["als"],
-            pools["cbf"].filter(F.col("rank") <= config.content_pool),
+            written(unrated_lists(lambda users, n: als_top_k(als, n, users, voted), train, 2 * config.k), "als-pool"),
+            written(unrated_lists(content_lists, train, config.content_pool), "cbf-pool"),
             train,
             config.k,
             config.hybrid_min_votes,
@@ -143,44 +148,50 @@ def recommendation_lists(
     )
 
 
-def _kept_lists(spark: SparkSession, root: str, models: Sequence[str]) -> DataFrame | None:
-    """Stored lists of models that are not part of this run; they no longer win."""
-    if not table_exists(spark, root, "recommendations"):
-        return None
-    stored = read_table(spark, root, "recommendations")
-    return stored.filter(~F.col("model").isin(list(models))).withColumn("is_winner", F.lit(False))
+def split_ratings(ratings: DataFrame, config: TrainingConfig) -> tuple[DataFrame, DataFrame]:
+    """Train and test set by the rule on the key, or at random with the run's seed."""
+    if config.split == "key":
+        return split_by_key(ratings, config.train_fraction)
+    if config.split != "random":
+        raise ValueError(f"unknown split {config.split!r}")
+    # Written, so that both sides come from one draw.
+    train, test = split_at_random(ratings, config.train_fraction, config.split_seed)
+    return written(train, "train"), written(test, "test")
 
 
 def run_training(
     spark: SparkSession, root: str, run_id: str, config: TrainingConfig | None = None
 ) -> DataFrame:
-    """Train on the stored tables, store metrics and lists, return the metrics of the run.
+    """Train on the stored tables, store lists and metrics, return the metrics of the run.
 
     The split is a rule on the key, so train and test set are scans with a filter: nothing
-    has to stay in memory, and a lost executor costs a rescan.
+    has to stay in memory, and a lost executor costs a rescan. A run can be repeated: its lists
+    replace those of its models, its metrics those of its run id. The metrics come last; they name
+    the winner, so an unfinished run has none.
     """
     config = config or TrainingConfig()
+    updated_at = config.updated_at or datetime.now(timezone.utc)
     ratings, movies, tags = load_dataset(spark, root)
-    train, test = split_by_key(ratings)
+    train, test = split_ratings(ratings, config)
     needs_als = "als" in config.models or "hybrid" in config.models
     needs_content = "cbf" in config.models or "hybrid" in config.models
-    als = fit_als(train, config.als_ranks, config.als_regularisations) if needs_als else None
+    als = fit_als(train, config.als_ranks, config.als_regularisations, blocks=config.als_blocks) if needs_als else None
     content = fit_content(train, movies, tags, config) if needs_content else None
 
     scored = predictions(evaluation_sample(test, config.eval_fraction), als, content, config.models)
     errors = compared_models(scored, models=config.models).select(
-        F.lit(run_id).alias("run_id"), "model", "rmse", "mae", F.current_timestamp().alias("updated_at")
+        F.lit(run_id).alias("run_id"), "model", "rmse", "mae", F.lit(updated_at).cast("timestamp").alias("updated_at")
     )
     metrics = written(with_winner_flag(written(errors, "errors")), "metrics")
-    write_table(metrics, root, "model_metrics")
 
     winner = winners(metrics).select("winner_model").scalar()
     lists = recommendation_lists(als, content, train, config).withColumn(
         "is_winner", F.coalesce(F.col("model") == winner, F.lit(False))
     )
-    lists = lists.select(*schemas.RECOMMENDATIONS.fieldNames())
-    kept = _kept_lists(spark, root, config.models)
-    if kept is not None:
-        lists = written(lists.unionByName(kept), "lists")
-    write_table(lists, root, "recommendations")
+    write_table(lists.select(*schemas.RECOMMENDATIONS.fieldNames()), root, "recommendations")
+    kept = metrics
+    if table_exists(spark, root, "model_metrics"):
+        others = read_table(spark, root, "model_metrics").filter(F.col("run_id") != run_id)
+        kept = written(others.unionByName(metrics), "all-metrics")
+    write_table(kept, root, "model_metrics", mode="overwrite")
     return metrics

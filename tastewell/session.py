@@ -13,15 +13,23 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where the session names none (a local test session) a folder is made here.
+    Only a local session that names none gets a folder made here; on a cluster each machine would
+    write to its own disk and later reads would see part of the rows.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if not folder:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="tastewell-")
         spark.conf.set(CHECKPOINT_SETTING, folder)
     return folder.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def enable_checkpoints(spark: SparkSession) -> None:
     """Let iterative training cut its lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
@@ -33,7 +41,9 @@ def _application_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, grouped by application."""
+    """A fresh path below the shared folder, grouped by application and removed when that ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastewell import schemas
-from tastewell.functions.casting import is_blank, to_finite_double, to_int, to_long
+from tastewell.functions.casting import VISIBLE_TEXT, is_blank, to_finite_double, to_int, to_long
 
 RAW = "_raw"
+CORRUPT = "_corrupt"
 POSITION = "_position"
 
 
@@ -61,15 +62,43 @@ def _by_header(
     return _read_text_fields(spark, path, header, multi_line, check_header=True)
 
 
-def _with_position(df: DataFrame) -> DataFrame:
+def _read_lines(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+    """As ``_read_text_fields``, line by line: files are split, and every line keeps its raw text.
+
+    Each line is parsed for itself with all columns, so what a caller selects cannot change which
+    rows are good. Lines like the first one are headers.
+    """
+    lines = spark.read.text(path)
+    header = lines.first()
+    schema = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "maxCharsPerColumn": "-1"}
+    kept = lines.filter(F.col("value").rlike(VISIBLE_TEXT) & (F.col("value") != F.lit(header["value"] if header else "")))
+    fields = F.from_csv("value", F.lit(schema), options)
+    return kept.select("*", fields.alias("_fields"), "_metadata").select(
+        *[F.col(f"_fields.{c}").alias(c) for c in columns], F.col("value").alias(RAW), "_metadata"
+    )
+
+
+def _unbalanced() -> Column:
+    """An odd number of quotes: a line that is a part of a row with line breaks, or broken."""
+    quotes = F.length(RAW) - F.length(F.translate(RAW, '"', ""))
+    return F.col(RAW).isNotNull() & (quotes % 2 == 1)
+
+
+def _with_position(df: DataFrame, path: str | list[str]) -> DataFrame:
     """Where a row stands: file, split of the file, row within the split.
 
-    One task reads one split from start to end, so the three order rows as the files do.
+    One task reads one split from start to end, so the three order rows as the files do. Files
+    given one by one count in the order given, those of one folder by their path.
     """
+    given = [path] if isinstance(path, str) else list(path)
+    file = F.col("_metadata.file_path")
+    places = [F.when(file.contains(p.split(":")[-1].rstrip("/")), F.lit(i)) for i, p in enumerate(given)]
     return df.withColumn(
         POSITION,
         F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            F.coalesce(*places, F.lit(len(given))).alias("given"),
+            file.alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ),
@@ -113,12 +142,16 @@ def read_movies(
     """Movies: at least three fields, extra fields ignored, whole-number id.
 
     Titles may hold line breaks, so files are read whole by default: one task per file. Turn
-    ``multi_line`` off for large files without line breaks in fields and they are split.
+    ``multi_line`` off for large files without line breaks in fields and they are split; the
+    lines of a row with line breaks then are rejects.
     """
     columns = ["movieId", "title", "genres"]
-    df = _with_position(_read_text_fields(spark, path, columns, multi_line))
-    reason = F.when(_is_short(3), "too few fields").when(
-        to_int(F.col("movieId")).isNull(), "movieId is not a whole number"
+    read = _read_text_fields(spark, path, columns, True) if multi_line else _read_lines(spark, path, columns)
+    df = _with_position(read, path)
+    reason = (
+        F.when(F.lit(not multi_line) & _unbalanced(), "unbalanced quote")
+        .when(_is_short(3), "too few fields")
+        .when(to_int(F.col("movieId")).isNull(), "movieId is not a whole number")
     )
     return _partition(
         df,
@@ -140,7 +173,7 @@ def read_ratings(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame,
     The files are split: numeric fields hold no line breaks.
     """
     columns = ["userId", "movieId", "rating", "timestamp"]
-    df = _with_position(_by_header(spark, path, columns, multi_line=False))
+    df = _with_position(_by_header(spark, path, columns, multi_line=False), path)
     parsed = {
         "userId": to_int(F.col("userId")),
         "movieId": to_int(F.col("movieId")),
@@ -162,9 +195,10 @@ def read_tags(
     A malformed time becomes 0, as for stored tags without one.
     """
     columns = ["userId", "movieId", "tag", "timestamp"]
-    df = _read_text_fields(spark, path, columns, multi_line)
+    df = _read_text_fields(spark, path, columns, True) if multi_line else _read_lines(spark, path, columns)
     reason = (
-        F.when(_is_short(4), "too few fields")
+        F.when(F.lit(not multi_line) & _unbalanced(), "unbalanced quote")
+        .when(_is_short(4), "too few fields")
         .when(is_blank(F.col("tag")), "blank tag")
         .when(to_int(F.col("userId")).isNull(), "userId is not a number")
         .when(to_int(F.col("movieId")).isNull(), "movieId is not a number")
@@ -183,6 +217,18 @@ def read_tags(
     )
 
 
+def line_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines per movie id as it stands in the ratings files, readable or not: ``movie, lines``.
+
+    Every line with two fields or more counts, but for the header; the second field is the movie.
+    """
+    lines = spark.read.text(path)
+    header = lines.first()
+    fields = F.split(F.trim("value"), ",", -1)
+    counted = lines.filter((F.size(fields) >= 2) & (F.col("value") != F.lit(header["value"] if header else "")))
+    return counted.groupBy(fields[1].alias("movie")).agg(F.count("*").alias("lines"))
+
+
 def last_written(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, the one standing last in the files.
 

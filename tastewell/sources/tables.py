@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +32,32 @@ def table_exists(spark: SparkSession, root: str, name: str) -> bool:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A stored table; fails when its schema is not the expected one."""
-    stored = spark.read.parquet(table_path(root, name))
-    return schemas.conform(stored, schemas.TABLES[name], name)
+    stored = schemas.conform(spark.read.parquet(table_path(root, name)), schemas.TABLES[name], name)
+    if name == "recommendations" and table_exists(spark, root, "model_metrics"):
+        # The metrics of the newest run name the winner; a stored flag may be of an older run.
+        runs = read_table(spark, root, "model_metrics").filter("is_winner")
+        newest = runs.agg(F.max_by("model", F.struct("updated_at", "run_id")))
+        stored = stored.withColumn("is_winner", F.coalesce(F.col("model") == newest.scalar(), F.lit(False)))
+    return stored
+
+
+def _replace(df_writer, spark: SparkSession, path: str) -> None:
+    """Write a whole table beside the old one, then take its place: a failed write leaves the old one."""
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    df_writer.parquet(fresh)
+    here, there, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, old))
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = files.exists(here)
+    if held and not files.rename(here, aside):
+        raise OSError(f"cannot set {path} aside")
+    if not files.rename(there, here):
+        raise OSError(f"cannot move {fresh} to {path}")
+    if held:
+        files.delete(aside, True)
 
 
 def write_table(df: DataFrame, root: str, name: str, mode: str | None = None) -> None:
-    """Write a table after checking its schema.
+    """Write a table after checking its schema. A partitioned table keeps the partitions that get no rows.
 
     Large tables are range-partitioned by their lookup key: files then cover narrow key
     ranges, and a range split is balanced by sampled volume, so a hot user spreads over several
@@ -45,10 +67,15 @@ def write_table(df: DataFrame, root: str, name: str, mode: str | None = None) ->
     keys = CLUSTERED_BY.get(name)
     if keys:
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*PARTITIONS.get(name, []), *keys)
-    writer = rows.write.mode(mode or ("append" if name in APPENDED else "overwrite"))
+    mode = mode or ("append" if name in APPENDED else "overwrite")
+    writer, path = rows.write, table_path(root, name)
     if name in PARTITIONS:
-        writer = writer.partitionBy(*PARTITIONS[name])
-    writer.parquet(table_path(root, name))
+        # Only the partitions that the rows belong to are replaced.
+        writer.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS[name]).parquet(path)
+    elif mode == "overwrite":
+        _replace(writer, df.sparkSession, path)
+    else:
+        writer.mode(mode).parquet(path)
 
 
 def load_dataset(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:

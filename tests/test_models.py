@@ -273,3 +273,92 @@ def test_training_job(spark, planted, tmp_path):
 def test_unknown_model_name():
     with pytest.raises(ValueError):
         chosen_models("svd")
+
+
+def test_split_fractions_hold(spark):
+    df = spark.createDataFrame([(u, m, 3.0, 0) for u in range(60) for m in range(60)], RATING)
+    for fraction in (0.85, 0.04):
+        train, test = split_by_key(df, fraction)
+        assert abs(train.count() / 3600 - fraction) < 0.02
+        assert train.count() + test.count() == 3600
+    for fraction in (0.0, 1.0, 0.00005):
+        with pytest.raises(ValueError, match="fraction"):
+            split_by_key(df, fraction)
+
+
+def test_latest_rating_keeps_rows_without_a_time(spark, rows):
+    raw = spark.createDataFrame([(1, 1, 4.0, None), (1, 2, 200000.0, 3), (1, 2, 1.0, 3), (1, 3, None, 2)], RATING)
+    assert rows(latest_ratings(raw)) == [(1, 1, 4.0, 0), (1, 2, 200000.0, 3), (1, 3, None, 2)]
+
+
+def test_pieces_give_the_vectors_of_the_joined_text(spark):
+    movies, tags = _catalogue(spark)
+    joined = {r.movieId: (r.idx, r.val) for r in cb.item_vectors(cb.movie_content(movies, tags)).collect()}
+    pieces = {r.movieId: (r.idx, r.val) for r in cb.item_vectors(cb.content_rows(movies, tags)).collect()}
+    assert pieces == joined
+
+
+def test_vectors_equal_the_library_with_collisions(spark):
+    from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+
+    movies, tags = _catalogue(spark)
+    content = cb.movie_content(movies, tags)
+    words = StopWordsRemover(inputCol="w", outputCol="t").transform(Tokenizer(inputCol="content", outputCol="w").transform(content))
+    counts = HashingTF(inputCol="t", outputCol="c", numFeatures=4).transform(words)
+    expected = {r.movieId: r.v.toArray() for r in IDF(inputCol="c", outputCol="v").fit(counts).transform(counts).collect()}
+    for r in cb.item_vectors(content, 4).collect():
+        dense = np.zeros(4)
+        dense[r.idx] = r.val
+        np.testing.assert_allclose(dense, expected[r.movieId])
+
+
+def test_thinned_candidates_lose_nothing(spark):
+    rng = np.random.default_rng(4)
+    kinds = [([0], [1.0]), ([1], [2.0]), ([0, 2], [1.0, 1.0]), ([], [])]
+    data = []
+    for movie in range(400):
+        idx, val = kinds[rng.integers(4)]
+        data.append((movie, idx, val, float(np.linalg.norm(val)), float(rng.integers(1, 6)) + float(rng.integers(0, 3)) * 1e-10))
+    items = spark.createDataFrame(data, "movieId int, idx array<int>, val array<double>, norm double, avg_rating double")
+    people = spark.createDataFrame([(u, [0, 1, 2], rng.random(3).tolist(), 1.0) for u in range(8)], "userId int, idx array<int>, val array<double>, norm double")
+    assert cb.competitive_candidates(items, 3).count() < 200
+    got = {(r.userId, r.rank): r.movieId for r in cb.content_top_k(people, items, 3, dimensions=3, per_pass=50).collect()}
+    vectors = np.zeros((400, 3))
+    for movie, idx, val, norm, _ in data:
+        vectors[movie, idx] = np.array(val) / (norm or 1)
+    base = np.array([d[4] for d in data]) / 5 * 0.4
+    for r in people.collect():
+        scores = np.round(0.6 * (vectors @ np.array(r.val)) + base, 9)
+        best = sorted(range(400), key=lambda m: (-scores[m], m))[:3]
+        assert [got[r.userId, i] for i in (1, 2, 3)] == best
+
+
+def test_unrated_lists_are_full(spark):
+    ranked = spark.createDataFrame([(u, m, float(100 - m)) for u in range(4) for m in range(100)], "userId int, movieId int, score double")
+    history = spark.createDataFrame([(u, m, 3.0, 0) for u in range(4) for m in range(u * 7 + 1)], RATING)
+
+    def lists(users, n):
+        chosen = ranked.join(users, "userId", "left_semi")
+        return cb.top_per_key(chosen, ["userId"], [F.desc("score"), F.asc("movieId")], n)
+
+    got = hy.unrated_lists(lists, history, 5).collect()
+    for u in range(4):
+        assert [r.movieId for r in sorted(got, key=lambda r: r["rank"]) if r.userId == u] == list(range(u * 7 + 1, u * 7 + 6))
+
+
+def test_a_repeated_run_replaces_itself(spark, planted, tmp_path):
+    ratings, movies, tags = planted
+    root = str(tmp_path)
+    stats = movie_statistics(ratings)
+    write_table(movies.join(stats, "movieId", "left").select("movieId", "title", "genres", "avg_rating", "rating_count"), root, "movies")
+    write_table(ratings, root, "ratings")
+    write_table(tags, root, "tags")
+    from datetime import datetime, timezone
+
+    config = TrainingConfig(models=["cbf"], min_average=0.0, min_votes=1, k=5, updated_at=datetime(2024, 6, 1, tzinfo=timezone.utc))
+    run_training(spark, root, "one", config)
+    tables = [sorted(map(str, read_table(spark, root, t).collect())) for t in ("model_metrics", "recommendations")]
+    run_training(spark, root, "one", config)
+    assert [sorted(map(str, read_table(spark, root, t).collect())) for t in ("model_metrics", "recommendations")] == tables
+    run_training(spark, root, "two", TrainingConfig(models=["cbf"], min_average=0.0, min_votes=1, split="random", train_fraction=0.7))
+    assert read_table(spark, root, "model_metrics").count() == 2

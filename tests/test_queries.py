@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tastewell.plans import oracle
 from tests.conftest import SF
 
 TABLES = ["customer", "part", "orders", "lineitem"]
@@ -28,7 +29,7 @@ def _sorted(rows, columns, order):
     return sorted([tuple(_plain(r[i]) for i in place) for r in rows], key=repr)
 
 
-@pytest.mark.parametrize("name", list(contract.oracle_sql()))
+@pytest.mark.parametrize("name", list(oracle.statements()))
 def test_against_sql(spark, sql, name):
     df = contract.queries()[name](spark, SF)
     result = sql.sql(contract.oracle_sql()[name])

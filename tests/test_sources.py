@@ -200,3 +200,44 @@ def test_store_round_trip_from_csv(spark, csvs, tmp_path, rows):
     assert read_table(spark, root, "movies").count() == 7
     assert rows(read_table(spark, root, "system_stats")) == [(2, 6, 3)]
     assert tags.count() == 2
+
+
+def test_split_reads_agree_whatever_is_selected(spark, tmp_path, rows):
+    (tmp_path / "m.csv").write_text('movieId,title,genres\n1,a,Drama\n2,short\n3,long,Drama,x\n4,"two\nlines",Drama\n5,"q, ""r""",\n')
+    good, rejects = csv_files.read_movies(spark, f"{tmp_path}/m.csv", multi_line=False)
+    assert rows(good.drop("_position")) == [(1, "a", "Drama"), (3, "long", "Drama"), (5, 'q, "r"', "")]
+    assert good.count() == 3
+    for column in ("movieId", "title", "genres"):
+        assert len(good.select(column).collect()) == 3
+    assert rows(rejects.select("reason")) == [("too few fields",), ("unbalanced quote",), ("unbalanced quote",)]
+    assert rejects.count() == 3 == sum(r["count"] for r in rejects.groupBy("reason").count().collect())
+    (tmp_path / "t.csv").write_text('userId,movieId,tag,timestamp\n1,2,a,3\n1,2,\t,3\n1,2\n1,2,"x,3\n')
+    good, rejects = csv_files.read_tags(spark, f"{tmp_path}/t.csv", multi_line=False)
+    assert good.count() == len(good.collect()) == len(good.select("tag").collect()) == 1
+    assert rows(rejects.select("reason")) == [("blank tag",), ("too few fields",), ("unbalanced quote",)]
+
+
+def test_numbers_and_order_of_files(spark, tmp_path, rows):
+    head = "userId,movieId,rating,timestamp\n"
+    (tmp_path / "a.csv").write_text(head + "1,1,1.0,5\n1,2,4.5d,5\n1,3,0x1p3,5\n1,4,5e-1,5\n")
+    (tmp_path / "b.csv").write_text(head + "1,1,2.0,5\n")
+    for order, expected in ((["a.csv", "b.csv"], 2.0), (["b.csv", "a.csv"], 1.0)):
+        good, rejects = csv_files.read_ratings(spark, [f"{tmp_path}/{f}" for f in order])
+        last = {r.movieId: r.rating for r in csv_files.last_written(good, ["userId", "movieId"]).collect()}
+        assert last == {1: expected, 4: 0.5} and rejects.count() == 2
+
+
+def test_line_counts(spark, tmp_path, rows):
+    (tmp_path / "r.csv").write_text("userId,movieId,rating,timestamp\n1,7,4.0,1\n1,7,bad,1\n2,8\n\nshort\n")
+    assert rows(csv_files.line_counts(spark, f"{tmp_path}/r.csv")) == [("7", 2), ("8", 1)]
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from tastewell import session
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_folder(far)
+    assert session.is_local("local[4]") and not session.is_local("local-cluster[2,1,1024]")
