@@ -8,8 +8,10 @@ the number of ones before it in the bitmap. One row of the table holds one run o
 
 from __future__ import annotations
 
-import functools
+import os
+import re
 import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +32,11 @@ LEVELS = 4  # 32-bit ids
 RANK_STEP = 512
 END_ID = 1
 TEXT_BYTES_PER_RUN = 4 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
+PIECES_PER_TEXT = 4096
+WORD_END = "</w>"
+MEMORY = "tastewell_word_ids"
+SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 RUN_FIELDS = [
     ("part", "bigint"), ("run", "bigint"), ("n_tokens", "bigint"), ("doc_ids", "array<bigint>"), ("doc_tokens", "array<bigint>"),
     ("levels", "array<binary>"), ("bitmaps", "array<binary>"), ("ranks", "array<binary>"),
@@ -82,49 +88,135 @@ def token_at(levels: list[bytes], bitmaps: list[bytes], ranks: list[bytes], plac
     return out
 
 
-@functools.lru_cache(2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 class _WordIds:
-    """Ids of words seen by this task, flat, with their places. White space only separates in these
+    """Ids of words this process has seen, flat, with their places. White space only separates in these
     vocabularies, so a text's ids are those of its words; the memory is emptied when it is full."""
 
     def __init__(self, path: str):
-        self.path, self.slots = path, {}
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallel part
+        self.tokenizer = Tokenizer.from_file(path)
+        tokens = self.tokenizer.get_added_tokens_decoder()
+        self.marks = [t.content for t in tokens.values()]
+        self.separator = next(((t.content, i) for i, t in tokens.items() if t.special and t.content.split() == [t.content]), None)
+        # A cheap test for words that may hold a special token.
+        self.suspect = re.compile("[" + re.escape("".join({m[0] for m in self.marks} | {"\0"})) + "]").search
+        # Vocabularies that mark the ends of words tell where each of many words stops.
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([str(self.tokenizer.id_to_token(i)).endswith(WORD_END) for i in range(size)], bool)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots, self.pieces = {}, {"": 0}
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.piece_flat, self.piece_starts, self.piece_sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    @classmethod
+    def of_process(cls, path: str) -> _WordIds:
+        """The one of this worker process: later tasks find the words of earlier ones."""
+        held = sys.modules.setdefault(MEMORY, types.ModuleType(MEMORY)).__dict__
+        if path not in held:
+            held[path] = cls(path)
+        return held[path]
+
+    def _split(self, word: str) -> tuple[str, str]:
+        """A word's stem and the signs at its end, which every vocabulary here encodes apart."""
+        if self.suspect(word):
+            return word, ""
+        if word.isascii():
+            word = word.lower()
+        stem = word.rstrip(SIGNS)
+        return (stem, word[len(stem) :]) if stem and stem[-1].isalpha() else (word, "")
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after the other, and the number of each.
+
+        Many go in one text: words of letters with a space between them, others with a special token, which
+        splits a text before anything else looks at it. Pieces that may hold a special token go alone.
+        """
+        sizes, parts, order = np.zeros(len(pieces), np.int64), [], []
+        letters, joint, alone = [], [], []
+        for i, piece in enumerate(pieces):
+            if self.suspect(piece) or self.separator is None:
+                alone.append(i)
+            elif piece.isalpha() and self.ends.any():
+                letters.append(i)
+            else:
+                joint.append(i)
+        for start in range(0, len(letters), PIECES_PER_TEXT):
+            # A piece of letters is one word of the vocabulary's own split: it stops where a word ends.
+            group = letters[start : start + PIECES_PER_TEXT]
+            ids = self._ids(" ".join([pieces[i] for i in group]))
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(group) or ends[-1] != len(ids) - 1:
+                joint += group
+                continue
+            sizes[group] = np.diff(np.concatenate([[-1], ends]))
+            parts.append(ids)
+            order += group
+        for start in range(0, len(joint), PIECES_PER_TEXT):
+            group = joint[start : start + PIECES_PER_TEXT]
+            ids = self._ids(self.separator[0].join([pieces[i] for i in group]))
+            cuts = np.flatnonzero(ids == self.separator[1])
+            sizes[group] = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            parts.append(np.delete(ids, cuts))
+            order += group
+        for i in alone:
+            ids = self._ids(pieces[i])
+            sizes[i] = len(ids)
+            parts.append(ids)
+            order.append(i)
+        # The parts stand in the order of encoding; each piece's place among them, piece by piece.
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        begin = np.zeros(len(pieces), np.int64)
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        return _gathered(flat, begin, sizes), sizes
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _add(self, words: list[str]) -> None:
-        coded = [e.ids for e in _tokenizer(self.path).encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        split = [self._split(w) for w in words]
+        new = [p for p in dict.fromkeys(p for pair in split for p in pair) if p not in self.pieces]
+        if new:
+            ids, sizes = self._encode(new)
+            self.pieces.update(zip(new, range(len(self.piece_sizes), len(self.piece_sizes) + len(new)), strict=True))
+            self.piece_starts = np.concatenate([self.piece_starts, len(self.piece_flat) + np.cumsum(sizes) - sizes])
+            self.piece_sizes = np.concatenate([self.piece_sizes, sizes])
+            self.piece_flat = np.concatenate([self.piece_flat, ids])
+        places = np.array([self.pieces[p] for pair in split for p in pair], np.int64)
+        ids = _gathered(self.piece_flat, self.piece_starts[places], self.piece_sizes[places])
+        sizes = self.piece_sizes[places].reshape(-1, 2).sum(1)
         self.slots.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for c in coded for i in c), np.uint32, int(sizes.sum()))])
+        self.flat = np.concatenate([self.flat, ids])
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's ids."""
         lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = [w for w in distinct if w not in self.slots]
         if len(self.slots) + len(new) > KNOWN_WORDS:
-            self.__init__(self.path)
+            self._forget()
             new = distinct
         if new:
             self._add(new)
-        slot = np.fromiter((self.slots[w] for w in distinct), np.int64, len(distinct))
+        slot = np.array(list(map(self.slots.__getitem__, distinct)), np.int64)
         slot = slot[words.indices.to_numpy(zero_copy_only=False)]
         sizes = self.sizes[slot]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.starts[slot] - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
+        ids = _gathered(self.flat, self.starts[slot], sizes)
         owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
         return ids, np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
 
 
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` one after the other."""
+    return flat[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+
+
 def _with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
     """The end id after every document's ids."""
     ends = np.cumsum(sizes + 1)
@@ -137,7 +229,7 @@ def _with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
 
 def _runs(path: str, end_id: int):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, number = _WordIds(path), 0
+        known, number = _WordIds.of_process(path), 0
         for batch in batches:
             lengths = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
             start = 0
