@@ -26,7 +26,7 @@ from tastewell.session import written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDER = 5
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 2 << 20  # of a chunk worked on at a time
 KEYS_PER_BUCKET = 500_000
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
