@@ -64,7 +64,7 @@ def test_scores_equal_a_direct_count(spark, order, chunk):
 
 def test_probabilities_of_a_context_sum_to_one():
     rng = np.random.default_rng(0)
-    text = bytes(rng.choice(list(b"abcd "), 400))
+    text = rng.choice(list(b"abcd "), 400).astype(np.uint8).tobytes()
     codes, _ = ppm._stream(np.frombuffer(text, np.uint8), np.array([400]), 5)
     keys, counts = ppm._counted(codes)
     pairs = np.zeros((256, 256), np.int64)
