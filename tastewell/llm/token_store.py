@@ -31,8 +31,8 @@ CHUNK_BITS = 8
 LEVELS = 4  # 32-bit ids
 RANK_STEP = 512
 END_ID = 1
-TEXT_BYTES_PER_RUN = 4 << 20
-KNOWN_WORDS = 600_000
+TEXT_BYTES_PER_RUN = 2 << 20
+KNOWN_WORDS = 300_000
 PIECES_PER_TEXT = 4096
 WORD_END = "</w>"
 MEMORY = "tastewell_word_ids"
@@ -241,6 +241,7 @@ def _runs(path: str, end_id: int):
                 coded = encode(_with_end(ids, sizes, end_id))
                 columns = [part.column("part")[0].as_py(), number, len(ids) + len(sizes), part.column("id").to_pylist(), sizes + 1, *coded]
                 number += 1
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c], t) for c, t in zip(columns, RUN_TYPES, strict=True)], names=[n for n, _ in RUN_FIELDS]
                 )
