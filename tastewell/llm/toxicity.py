@@ -263,7 +263,11 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, round
     share = float(np.clip(toxic.mean() if len(toxic) else 0.0, 0.01, 0.99))
     if not kernel.landmarks:
         return Model(kernel, np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
-    raw = kernel.values(names).astype(np.float64)
+    raw = kernel.values(names)
+    near = np.flatnonzero(raw.any(1))  # few words are like any landmark; only these have features
+    position, margin = np.full(len(names), -1), raw.max(1).astype(np.float64)
+    position[near] = np.arange(len(near))
+    raw = raw[near].astype(np.float64)
     place = {n: i for i, n in enumerate(names)}
     bags = []
     for start in range(0, len(texts), 256):
@@ -279,10 +283,9 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, round
     kept = values > 1e-3
     root = vectors[:, kept] / np.sqrt(values[kept])
     x = raw @ root
-    clean = np.flatnonzero((counts[:, 0] > 0) & raw.any(1))
-    some = raw.any(1)[word] & (toxic[row] == 1)
+    clean = near[counts[near, 0] > 0]
+    some = (position[word] >= 0) & (toxic[row] == 1)
     row_t, word_t = row[some], word[some]
-    margin = raw.max(1)
     for _ in range(rounds):
         order = np.lexsort((margin[word_t], row_t))
         last = np.flatnonzero(np.append(row_t[order][1:] != row_t[order][:-1], True)) if len(order) else []
@@ -290,12 +293,13 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, round
         if not len(found):
             break
         # Words of clean texts weigh by their texts; one row stands for all words unlike any landmark.
-        rows_x = np.concatenate([x[found], x[clean], np.zeros((1, x.shape[1]))])
+        rows_x = np.concatenate([x[position[found]], x[position[clean]], np.zeros((1, x.shape[1]))])
         y = np.concatenate([np.ones(len(found)), -np.ones(len(clean) + 1)])
         weight = np.concatenate([times / times.sum(), np.sqrt(np.append(counts[clean, 0], 1))])
         weight[len(found) :] /= weight[len(found) :].sum()
         w = _hinge(rows_x, y, weight / 2)
-        margin = x @ w[:-1] + w[-1]
+        margin = np.full(len(names), w[-1])
+        margin[near] = x @ w[:-1] + w[-1]
     best = np.full(len(texts), w[-1])
     np.maximum.at(best, row, margin[word])
     # A logistic curve over the texts' margins, both labels weighing the same; a small penalty keeps it finite.
