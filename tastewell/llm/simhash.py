@@ -32,6 +32,11 @@ VARIANTS_PER_PARTITION = 1 << 20
 HASHES_PER_STEP = 1 << 16
 VIEWS, VIEW_BITS = 2, 40  # fingerprints of the distinct words, for candidates
 BROADCAST_KEYS = 500_000  # pairs of id and text hash: some 20 MB
+PREFIXES_PER_PARTITION = 1 << 20
+SAMPLED_TEXTS = 20_000  # that tell which shingles are common; this sets their order only
+COMMON_TEXTS, COMMON = 3, 100_000  # sampled texts that hold a common shingle, and how many such shingles are told apart
+HUBS = 4  # stars a size class may have over its prefix shingles
+SLACK = 1e-9  # for rounding of products with the similarity
 
 
 def fingerprint(words: list[bytes], shingle: int) -> int:
@@ -170,31 +175,150 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
     )
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the key of the word sequence and the views: majority bits of the hashes of the distinct words."""
-    for batch in batches:
-        keys, views = [], []
-        for text in batch.column(2).to_pylist():
-            words = (text or "").encode().lower().split()
-            keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
-            hashed = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, set(words))), np.uint8).reshape(-1, 16)
-            bits = 2 * np.unpackbits(hashed, axis=1).sum(0, dtype=np.int64) > len(hashed)
-            views.append([int.from_bytes(np.packbits(bits[v * VIEW_BITS : (v + 1) * VIEW_BITS])) | v << VIEW_BITS for v in range(VIEWS)])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(views, pa.list_(pa.int64()))],
-            names=["id", "text_hash", "key", "views"],
-        )
+def _shingled(words: list[bytes], shingle: int) -> np.ndarray:
+    """The distinct hashes of the word shingles, ascending."""
+    parts = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False)) if len(words) > shingle else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64))
+
+
+def _shingle_counts(shingle: int):
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(token, n): shingles and how many texts of the batch hold them."""
+        for batch in batches:
+            found = [_shingled((t or "").encode().lower().split(), shingle) for t in batch.column(0).to_pylist()]
+            token, n = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], names=["token", "n"])
+
+    return counts
+
+
+def _common_shingles(docs: DataFrame, text_column: str, shingle: int) -> np.ndarray:
+    """Shingles that many sampled texts hold, the rarest first."""
+    share = SAMPLED_TEXTS / max(1, docs.count())
+    texts = docs.select(F.col(text_column).alias("text"))
+    texts = texts.sample(share, seed=SEED) if share < 1 else texts
+    counted = texts.mapInArrow(_shingle_counts(shingle), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    top = counted.filter(F.col("n") >= COMMON_TEXTS).orderBy(F.desc("n"), "token").limit(COMMON).toPandas()
+    return top["token"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
+
+
+def _sketches(shingle: int, similarity: float, common: np.ndarray):
+    """Adds the key of the word sequence, the views (majority bits of the hashes of the distinct words), the
+    number of distinct shingles and the prefix.
+
+    All texts order their shingles alike: by hash, the common ones last. Two sets alike in ``similarity`` share that
+    part of the larger, so if the first of one are as many as it may lack and one more, these and those of the other meet.
+    """
+    order = np.argsort(common)
+    known = common[order]
+
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, views, sizes, prefixes = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                words = (text or "").encode().lower().split()
+                keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                hashed = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, set(words))), np.uint8).reshape(-1, 16)
+                bits = 2 * np.unpackbits(hashed, axis=1).sum(0, dtype=np.int64) > len(hashed)
+                views.append([int.from_bytes(np.packbits(bits[v * VIEW_BITS : (v + 1) * VIEW_BITS])) | v << VIEW_BITS for v in range(VIEWS)])
+                tokens = _shingled(words, shingle)
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+                    last = known[place] == tokens
+                    tokens = np.concatenate([tokens[~last], common[np.sort(order[place[last]])]])
+                sizes.append(len(tokens))
+                prefixes.append(tokens[: len(tokens) - int(np.ceil(similarity * len(tokens) - SLACK)) + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(views, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())),
+                ],
+                names=["id", "text_hash", "key", "views", "size", "prefix"],
+            )
+
+    return sketches
+
+
+def _rows_by_token(batches: Iterator[pa.RecordBatch], columns: int) -> list[np.ndarray]:
+    """The columns of a partition, the first being the token; rows whose token no other has are left out."""
+    parts = [[batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)] for batch in batches if batch.num_rows]
+    if not parts:
+        return [np.zeros(0, np.int64)] * columns
+    rows = [np.concatenate([p[i] for p in parts]) for i in range(columns)]
+    order = np.argsort(rows[0], kind="stable")
+    same = np.diff(rows[0][order]) == 0
+    order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(order) else order
+    return [r[order] for r in rows]
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, node, size, rest) of tokens that stand in several prefixes."""
+    rows = _rows_by_token(batches, 4)
+    if len(rows[0]):
+        yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["token", "node", "size", "rest"])
+
+
+def _may_be_alike(size: np.ndarray, rest: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether what follows the first common shingle, with it, can still be enough; rules out unlike sizes too."""
+    return np.minimum(rest[i], rest[j]) >= similarity / (1 + similarity) * (size[i] + size[j]) - SLACK
+
+
+def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _stars(similarity: float):
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One text of every token and size class with the others; few different hubs in all."""
+        token, node, size, rest = _rows_by_token(batches, 4)
+        if not len(token):
+            return
+        level = np.floor(np.log(size) / -np.log(similarity)) if similarity < 1 else size
+        turn = (token & (HUBS - 1)).view(np.uint64)
+        mixed = (node.view(np.uint64) * np.uint64(HUBS) + turn + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        order = np.lexsort((mixed, level, token))
+        token, node, size, rest, level = (x[order] for x in (token, node, size, rest, level))
+        new = np.concatenate([[True], (np.diff(token) != 0) | (np.diff(level) != 0)])
+        hub = np.flatnonzero(new)[np.cumsum(new) - 1]
+        kept = np.flatnonzero(_may_be_alike(size, rest, hub, np.arange(len(hub)), similarity) & (node != node[hub]))
+        if len(kept):
+            yield _edges(node[hub[kept]], node[kept])
+
+    return stars
+
+
+def _pairs(similarity: float):
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All pairs of a token that may be alike and are not in one group yet."""
+        token, node, size, rest, group = _rows_by_token(batches, 5)
+        order = np.lexsort((size, token))
+        token, node, size, rest, group = (x[order] for x in (token, node, size, rest, group))
+        left, step, held, many = np.arange(len(token)), 0, [], 0
+        while len(left):
+            step += 1
+            left = left[left + step < len(token)]
+            right = left + step
+            # Sizes ascend within a token: from the first that is too large on, no other fits.
+            fits = (token[left] == token[right]) & (similarity * size[right] <= size[left] + SLACK)
+            left, right = left[fits], right[fits]
+            found = (group[left] != group[right]) & _may_be_alike(size, rest, left, right, similarity)
+            if found.any():
+                held.append((node[left[found]], node[right[found]]))
+                many += int(found.sum())
+            if held and (many >= PREFIXES_PER_PARTITION or not len(left)):
+                yield _edges(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+                held, many = [], 0
+
+    return pairs
 
 
 def _shingle_sets(shingle: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(node, shingles): the distinct hashes of the text's word shingles."""
         for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                words = (text or "").encode().lower().split()
-                parts = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False)) if len(words) > shingle else [b" ".join(words)]
-                out.append(np.unique(np.array([xxhash.xxh3_64_intdigest(p) for p in parts], np.uint64)).view(np.int64))
+            out = [_shingled((text or "").encode().lower().split(), shingle).view(np.int64) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     return sets
@@ -213,19 +337,21 @@ def deduplicated(
 ) -> DataFrame:
     """One row of every group of near duplicates, with its columns.
 
-    Texts are linked whose sets of word shingles have a Jaccard similarity of ``similarity`` or more. At this
-    similarity a fingerprint of shingles differs in far more than three bits, so candidates are found by the
-    same ball hashing over two short fingerprints of the distinct words, in which such texts differ in about
-    two, and each candidate link is verified on the shingles themselves. The row with the smallest id stays,
-    null last; of rows alike in id and text one. Null, empty and blank texts are equal to each other.
+    Texts are linked whose sets of word shingles have a Jaccard similarity of ``similarity`` or more, all of them.
+    Candidates come from ball hashing over two short fingerprints of the distinct words, which join the large
+    groups in few rows, and from a prefix-filtered join of the shingles, which is complete: first stars over
+    the shingles of the prefixes, then every pair of a prefix shingle that is not in one group by then. Each
+    candidate is verified on the shingles themselves. The row with the smallest id stays, null last; of rows
+    alike in id and text one. Null, empty and blank texts are equal to each other.
     """
     own = docs.select(F.struct(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("text_hash")).alias("__key"), F.struct("*").alias("__doc"))
     keyed = own.select("__key.id", "__key.text_hash", F.col(f"__doc.{text_column}").alias("text")).mapInArrow(
-        _sketches, "id bigint, text_hash bigint, key binary, views array<bigint>"
+        _sketches(shingle, similarity, _common_shingles(docs, text_column, shingle)),
+        "id bigint, text_hash bigint, key binary, views array<bigint>, size int, prefix array<bigint>",
     )
     keyed = written(keyed, "sketches")
     named = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash")
-    classes = keyed.groupBy("key").agg(F.min(named).alias("name"), F.first("views").alias("views"))
+    classes = keyed.groupBy("key").agg(F.min(named).alias("name"), F.first(F.struct("views", "size", "prefix")).alias("sketch")).select("key", "name", "sketch.*")
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "text-classes")
     # The smallest class of each fingerprint stands for it; the others with that fingerprint are linked to it.
     held = written(classes.select("node", F.explode("views").alias("mark")), "class-marks")
@@ -235,15 +361,30 @@ def deduplicated(
     edges = found.join(names, F.col("a") == F.col("__mark")).select(F.col("first").alias("a"), "b")
     edges = edges.join(names, F.col("b") == F.col("__mark")).select("a", F.col("first").alias("b"))
     alike = held.join(first, "mark").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    edges = written(edges.union(alike).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    wanted = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = written(wanted.join(classes, "node").select("node", F.col("name.id").alias("__id"), F.col("name.text_hash").alias("__text_hash")), "wanted")
-    texts = _near(own, wanted, "inner", most).select("node", F.col(f"__doc.{text_column}").alias("text"))
-    sets = written(texts.mapInArrow(_shingle_sets(shingle), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "shingle-sets")
-    one = edges.join(sets.withColumnRenamed("node", "a").withColumnRenamed("shingles", "left"), "a")
-    both = one.join(sets.withColumnRenamed("node", "b").withColumnRenamed("shingles", "right"), "b")
-    common = F.size(F.array_intersect("left", "right"))
-    near = both.filter(common >= F.lit(similarity) * (F.size("left") + F.size("right") - common)).select("a", "b")
+    ball = edges.union(alike).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    spark = docs.sparkSession
+    emitted = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), emitted // PREFIXES_PER_PARTITION + 1)
+    prefixes = classes.select("node", "size", F.posexplode("prefix").alias("at", "token"))
+    prefixes = prefixes.select("token", "node", "size", (F.col("size") - F.col("at")).alias("rest")).repartition(partitions, "token")
+    shared = written(prefixes.mapInArrow(_shared, "token bigint, node bigint, size int, rest int"), "shared-prefixes")
+    stars = shared.repartition(partitions, "token").mapInArrow(_stars(similarity), "a bigint, b bigint")
+
+    def verified(edges: DataFrame) -> DataFrame:
+        edges = written(edges.distinct(), "candidates")
+        wanted = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = written(wanted.join(classes, "node").select("node", F.col("name.id").alias("__id"), F.col("name.text_hash").alias("__text_hash")), "wanted")
+        texts = _near(own, wanted, "inner", most).select("node", F.col(f"__doc.{text_column}").alias("text"))
+        sets = written(texts.mapInArrow(_shingle_sets(shingle), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "shingle-sets")
+        one = edges.join(sets.withColumnRenamed("node", "a").withColumnRenamed("shingles", "left"), "a")
+        both = one.join(sets.withColumnRenamed("node", "b").withColumnRenamed("shingles", "right"), "b")
+        common = F.size(F.array_intersect("left", "right"))
+        return both.filter(common >= F.lit(similarity) * (F.size("left") + F.size("right") - common)).select("a", "b")
+
+    groups = written(components(verified(ball.union(stars))), "first-groups")
+    named = shared.join(groups, "node", "left").select("token", "node", "size", "rest", F.coalesce("component", "node").alias("component"))
+    others = named.repartition(partitions, "token").mapInArrow(_pairs(similarity), "a bigint, b bigint")
+    near = verified(others).union(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
     grouped = components(near).select(F.col("node").alias("member"), "component")
     joined = classes.join(grouped, F.col("node") == F.col("member"), "left")
     groups = joined.select("key", "name", F.coalesce("component", "node").alias("component"))

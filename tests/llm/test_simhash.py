@@ -90,3 +90,23 @@ def test_deduplicated(spark, most):
     assert sorted(i for i in ids if i is not None) == expected
     assert ids.count(None) == 1
     assert simhash.deduplicated(docs.limit(0)).collect() == []
+
+
+def _alike(a, b, shingle=5):
+    one, two = ({tuple(w[i : i + shingle]) for i in range(len(w) - shingle + 1)} for w in (a.split(), b.split()))
+    return len(one & two) >= 0.8 * len(one | two)
+
+
+def test_deduplicated_finds_appended_cut_and_inserted_passages(spark):
+    rng = np.random.default_rng(5)
+    new = lambda n: [f"t{w}" for w in rng.integers(20000, size=n)]
+    rows, copies = [], 0
+    for i in range(90):
+        words = new(int(rng.integers(100, 400)))
+        part, at = len(words) // 7, int(rng.integers(len(words)))
+        other = [words + new(part), words[part:], words[:at] + new(part) + words[at:]][i % 3]
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(other))]
+        copies += _alike(*(t for _, t in rows[-2:]))
+    assert copies >= 85
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert simhash.deduplicated(docs).count() == len(rows) - copies
