@@ -110,3 +110,22 @@ def test_deduplicated_finds_appended_cut_and_inserted_passages(spark):
     assert copies >= 85
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert simhash.deduplicated(docs).count() == len(rows) - copies
+
+
+def test_deduplicated_compares_members_of_foreign_hubs(spark):
+    # Equal word sets in another order: one fingerprint for all texts, though only two and two are alike.
+    rng = np.random.default_rng(6)
+    words = [f"t{i}" for i in range(150)]
+    rows = []
+    for i in range(40):
+        order = list(rng.permutation(words))
+        rows += [(i, " ".join(order)), (1000 + i, " ".join(order[3:] + order[:3]))]
+        assert _alike(*(t for _, t in rows[-2:]))
+    # A long passage in all texts, near copies two by two.
+    shared = [f"s{i}" for i in range(160)]
+    for i in range(100, 160):
+        own = [f"o{w}" for w in rng.integers(10**6, size=50)]
+        rows += [(i, " ".join(shared + own)), (1000 + i, " ".join(shared + [*own[:25], "changed", *own[26:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in simhash.deduplicated(docs).collect())
+    assert kept == [*range(40), *range(100, 160)]
