@@ -81,7 +81,8 @@ def covered(found: DataFrame) -> DataFrame:
     reach = F.coalesce(F.max("end").over(ahead), F.lit(0))
     sums = ends.distinct().select("row", F.greatest(F.lit(0), F.col("end") - F.greatest("start", reach)).alias("new")).groupBy("row").agg(F.sum("new").alias("n_hit"))
     items = found.select("row", F.explode("items").alias("item")).groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("item_list"))
-    return sums.join(items, "row")
+    # A window whose items all have a null id has no row in ``items``; its words count all the same.
+    return sums.join(items, "row", "left").select("row", "n_hit", F.coalesce("item_list", F.array().cast("array<string>")).alias("item_list"))
 
 
 def contamination(

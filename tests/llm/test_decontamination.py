@@ -65,3 +65,13 @@ def test_kept_rows(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for i, t in DOCS if not _expected(t)[1])
     assert decontamination.decontaminated(docs.limit(0), items).collect() == []
     assert decontamination.decontaminated(docs, items.limit(0)).count() == len(DOCS)
+
+
+def test_window_of_an_item_with_null_id_alone(spark):
+    alone = "a passage of its own that no other item of the benchmark has in it"
+    docs = spark.createDataFrame([(1, f"x {alone} y"), (2, "clean"), (None, alone)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, alone), (3, PASSAGE)], "item_id long, text string")
+    got = decontamination.contamination(docs, items).collect()
+    found = {r["row"]["id"]: (r["n_words"], r["n_hit"], r["n_items"], r["item_list"], r["contaminated"]) for r in got}
+    assert found == {1: (17, 15, 0, [], True), 2: (1, 0, 0, [], False), None: (15, 15, 0, [], True)}
+    assert [r["doc_id"] for r in decontamination.decontaminated(docs, items).collect()] == [2]
