@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastewell.session import written
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DIMENSIONS = 1024
@@ -28,6 +30,8 @@ CHARS_PER_BLOCK = 1 << 21
 GRAMS_PER_SLICE = 1 << 14
 SHARPNESS = 16.0  # of the score: a softmax over cosines
 GAP = 32  # stands for any run without letters
+LEAST_SHARE, FEWEST = 0.5, 0.001  # of the cosine that all but these texts of like length reach
+LEAST_TEXTS = 100  # of like length, to learn a least cosine from
 
 
 def _letter_vectors(letters: np.ndarray, dimensions: int) -> np.ndarray:
@@ -178,3 +182,33 @@ def predict_language(docs: DataFrame, profiles: DataFrame, text_column: str = "t
 def learn_and_predict(docs: DataFrame, learn: Column, text_column: str = "text", lang_column: str = "lang", keep: list[str] | None = None) -> DataFrame:
     """Prototypes from the rows where ``learn`` holds, predictions for all rows."""
     return predict_language(docs, prototypes(docs.filter(learn), text_column, lang_column), text_column, keep)
+
+
+def least_cosines(docs: DataFrame, profiles: DataFrame, text_column: str = "text", lang_column: str = "lang") -> dict[int, float]:
+    """By length class (powers of two), the cosine below which a text is like no language, from texts that go to their own."""
+    size = _length_class(F.col(text_column))
+    known = docs.filter(F.col(lang_column).isNotNull()).select(F.col(text_column).alias("text"), F.col(lang_column).alias("own"), size.alias("size"))
+    own = predict_language(known, profiles, keep=["own", "size"]).filter("own = lang_pred")
+    found = own.groupBy("size").agg(F.count("*").alias("n"), F.percentile_approx("cosine", FEWEST).alias("reached")).filter(F.col("n") >= LEAST_TEXTS)
+    return {r["size"]: LEAST_SHARE * r["reached"] for r in found.collect()}
+
+
+def _length_class(text: Column) -> Column:
+    return F.floor(F.log2(F.greatest(F.lit(1), F.coalesce(F.char_length(text), F.lit(0))))).cast("int")
+
+
+def identified(docs: DataFrame, learn: Column, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text is like a language learned from the rows where ``learn`` holds, with their columns.
+
+    Texts without letters go, and those whose best cosine is below the least of their length class. If nothing
+    was learned, all texts with letters stay.
+    """
+    profiles = written(prototypes(docs.filter(learn), text_column, lang_column), "profiles")
+    if not profiles.limit(1).count():
+        return docs.filter(F.col(text_column).rlike("\\p{L}"))
+    least = least_cosines(docs.filter(learn), profiles, text_column, lang_column)
+    rows = docs.select(F.struct("*").alias("__doc"), F.col(text_column).alias("__t"), _length_class(F.col(text_column)).alias("__size"))
+    found = predict_language(rows, profiles, "__t", ["__doc", "__size"]).filter(F.col("lang_pred") != UNKNOWN)
+    for size, cosine in least.items():
+        found = found.filter((F.col("__size") != size) | (F.col("cosine") >= cosine))
+    return found.select("__doc.*")
