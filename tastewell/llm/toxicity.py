@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 6000  # labelled rows that are learned from, at most half of them toxic
-LANDMARKS = 96
+LANDMARKS = 96  # more only for toxic texts that have none otherwise
 PIECES = (5, 7, 9, 11)  # letters of a landmark, with the marks of a word's ends
-LEAST_TEXTS = 4  # toxic texts that hold it, or this share of them
-LEAST_SHARE = 0.02
+LEAST_TEXTS = (4, 3, 2)  # toxic texts that hold it; fewer for texts that are left without any
+LIKE = 0.6  # kernel value of pieces of which one is enough
+PIECES_PER_STEP = 1024
 LEAST_ODDS = 2.5  # log odds of toxic against clean texts
 PENALTY = 1e-4
 ROUNDS = 4  # of choosing toxic words and training
@@ -172,10 +173,12 @@ def _texts_with(texts: list[str], toxic: np.ndarray) -> tuple[list[str], np.ndar
     return names, np.array([[totals[0][n], totals[1][n]] for n in names], np.int64).reshape(-1, 2)
 
 
-def choose_landmarks(words: list[str], counts: np.ndarray, n_clean: int, n_toxic: int, most: int = LANDMARKS) -> list[str]:
-    """Pieces of words that many toxic texts hold and few others do, unlike each other.
+def choose_landmarks(words: list[str], counts: np.ndarray, n_clean: int, n_toxic: int, most: int = LANDMARKS, held: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
+    """Pieces of words that toxic texts hold and few others do, unlike each other.
 
-    A piece counts once for each word that holds it and each text that holds the word.
+    A piece counts once for each word that holds it and each text that holds the word. ``held`` has the toxic
+    texts and the words they hold: beyond ``most`` landmarks, and at lower counts, pieces are taken only if they
+    stand in a toxic text that has no landmark yet.
     """
     pieces = lambda w: {w[i : i + n] for n in PIECES for i in range(len(w) - n + 1)}
     marks: Counter = Counter()
@@ -183,8 +186,7 @@ def choose_landmarks(words: list[str], counts: np.ndarray, n_clean: int, n_toxic
         # A word that is no rarer in clean texts cannot mark toxic ones.
         if bad and bad * n_clean > clean * n_toxic:
             marks.update(dict.fromkeys(pieces(word), bad))
-    least = max(LEAST_TEXTS, LEAST_SHARE * n_toxic)
-    marks = Counter({p: c for p, c in marks.items() if c >= least})
+    marks = Counter({p: c for p, c in marks.items() if c >= min(LEAST_TEXTS)})
     plain: Counter = Counter()
     for word, (clean, _) in zip(words, counts.tolist(), strict=True):
         if clean:
@@ -194,13 +196,38 @@ def choose_landmarks(words: list[str], counts: np.ndarray, n_clean: int, n_toxic
         odds = np.log((c + 0.5) / (n_toxic + 1)) - np.log((plain[piece] + 0.5) / (n_clean + 1))
         if odds > LEAST_ODDS:
             # Longer pieces of the same strength say more.
-            scored.append((-(odds * c * (1 + 0.1 * len(piece))), piece))
+            level = next(k for k, least in enumerate(LEAST_TEXTS) if c >= least)
+            scored.append((level, -(odds * c * (1 + 0.1 * len(piece))), piece))
+    scored.sort()
+    wanted = {p for _, _, p in scored}
+    holders: dict[str, list[int]] = {p: [] for p in wanted}
+    for at, word in enumerate(words):
+        if counts[at, 1]:
+            for p in pieces(word) & wanted:
+                holders[p].append(at)
+    text, word = held if held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    order = np.argsort(word, kind="stable")
+    text, starts = text[order], np.searchsorted(word[order], np.arange(len(words) + 1))
+    bare = np.zeros(int(text.max(initial=-1)) + 1, bool)
+    bare[text] = True
     chosen: list[str] = []
-    for _, piece in sorted(scored)[: 40 * most]:
-        if len(chosen) == most:
+    for start in range(0, len(scored), PIECES_PER_STEP):
+        part = scored[start : start + PIECES_PER_STEP]
+        like = Kernel(chosen).values([p for _, _, p in part]).max(1) if chosen else np.zeros(len(part))
+        fresh, kernel = len(chosen), None
+        for (level, _, piece), value in zip(part, like.tolist(), strict=True):
+            texts = np.concatenate([text[starts[w] : starts[w + 1]] for w in holders[piece]])
+            if (level or len(chosen) >= most) and not bare[texts].any():
+                continue
+            if value < LIKE and len(chosen) > fresh:
+                kernel = kernel or Kernel(chosen[fresh:])
+                value = kernel.values([piece]).max()
+            if value < LIKE:
+                chosen.append(piece)
+                kernel = None
+            bare[texts] = False
+        if len(chosen) >= most and not bare.any():
             break
-        if not chosen or Kernel(chosen).values([piece]).max() < 0.6:
-            chosen.append(piece)
     return chosen
 
 
@@ -249,6 +276,19 @@ def _hinge(x: np.ndarray, y: np.ndarray, balance: np.ndarray, rounds: int = 50)
     return w
 
 
+def _words_held(texts: list[str], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Text and word of every distinct pair, words by their place."""
+    bags = []
+    for start in range(0, len(texts), 256):
+        words, rows = words_of(pa.array(texts[start : start + 256], pa.string()))
+        coded = words.dictionary_encode()
+        index = np.array([place[n] for n in _normal(coded.dictionary.to_pylist())], np.int64)
+        pairs = np.unique(np.stack([rows + start, index[coded.indices.to_numpy(zero_copy_only=False)]]), axis=1) if len(words) else np.zeros((2, 0), np.int64)
+        bags.append(pairs)
+    row, word = np.concatenate(bags, axis=1)
+    return row, word
+
+
 def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> Model:
     """Model of a bounded sample of labelled texts.
 
@@ -259,7 +299,10 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, round
     toxic = np.asarray(toxic, np.int64)
     n_toxic, n_clean = int(toxic.sum()), int((toxic == 0).sum())
     names, counts = _texts_with(texts, toxic) if n_toxic and n_clean else ([], np.zeros((0, 2), np.int64))
-    kernel = Kernel(choose_landmarks(names, counts, n_clean, n_toxic, landmarks))
+    place = {n: i for i, n in enumerate(names)}
+    row, word = _words_held(texts, place) if names else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    bad = toxic[row] == 1
+    kernel = Kernel(choose_landmarks(names, counts, n_clean, n_toxic, landmarks, (row[bad], word[bad])))
     share = float(np.clip(toxic.mean() if len(toxic) else 0.0, 0.01, 0.99))
     if not kernel.landmarks:
         return Model(kernel, np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
@@ -268,15 +311,6 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, round
     position, margin = np.full(len(names), -1), raw.max(1).astype(np.float64)
     position[near] = np.arange(len(near))
     raw = raw[near].astype(np.float64)
-    place = {n: i for i, n in enumerate(names)}
-    bags = []
-    for start in range(0, len(texts), 256):
-        words, rows = words_of(pa.array(texts[start : start + 256], pa.string()))
-        coded = words.dictionary_encode()
-        index = np.array([place[n] for n in _normal(coded.dictionary.to_pylist())], np.int64)
-        pairs = np.unique(np.stack([rows + start, index[coded.indices.to_numpy(zero_copy_only=False)]]), axis=1) if len(words) else np.zeros((2, 0), np.int64)
-        bags.append(pairs)
-    row, word = np.concatenate(bags, axis=1)
     # Nyström: the landmarks' kernel matrix to the power -1/2, small eigenvalues left out.
     own = kernel.values(kernel.landmarks).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)

@@ -79,3 +79,26 @@ def test_rows(spark, model):
 def test_one_label_only():
     assert toxicity.train(["a", "b"], np.array([0, 0])).scores(pa.array(["a", None])) == pytest.approx([0.01, 0.01])
     assert toxicity.train([], np.zeros(0)).scores(pa.array(["a"])) == pytest.approx([0.01])
+
+
+def _insulted(n, seed):
+    rng = np.random.default_rng(seed)
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]
+    stems = np.random.default_rng(9)
+    insults = ["".join(stems.choice(list("bcfgjklmpquvwxyz"), 9)) for _ in range(100)]
+    texts = []
+    for i in range(n):
+        words = ["".join(rng.choice(syllables, rng.integers(1, 5))) for _ in range(40)]
+        if i % 2:
+            words[rng.integers(40)] = insults[i // 2 % 100]
+        texts.append(" ".join(words))
+    return texts, np.arange(n) % 2
+
+
+def test_a_hundred_evenly_used_insults():
+    # Each stands in one toxic text of a hundred: ten times in all.
+    model = toxicity.train(*_insulted(2000, 7))
+    texts, labels = _insulted(400, 8)
+    scores = model.scores(pa.array(texts))
+    assert (scores[labels == 1] >= 0.7).mean() >= 0.98
+    assert (scores[labels == 0] >= 0.7).mean() <= 0.01
