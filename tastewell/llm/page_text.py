@@ -24,13 +24,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|svg|select|noframes)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(class|id|role|aria-label|itemprop|style|hidden|aria-hidden|data-main|data-not)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # Fixed values of the HTML language.
+RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in "script style noscript textarea title iframe noframes".split()}  # by what ends them
+SKIPPED = frozenset(["svg", "select", "template"])  # elements without text of the page
+# Start tags that end an svg they stand in, and the elements of it that may hold them.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+FOREIGN = frozenset(["foreignobject", "desc"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter nobr output q rp rt ruby s samp small span "
@@ -92,7 +96,7 @@ def _names(attributes: str) -> tuple[frozenset[str], bool | None]:
     """Kinds named by the attributes, and what a training mark says."""
     kinds, kept = set(), None
     for match in ATTRIBUTE.finditer(attributes):
-        key, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+        key, value = match[1].lower(), match[2] or match[3] or match[3] or ""
         if key in ("data-main", "data-not"):
             kept = key == "data-main"
         elif key in ("hidden", "aria-hidden"):
@@ -113,10 +117,11 @@ def parse(page: str) -> list[Node]:
     run: Node | None = None
     links = 0
     place = 0
+    skipped = 0  # depth of the outermost open element whose text is left out
 
     def text(piece: str) -> None:
         nonlocal run
-        if not piece:
+        if not piece or skipped:
             return
         if run is None:
             if piece.isspace():
@@ -127,25 +132,58 @@ def parse(page: str) -> list[Node]:
         if links:
             run.link += len(piece)
 
-    for match in TOKEN.finditer(page):
+    def close(depth: int) -> None:
+        nonlocal links, skipped
+        links -= sum(t == "a" for t, _ in stack[depth:])
+        del stack[depth:]
+        if depth <= skipped:
+            skipped = 0
+
+    while match := TOKEN.search(page, place):
         text(page[place : match.start()])
         place = match.end()
-        tag = match[3]
+        tag = match[2]
         if tag is None:
-            if match[1] and match[1].lower() not in ("svg", "script", "style", "noscript", "template"):
-                run = None
             continue
         tag = tag.lower()
+        in_svg = bool(skipped) and stack[skipped][0] == "svg"
+        if tag in RAW and not match[1]:
+            # Inside of an svg, these may be closed by their own slash.
+            if not (in_svg and match[3].endswith("/")):
+                end = RAW[tag].search(page, place)
+                place = end.end() if end else len(page)
+            if tag not in ("script", "style", "noscript") and not skipped:
+                run = None
+            continue
         block = tag not in INLINE
-        if block:
-            run = None
-        if match[2]:
+        if match[1]:
             depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
-            # An inline end tag does not close the blocks around its element.
-            if depth and (block or all(t in INLINE for t, _ in stack[depth:])):
-                links -= sum(t == "a" for t, _ in stack[depth:])
-                del stack[depth:]
+            if block and (not skipped or 0 < depth < skipped):
+                run = None
+            # An inline end tag does not close the blocks around its element; what is left out is no such block.
+            around = stack[depth:skipped] if depth < skipped else stack[depth:]
+            if depth and (block or all(t in INLINE for t, _ in around)):
+                close(depth)
+            continue
+        if skipped:
+            parent = stack[skipped - 1][0]
+            ends = in_svg and tag in BREAKOUT and not any(t in FOREIGN for t, _ in stack[skipped:])
+            ends |= stack[skipped][0] == "select" and tag != "hr" and tag in CLOSED_BY.get(parent, ())
+            if not ends:
+                if tag not in VOID and not match[3].endswith("/"):
+                    links += tag == "a"
+                    stack.append((tag, stack[skipped][1]))
+                continue
+            close(skipped)
+        if tag in SKIPPED:
+            if tag == "select":
+                run = None
+            if tag != "svg" or not match[3].endswith("/"):
+                stack.append((tag, stack[-1][1]))
+                skipped = len(stack) - 1
             continue
+        if block:
+            run = None
         if tag in VOID or (tag == "br"):
             continue
         # Elements whose end tags may be left out.
@@ -155,16 +193,15 @@ def parse(page: str) -> list[Node]:
             if open_tag in SCOPE.get(tag, ()):
                 break
             if tag in CLOSED_BY.get(open_tag, ()):
-                links -= sum(t == "a" for t, _ in stack[depth:])
-                del stack[depth:]
+                close(depth)
             elif open_tag not in INLINE and open_tag not in CLOSED_BY:
                 break
             depth -= 1
-        if match[4].endswith("/") and not block:
+        if match[3].endswith("/") and not block:
             continue
         node = stack[-1][1]
         if block:
-            names, kept = _names(match[4]) if match[4].strip() else (frozenset(), None)
+            names, kept = _names(match[3]) if match[3].strip() else (frozenset(), None)
             nodes.append(Node(tag, node, names, nodes[node].kept if kept is None else kept))
             node = len(nodes) - 1
         elif tag == "a":

@@ -68,3 +68,23 @@ def test_rows(spark, model):
     got = page_text.extract_text(df, *model).collect()
     assert sorted((str(r["page_id"]), len(r["text"])) for r in got) == [("1", 259), ("1", 259), ("2", 0), ("None", 0)]
     assert page_text.extract_text(df.limit(0), *model).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("page", "runs"),
+    [
+        ('<p>One <svg class="i"/>two</p><p>three</p>', ["One two", "three"]),
+        ("<p>One</p><select-box><p>two</p></select-box><title-bar>three</title-bar><p>four</p>", ["One", "two", "three", "four"]),
+        ("<div><p>One <svg><path d='M0'>no</p><p>two</p></div>", ["One ", "two"]),
+        ("<ul><li>One <svg><g>no<li>two</ul>", ["One ", "two"]),
+        ("<p><a href=x>One <svg><path></a> two</p>", ["One  two"]),
+        ("<div>One<select><option>no</div><p>two</p>", ["One", "two"]),
+        ("<div>One<template><p>no</p><div>no</div></div><p>two</p>", ["One", "two"]),
+        ("<p>One <svg><title/><foreignObject><p>no</p></foreignObject><style/></svg>two</p>", ["One two"]),
+        ("<p>One <SVG><title>no</title></SVG>two</p><p>a<select><option>no</select>b</p>", ["One two", "a", "b"]),
+        ("<p>One</p><script>no <p>no", ["One"]),
+        ("<p>One <svg></svg><template><svg/></template>two <svg><a>no</svg>three</p>", ["One two three"]),
+    ],
+)
+def test_skipped_elements(page, runs):
+    assert ["".join(n.pieces) for n in page_text.parse(page) if n.tag == "#text"] == runs
