@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastewell.llm import decontamination, language, maxscore, mixing, page_text, ppm, sharding, simhash, token_store, toxicity
-
+from tastewell.llm import conversations, decontamination, hard_negatives, language, maxscore, mixing, page_text, piece_codes, ppm, sharding, simhash, token_store, toxicity
 from tastewell.llm.labelled_pages import labelled_pages
 
 
@@ -86,7 +85,42 @@ def op10_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.learn_and_predict(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
+def op11_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's piece ids, and the digest of the text they decode to."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = piece_codes.decoded_ids(piece_codes.encoded_texts(docs, model), model)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_score_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every vector whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The conversations with nulls as one space and turns dropped, emptied, cut, repeated or reroled by their key's hash."""
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    key = F.concat(conv, F.lit(":"), turn)
+    fate = F.crc32(key.cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    text = F.when(fate == 1, F.lit("")).when(fate == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    role = F.when(fate == 4, F.lit("user")).otherwise(role)
+    times = F.array_repeat(F.lit(0), F.when(fate == 3, 2).otherwise(1))
+    return rows.filter(fate != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+def op13_run_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.conversation_digests(conversations.repaired_chunks(damaged(rows)), rows)
+
+
 REGISTERED = [op1_ppm, op2_simhash, op3_minimax, op4_fair_queue, op5_string_kernel, op6_prefix_join, op7_maxscore, op8_page_model, op9_direct_codes, op10_hyperdimensional]
+REGISTERED += [op11_backtracking, op12_score_slots, op13_run_length]
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -130,10 +164,35 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+# Whole numbers, positives and their windows; the best three rows of another label inside each.
+SCORE_SLOTS_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) a JOIN v c ON c.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 def statements() -> dict[str, str]:
     """SQL twins by query name. The others hash, learn or search in ways that SQL does not have."""
     separators = decontamination.SEPARATORS
     return {
         "op6_prefix_join": PREFIX_JOIN_SQL.format(upper=decontamination.UPPER, lower=decontamination.LOWER, separators=separators),
         "op7_maxscore": MAXSCORE_SQL,
+        "op12_score_slots": SCORE_SLOTS_SQL,
     }
