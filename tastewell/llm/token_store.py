@@ -12,6 +12,7 @@ import os
 import re
 import sys
 import types
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -105,6 +106,7 @@ class _WordIds:
         # Vocabularies that mark the ends of words tell where each of many words stops.
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([str(self.tokenizer.id_to_token(i)).endswith(WORD_END) for i in range(size)], bool)
+        self.letters: dict[str, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -127,7 +129,19 @@ class _WordIds:
         if word.isascii():
             word = word.lower()
         stem = word.rstrip(SIGNS)
-        return (stem, word[len(stem) :]) if stem and stem[-1].isalpha() else (word, "")
+        if len(stem) == len(word) or not stem:
+            return word, ""
+        last = stem[-1]
+        letter = self.letters.get(last)
+        if letter is None:
+            letter = self.letters[last] = self._stays_letter(last)
+        return (stem, word[len(stem) :]) if letter else (word, "")
+
+    @staticmethod
+    def _stays_letter(sign: str) -> bool:
+        """Whether a sign still ends in a letter when normalised and lower-cased: a mark at its end would join what follows."""
+        forms = (sign, unicodedata.normalize("NFC", sign), unicodedata.normalize("NFC", sign).lower(), unicodedata.normalize("NFKC", sign).lower())
+        return all(form and form[-1].isalpha() for form in forms)
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after the other, and the number of each.

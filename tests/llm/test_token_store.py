@@ -1,8 +1,10 @@
 """Round trips of the codes, and word-wise ids against ids of whole texts."""
 
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,21 @@ def test_documents(spark):
     assert token_store.token_documents(docs.limit(0), PATH).collect() == []
 
 
+def test_random_texts_equal_the_tokenizer():
+    rng = random.Random(5)
+    signs = [
+        *"İiIßΣςóŉﬁKÅ가가.!?,-(<|>1２²aBcd  \n\t 　\x00\x1c\x85漢あ\U0001f600Ωﬃẞ'", "é", "\u0301", "\u0307", "\u0958", "\u0929", "\u200d", "\ufe0f",
+        "\u0915", "\u093c", "\u0345", "'s", "'ll", "re", "<|endoftext|>", "<|startoftext|>",
+    ]
+    texts = ["AVRUPA BİRLİĞİ.", "KENDİSİ, dedi", *("".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(20_000))]
+    words = token_store._WordIds(PATH)
+    ids, sizes = words.of(pa.array(texts))
+    start = 0
+    for text, size in zip(texts, sizes.tolist(), strict=True):
+        assert ids[start : start + size].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        start += size
+
+
 def test_random_access(spark, monkeypatch):
     monkeypatch.setattr(token_store, "TEXT_BYTES_PER_RUN", 60)
     docs = spark.createDataFrame([(i, f"text number {i} with words " * (i % 5)) for i in range(40)], "doc_id long, text string")
