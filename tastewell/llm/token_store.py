@@ -33,7 +33,7 @@ LEVELS = 4  # 32-bit ids
 RANK_STEP = 512
 END_ID = 1
 TEXT_BYTES_PER_RUN = 2 << 20
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 1_000_000
 PIECES_PER_TEXT = 4096
 WORD_END = "</w>"
 MEMORY = "tastewell_word_ids"
@@ -106,6 +106,7 @@ class _WordIds:
         # Vocabularies that mark the ends of words tell where each of many words stops.
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([str(self.tokenizer.id_to_token(i)).endswith(WORD_END) for i in range(size)], bool)
+        self.marks_ends = bool(self.ends.any())
         self.letters: dict[str, bool] = {}
         self._forget()
 
@@ -154,7 +155,7 @@ class _WordIds:
         for i, piece in enumerate(pieces):
             if self.suspect(piece) or self.separator is None:
                 alone.append(i)
-            elif piece.isalpha() and self.ends.any():
+            elif self.marks_ends and piece.isalpha():
                 letters.append(i)
             else:
                 joint.append(i)
