@@ -10,7 +10,6 @@ as one toxic word makes a text toxic; a logistic curve over it gives the score.
 
 from __future__ import annotations
 
-import functools
 import sys
 import unicodedata
 from collections import Counter
@@ -45,12 +44,17 @@ KNOWN_WORDS = 400_000  # whose margins a task keeps
 DIGITS = str.maketrans("013457", "oieast")  # digits that stand for letters inside words
 
 
-@functools.cache
+# A plain memory: a cached function would be shipped by its name, which executors do not know.
+_triples: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def triples(length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (i < j < k) of all triples of a word of this length within the span, and their weights."""
-    places = [(i, j, k) for i in range(length) for k in range(i + 2, min(length, i + SPAN)) for j in range(i + 1, k)]
-    places = np.array(places, np.int64).reshape(-1, 3)
-    return places, DECAY ** (places[:, 2] - places[:, 0] + 1)
+    if length not in _triples:
+        places = [(i, j, k) for i in range(length) for k in range(i + 2, min(length, i + SPAN)) for j in range(i + 1, k)]
+        places = np.array(places, np.int64).reshape(-1, 3)
+        _triples[length] = places, DECAY ** (places[:, 2] - places[:, 0] + 1)
+    return _triples[length]
 
 
 class Kernel:
