@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+# The usual tag as a whole, which never reaches past the next "<", or else the beginning of one.
+OPENING = re.compile(
+    r"<(/?)([a-zA-Z][^\s/<>\"']*)(?=[\s/>])((?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>"
+    r"|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)(?=[a-zA-Z])",
     re.S | re.I,
 )
+NAME_END = re.compile(r"[\s/>]")
+EVENT = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"(class|id|role|aria-label|itemprop|style|hidden|aria-hidden|data-main|data-not)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # Fixed values of the HTML language.
@@ -48,7 +52,7 @@ CLOSED_BY = {
     "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "head": frozenset(["body"]), "thead": frozenset(["tbody", "tfoot"]), "tbody": frozenset(["tbody", "tfoot"]),
 }
-SCOPE = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["table"]), "th": frozenset(["table"])}
+CLOSES = {tag: frozenset(t for t, by in CLOSED_BY.items() if tag in by) for tag in frozenset().union(*CLOSED_BY.values())}
 # Words in class, id and role, by what they name.
 NAMES = {
     "navigation": "nav navbar navigation menu menubar breadcrumb breadcrumbs crumbs pagination pager toc skip tabs topbar".split(),
@@ -110,10 +114,109 @@ def _names(attributes: str) -> tuple[frozenset[str], bool | None]:
     return frozenset(kinds), kept
 
 
+class _Tags:
+    """The tags of a page, one after the other. Every sign is looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.name_end = 0
+        self.events: list[int] | None = None
+        self.ends: list[int] = []
+
+    def _unquoted(self, place: int) -> int:
+        """The first ``>`` from a place on that no quotes hold, or -1."""
+        if self.events is None:
+            self.events = [m.start() for m in EVENT.finditer(self.page)]
+            self.ends = [-1] * (len(self.events) + 2)
+            following = {}
+            for i in range(len(self.events) - 1, -1, -1):
+                sign = self.page[self.events[i]]
+                if sign == ">":
+                    self.ends[i] = self.events[i]
+                else:
+                    self.ends[i] = self.ends[following[sign] + 1] if sign in following else -1
+                    following[sign] = i
+        return self.ends[bisect_left(self.events, place)]
+
+    def _rest(self, start: int) -> tuple[int, int] | None:
+        """Where the name that starts here ends, and its tag's ``>``."""
+        if start > self.last:
+            return None
+        if start >= self.name_end:
+            self.name_end = NAME_END.search(self.page, start).start()
+        end = self._unquoted(self.name_end)
+        return (self.name_end, end) if end >= 0 else None
+
+    def next(self, place: int) -> tuple[int, int, bool, str | None, str] | None:
+        """(start, end, whether an end tag, name, attributes) of the next tag; comments and the like have no name."""
+        while match := OPENING.search(self.page, place):
+            if match[2]:
+                return match.start(), match.end(), bool(match[1]), match[2].lower(), match[3]
+            if match[4] is None:
+                return match.start(), match.end(), False, None, ""
+            rest = self._rest(match.end())
+            if rest:
+                name_end, end = rest
+                return match.start(), end + 1, bool(match[4]), self.page[match.end() : name_end].lower(), self.page[name_end:end]
+            place = match.end()
+        return None
+
+
+class _Stack:
+    """Open elements, each with the node of its nearest block, and where those of a name, blocks and barriers stand."""
+
+    def __init__(self):
+        self.elements: list[tuple[str, int]] = [("#root", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.barriers: list[int] = []  # blocks that end tags left out do not reach across
+
+    def push(self, tag: str, node: int) -> None:
+        place = len(self.elements)
+        self.elements.append((tag, node))
+        self.places.setdefault(tag, []).append(place)
+        if tag not in INLINE:
+            self.blocks.append(place)
+            if tag not in CLOSED_BY:
+                self.barriers.append(place)
+
+    def cut(self, depth: int) -> int:
+        """Closes all from a depth on; the number of links among them."""
+        links = 0
+        while len(self.elements) > depth:
+            tag, _ = self.elements.pop()
+            self.places[tag].pop()
+            links += tag == "a"
+        for held in (self.blocks, self.barriers):
+            while held and held[-1] >= depth:
+                held.pop()
+        return links
+
+    def last(self, tag: str) -> int:
+        """Depth of the innermost open element of the name, or zero."""
+        return self.places[tag][-1] if self.places.get(tag) else 0
+
+    def block_between(self, depth: int, below: int) -> bool:
+        """Whether a block stands from one depth to below another."""
+        place = bisect_left(self.blocks, below)
+        return place > 0 and self.blocks[place - 1] >= depth
+
+    def ended_by(self, tag: str) -> int:
+        """Depth of the outermost element that this start tag ends, or zero."""
+        barrier, found = self.barriers[-1] if self.barriers else 0, []
+        for name in CLOSES.get(tag, ()):
+            held = self.places.get(name, [])
+            place = bisect_right(held, barrier)
+            if place < len(held):
+                found.append(held[place])
+        return min(found, default=0)
+
+
 def parse(page: str) -> list[Node]:
-    """Nodes of a page, parents before children, text runs in page order."""
+    """Nodes of a page, parents before children, text runs in page order. The time is in proportion to the page."""
     nodes = [Node("#root", -1)]
-    stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and the node of their nearest block
+    stack, tags = _Stack(), _Tags(page)
     run: Node | None = None
     links = 0
     place = 0
@@ -126,7 +229,7 @@ def parse(page: str) -> list[Node]:
         if run is None:
             if piece.isspace():
                 return
-            run = Node("#text", stack[-1][1])
+            run = Node("#text", stack.elements[-1][1])
             nodes.append(run)
         run.pieces.append(piece)
         if links:
@@ -134,79 +237,69 @@ def parse(page: str) -> list[Node]:
 
     def close(depth: int) -> None:
         nonlocal links, skipped
-        links -= sum(t == "a" for t, _ in stack[depth:])
-        del stack[depth:]
+        links -= stack.cut(depth)
         if depth <= skipped:
             skipped = 0
 
-    while match := TOKEN.search(page, place):
-        text(page[place : match.start()])
-        place = match.end()
-        tag = match[2]
+    while found := tags.next(place):
+        start, end, closing, tag, attributes = found
+        text(page[place:start])
+        place = end
         if tag is None:
             continue
-        tag = tag.lower()
-        in_svg = bool(skipped) and stack[skipped][0] == "svg"
-        if tag in RAW and not match[1]:
+        in_svg = bool(skipped) and stack.elements[skipped][0] == "svg"
+        if tag in RAW and not closing:
             # Inside of an svg, these may be closed by their own slash.
-            if not (in_svg and match[3].endswith("/")):
-                end = RAW[tag].search(page, place)
-                place = end.end() if end else len(page)
+            if not (in_svg and attributes.endswith("/")):
+                ended = RAW[tag].search(page, place)
+                place = ended.end() if ended else len(page)
             if tag not in ("script", "style", "noscript") and not skipped:
                 run = None
             continue
         block = tag not in INLINE
-        if match[1]:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
+        if closing:
+            depth = stack.last(tag)
             if block and (not skipped or 0 < depth < skipped):
                 run = None
             # An inline end tag does not close the blocks around its element; what is left out is no such block.
-            around = stack[depth:skipped] if depth < skipped else stack[depth:]
-            if depth and (block or all(t in INLINE for t, _ in around)):
+            below = skipped if depth < skipped else len(stack.elements)
+            if depth and (block or not stack.block_between(depth, below)):
                 close(depth)
             continue
         if skipped:
-            parent = stack[skipped - 1][0]
-            ends = in_svg and tag in BREAKOUT and not any(t in FOREIGN for t, _ in stack[skipped:])
-            ends |= stack[skipped][0] == "select" and tag != "hr" and tag in CLOSED_BY.get(parent, ())
+            parent = stack.elements[skipped - 1][0]
+            ends = in_svg and tag in BREAKOUT and not any(stack.last(t) >= skipped for t in FOREIGN)
+            ends |= stack.elements[skipped][0] == "select" and tag != "hr" and tag in CLOSED_BY.get(parent, ())
             if not ends:
-                if tag not in VOID and not match[3].endswith("/"):
+                if tag not in VOID and not attributes.endswith("/"):
                     links += tag == "a"
-                    stack.append((tag, stack[skipped][1]))
+                    stack.push(tag, stack.elements[skipped][1])
                 continue
             close(skipped)
         if tag in SKIPPED:
             if tag == "select":
                 run = None
-            if tag != "svg" or not match[3].endswith("/"):
-                stack.append((tag, stack[-1][1]))
-                skipped = len(stack) - 1
+            if tag != "svg" or not attributes.endswith("/"):
+                stack.push(tag, stack.elements[-1][1])
+                skipped = len(stack.elements) - 1
             continue
         if block:
             run = None
         if tag in VOID or (tag == "br"):
             continue
         # Elements whose end tags may be left out.
-        depth = len(stack) - 1
-        while block and depth > 0:
-            open_tag = stack[depth][0]
-            if open_tag in SCOPE.get(tag, ()):
-                break
-            if tag in CLOSED_BY.get(open_tag, ()):
-                close(depth)
-            elif open_tag not in INLINE and open_tag not in CLOSED_BY:
-                break
-            depth -= 1
-        if match[3].endswith("/") and not block:
+        if block and (depth := stack.ended_by(tag)):
+            close(depth)
+        if attributes.endswith("/") and not block:
             continue
-        node = stack[-1][1]
+        node = stack.elements[-1][1]
         if block:
-            names, kept = _names(match[3]) if match[3].strip() else (frozenset(), None)
+            names, kept = _names(attributes) if attributes.strip() else (frozenset(), None)
             nodes.append(Node(tag, node, names, nodes[node].kept if kept is None else kept))
             node = len(nodes) - 1
         elif tag == "a":
             links += 1
-        stack.append((tag, node))
+        stack.push(tag, node)
     text(page[place:])
     return nodes
 

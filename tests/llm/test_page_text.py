@@ -1,6 +1,7 @@
 """The model on unseen layouts, the parser on broken markup, marginals against all labellings."""
 
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -70,6 +71,24 @@ def test_rows(spark, model):
     assert page_text.extract_text(df.limit(0), *model).collect() == []
 
 
+@pytest.mark.parametrize("unit", ["<a ", "<a<a ", "<a \"x>", "<div></x>", "<div>", "<thead>", "<b><p>", "<b><div></b>", "<svg><g><foreignObject><p>", "</b "])
+def test_time_grows_with_the_page(unit):
+    def seconds(size):
+        page = unit * (size // len(unit))
+        start = time.process_time()
+        page_text.parse(page)
+        return time.process_time() - start
+
+    seconds(10_000)
+    assert seconds(1_000_000) < 5
+    assert page_text.parse(unit * 2000 + "<p>the end</p>")
+
+
+def test_tags_end_outside_of_quotes():
+    page = """<p title="a > b" class='x'>One <a href='<">'>two</a> < three <b title="never closed>four"""
+    assert ["".join(n.pieces) for n in page_text.parse(page) if n.tag == "#text"] == ["One two < three <b title=\"never closed>four"]
+
+
 @pytest.mark.parametrize(
     ("page", "runs"),
     [
