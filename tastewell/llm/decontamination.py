@@ -113,9 +113,14 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no window of an item, with their columns."""
+    """The rows of ``docs`` that hold no window of an item, with their columns, whatever these are called.
+
+    Null and empty texts hold no window and stay; repeated rows go or stay together.
+    """
     found = contamination(docs, items, id_column, text_column).filter("contaminated")
     hit = written(found.select(F.col("row").alias("__row")).distinct(), "contaminated")
     if hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         hit = F.broadcast(hit)
-    return docs.join(hit, row_key(id_column, text_column).eqNullSafe(F.col("__row")), "left_anti")
+    # One struct keeps the columns of the documents apart from the key.
+    own = docs.select(row_key(id_column, text_column).alias("__key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"))
+    return own.join(hit, F.col("__key").eqNullSafe(F.col("__row")), "left_anti").select("__doc.*")

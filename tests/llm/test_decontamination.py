@@ -58,7 +58,8 @@ def test_contamination(spark, broadcast_rows):
 
 
 def test_kept_rows(spark):
-    docs = spark.createDataFrame([(i, t, 1) for i, t in DOCS], "doc_id long, text string, row int")
+    names = "doc_id long, text string, row int, __row int, __key int, __doc int, `a.b` int"
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5) for i, t in DOCS], names)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontamination.decontaminated(docs, items)
     assert kept.columns == docs.columns
