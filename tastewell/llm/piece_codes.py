@@ -10,6 +10,7 @@ takes a number of steps linear in the text.
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 import types
@@ -29,6 +30,7 @@ CHARS_PER_STEP = 1 << 20
 LONGEST_KNOWN_UNIT = 64
 KNOWN_UNITS = 500_000
 KNOWN_PAIRS = 1 << 20
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 MEMORY = "tastewell_piece_codes"
 
 
@@ -48,8 +50,15 @@ class Pieces:
         self.ids = {p: i for i, p in self.pieces.items()}
         self.scores = {p: model.get_score(i) for p, i in self.ids.items()}
         self.unknown = model.unk_id()
-        # Pieces that merging never leaves behind cannot be in an encoding.
+        # Pieces that merging never leaves behind cannot be in an encoding. The others' last merge joins two parts.
+        self.parts: dict[str, tuple[str, str]] = {}
         self.reached = {i: len(p) for i, p in self.pieces.items() if len(p) == 1 or self.merged(p) == [p]}
+        # Where parts are always merged before the whole, merges run in the order of their scores.
+        self.ordered = all(
+            all(len(part) == 1 or self.scores[part] > self.scores[p] for part in parts) for p, parts in self.parts.items() if SPACE * 2 not in p
+        )
+        self.ends = {i: self._spine(self.pieces[i], 1) for i in self.reached}
+        self.fronts = {i: self._spine(self.pieces[i], 0) for i in self.reached}
         self.automaton = ahocorasick.Automaton()
         for i, length in self.reached.items():
             self.automaton.add_word(self.pieces[i], (i, length))
@@ -57,6 +66,7 @@ class Pieces:
         # The longest piece that is a proper prefix of each piece.
         self.shorter = {i: self._longest_prefix(self.pieces[i]) for i in self.reached}
         self.signs = {p for p in self.ids if len(p) == 1}
+        self.neighbours = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.pairs: dict[int, bool] = {}
         self.unit = self._unit_pattern()
         self._forget()
@@ -77,15 +87,16 @@ class Pieces:
         return None
 
     def _unit_pattern(self) -> re.Pattern | None:
-        """What pieces never reach across: the place before a space that follows something else, and lone signs."""
+        """What pieces never reach across: the place before a space that follows something else, and signs without a piece."""
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             return None
-        alone = re.escape("".join(c for c in map(chr, range(128)) if c not in self.ids))
+        alone = re.escape("".join(c for c in map(chr, range(128)) if c not in self.signs))
         apart = f"[{alone}]|" if alone else ""
         return re.compile(f"{apart}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
+        self.stems: dict[str, list[int]] = {}
         self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def merged(self, text: str) -> list[str]:
@@ -99,16 +110,42 @@ class Pieces:
                     best, place = score, k
             if best is None:
                 break
+            if len(parts) == 2:
+                self.parts[text] = tuple(parts)
             parts[place : place + 2] = [parts[place] + parts[place + 1]]
         return parts
 
+    def _spine(self, piece: str, side: int) -> list[tuple[str, float, float]]:
+        """The parts at one end of a piece, itself first: each with the scores of the merges that make and consume it."""
+        out, consumed = [], -math.inf
+        while piece:
+            out.append((piece, self.scores[piece] if len(piece) > 1 else math.inf, consumed))
+            consumed = out[-1][1]
+            parts = self.parts.get(piece)
+            piece = parts[side] if parts else ""
+        return out
+
     def compatible(self, left: int, right: int) -> bool:
-        """Whether merging the two pieces' strings anew gives the two pieces."""
+        """Whether merging the two pieces' strings anew gives the two pieces.
+
+        It does unless a part at the end of the left one and a part at the front of the right one, both there at
+        the same time, merge before either is consumed. Of equal scores the one further left comes first.
+        """
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            a, b = self.pieces[left], self.pieces[right]
-            known = self.merged(a + b) == [a, b]
+            if self.ordered and SPACE * 2 not in self.pieces[left] + self.pieces[right]:
+                scores, known = self.scores, True
+                for x, made_x, gone_x in self.ends[left]:
+                    for y, made_y, gone_y in self.fronts[right]:
+                        score = scores.get(x + y)
+                        if score is not None:
+                            moment = min(score, made_x, made_y)
+                            if moment > gone_x and moment >= gone_y:
+                                known = False
+            else:
+                a, b = self.pieces[left], self.pieces[right]
+                known = self.merged(a + b) == [a, b]
             if len(self.pairs) >= KNOWN_PAIRS:
                 self.pairs.clear()
             self.pairs[key] = known
@@ -149,8 +186,17 @@ class Pieces:
 
     def encode_unit(self, text: str) -> list[int]:
         """Ids of a stretch of normalised text; signs outside the vocabulary become their bytes."""
+        stem = text.rstrip(MARKS)
+        if stem and len(stem) < len(text) and stem[-1] + text[len(stem)] not in self.neighbours:
+            # No piece reaches across: the signs at the end are encoded apart, and stems are found again.
+            found = self.stems.get(stem)
+            if found is None:
+                found = self.encode_unit(stem)
+                if len(stem) <= LONGEST_KNOWN_UNIT:
+                    self.stems[stem] = found
+            return found + self.encode_unit(text[len(stem) :])
         if self.signs.issuperset(text):
-            return self._known_signs(text)
+            return self.stems.get(text) or self._known_signs(text)
         out: list[int] = []
         start = 0
         for place, sign in enumerate(text):

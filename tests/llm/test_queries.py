@@ -1,5 +1,7 @@
 """The registered queries on the smallest tables: SQL twins, shapes, folds, and the whole pipeline."""
 
+import hashlib
+import re
 import zlib
 
 import duckdb
@@ -8,6 +10,7 @@ import pytest
 import corpus_pipeline
 from tastewell.llm import queries
 from tests.conftest import SF
+from tests.llm.test_conversations import _search
 
 COLUMNS = {
     "op1_ppm": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
@@ -20,6 +23,9 @@ COLUMNS = {
     "op8_page_model": ["page_id", "url", "text", "n_chars"],
     "op9_direct_codes": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op10_hyperdimensional": ["doc_id", "held_out", "lang_pred", "score", "cosine"],
+    "op11_backtracking": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op12_score_slots": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op13_run_length": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 
 
@@ -44,11 +50,35 @@ def test_against_sql(spark, sql, name):
 def test_rows_and_columns(spark, name):
     df = queries.registered()[name](spark, SF)
     assert df.columns == COLUMNS[name]
-    source = "pages" if name == "op8_page_model" else "documents"
-    if name != "op7_maxscore":
+    source = {"op8_page_model": "pages", "op13_run_length": "conversations"}.get(name, "documents")
+    if name not in ("op7_maxscore", "op12_score_slots"):
         key = df.columns[0]
         ids = sorted(r[0] for r in df.select(key).collect())
-        assert ids == sorted(r[0] for r in queries.table(spark, SF, source).select(key).collect())
+        rows = queries.table(spark, SF, source).select(key)
+        assert ids == sorted(r[0] for r in (rows.distinct() if name == "op13_run_length" else rows).collect())
+
+
+def test_op11_equals_the_library(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=queries.tokenizer_path("piece_bpe_32k.model"))
+    found = {r["doc_id"]: tuple(r)[1:] for r in queries.op11_backtracking(spark, SF).collect()}
+    for doc_id, text in queries.table(spark, SF, "documents").select("doc_id", "text").collect():
+        ids = model.encode(text or "")
+        digests = [hashlib.sha256(s.encode()).hexdigest() for s in (",".join(map(str, ids)), model.decode(ids))]
+        assert found[doc_id] == (len(ids), *digests)
+
+
+def test_op13_equals_a_search(spark):
+    convs = {}
+    for conv, turn, role, text in queries.table(spark, SF, "conversations").select("conv_id", "turn", "role", "text").collect():
+        turns = convs.setdefault(conv, [])
+        fate = zlib.crc32(f"{conv}:{turn}".encode()) % 20
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(fate, text)
+        if fate:
+            turns += [(turn, "user" if fate == 4 else role, text)] * (2 if fate == 3 else 1)
+    found = {r[0]: tuple(r)[1:] for r in queries.op13_run_length(spark, SF).collect()}
+    assert found == {conv: _search(turns) for conv, turns in convs.items()}
 
 
 def test_fold(spark):
