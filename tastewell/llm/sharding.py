@@ -17,6 +17,8 @@ from tastewell.session import written
 SHARDS = 8
 SPREAD = 1024  # parts over which the rows of one group are numbered
 CELLS = 1 << 16  # of group ends that the driver holds after one look
+WINDOWS = 64  # cells that one look cuts finer
+REFINED = 3  # uncertain shard ends that are looked at together; the later ones depend on them
 
 
 class _Ends:
@@ -31,9 +33,9 @@ class _Ends:
         self.first, self.last = self._look([(0, total)])
 
     def _look(self, windows: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """First and last ends of fine cells inside the windows."""
+        """First and last ends of fine cells inside the windows, which are few."""
         reach, cell = F.col("reach"), F.lit(None).cast("long")
-        per = CELLS // len(windows)
+        per = max(2, CELLS // len(windows))
         for number, (low, high) in enumerate(windows):
             width = -(-(high - low + 1) // per)
             inside = reach.between(low, high)
@@ -46,14 +48,15 @@ class _Ends:
         return found["first"].to_numpy(np.int64)[order], found["last"].to_numpy(np.int64)[order]
 
     def refine(self, spans: list[tuple[int, int]]) -> None:
-        """Cuts the cells that the spans touch finer."""
+        """Cuts the cells that the spans touch finer, each for itself: none gets coarser, so every look helps."""
         touched = np.zeros(len(self.first), bool)
         for low, high in spans:
             touched[max(0, np.searchsorted(self.first, low, "right") - 1) : np.searchsorted(self.first, high, "right")] = True
         touched &= self.first < self.last
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], touched, [0]])))
-        windows = [(int(self.first[a]), int(self.last[b - 1])) for a, b in zip(edges[::2], edges[1::2], strict=True)]
-        first, last = self._look(windows)
+        # Many cells at once take several looks, so that the expression of one stays short.
+        open_ = np.flatnonzero(touched)
+        looks = [self._look([(int(self.first[i]), int(self.last[i])) for i in open_[k : k + WINDOWS]]) for k in range(0, len(open_), WINDOWS)]
+        first, last = (np.concatenate([look[i] for look in looks]) for i in range(2))
         first, last = np.concatenate([self.first[~touched], first]), np.concatenate([self.last[~touched], last])
         order = np.argsort(first)
         self.first, self.last = first[order], last[order]
@@ -101,9 +104,8 @@ def smallest_capacity(ends: _Ends, widest: int, shards: int) -> int:
         elif reached[1] < ends.total:
             low = middle + 1
         else:
-            # Unknown at this precision: cut finer where the passes of the capacities left would stop.
-            least, most = ends.greedy(low, shards), ends.greedy(high, shards)
-            ends.refine([(a[0], b[1]) for a, b in zip(least, most, strict=True)])
+            # Unknown at this precision: cut finer where the first shards that are not known exactly may end.
+            ends.refine([bounds for bounds in ends.greedy(middle, shards) if bounds[0] < bounds[1]][:REFINED])
     return high
 
 
