@@ -31,8 +31,8 @@ def _lines_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumns(
             {
-                "userId": F.col("o_custkey").cast("int"),
-                "movieId": F.col("l_partkey").cast("int"),
+                "userId": F.col("o_custkey").cast("bigint"),
+                "movieId": F.col("l_partkey").cast("bigint"),
                 "ts": seconds,
             }
         )
@@ -61,7 +61,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws("|", F.get(word, F.lit(0)), F.get(word, F.lit(1)), F.col("p_type")))
     )
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("movieId"),
+        F.col("p_partkey").cast("bigint").alias("movieId"),
         F.col("p_name").alias("title"),
         genres.alias("genres"),
     )

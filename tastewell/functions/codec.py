@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tastewell.functions.casting import to_finite_double, to_int
+from tastewell.functions.casting import to_finite_double, to_long
 from tastewell.functions.display import fixed
 from tastewell.functions.scores import clamp
 
@@ -31,7 +31,7 @@ def decode_list(text: Column) -> Column:
         return F.when(
             F.size(parts) == 2,
             F.struct(
-                to_int(parts[0]).alias("movieId"),
+                to_long(parts[0]).alias("movieId"),
                 to_finite_double(parts[1]).alias("score"),
             ),
         )

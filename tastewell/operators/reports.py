@@ -19,7 +19,7 @@ from tastewell.constants import (
     REPORT_GENRES,
     UNKNOWN,
 )
-from tastewell.functions.casting import to_int
+from tastewell.functions.casting import to_long
 from tastewell.functions.display import epoch_date, fixed, rounded, signed, thousands
 from tastewell.functions.ranking import numbered
 from tastewell.functions.scores import clamp
@@ -33,7 +33,7 @@ def _of_users(df: DataFrame, users: Sequence[int] | None) -> DataFrame:
 def valid_user_ids(ids: DataFrame) -> DataFrame:
     """Entered ids that consist of digits only, as numbers."""
     entered = F.col("entered")
-    return ids.filter(entered.rlike("^[0-9]+$")).select(to_int(entered).alias("userId")).dropna()
+    return ids.filter(entered.rlike("^[0-9]+$")).select(to_long(entered).alias("userId")).dropna()
 
 
 def _served(recommendations: DataFrame, model: str | None) -> DataFrame:

@@ -23,17 +23,19 @@ def _schema(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-MOVIES = _schema("movieId int, title string, genres string")
-RATINGS = _schema("userId int, movieId int, rating double, ts bigint")
-TAGS = _schema("userId int, movieId int, tag string, ts bigint")
+MOVIES = _schema("movieId bigint, title string, genres string")
+RATINGS = _schema("userId bigint, movieId bigint, rating double, ts bigint")
+TAGS = _schema("userId bigint, movieId bigint, tag string, ts bigint")
 MOVIES_ENRICHED = _schema(
-    "movieId int, title string, genres string, avg_rating double, rating_count bigint"
+    "movieId bigint, title string, genres string, avg_rating double, rating_count bigint"
 )
 RECOMMENDATIONS = _schema(
-    "model string, userId int, rank int, movieId int, score double, is_winner boolean"
+    "model string, userId bigint, rank int, movieId bigint, score double, is_winner boolean"
 )
 GENRE_STATS = _schema("genre string, count bigint")
 RATING_STATS = _schema("rating double, count bigint")
+RATING_COUNTS = _schema("movieId bigint, rating double, n bigint")
+USER_BITS = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("bits", T.BinaryType())])
 SYSTEM_STATS = _schema("user_count bigint, movie_count bigint, rating_count bigint")
 MODEL_METRICS = _schema(
     "run_id string, model string, rmse double, mae double, updated_at timestamp, is_winner boolean"
@@ -44,6 +46,9 @@ TABLES = {
     "ratings": RATINGS,
     "tags": TAGS,
     "recommendations": RECOMMENDATIONS,
+    "catalogue": MOVIES,
+    "rating_counts": RATING_COUNTS,
+    "user_bits": USER_BITS,
     "genre_stats": GENRE_STATS,
     "rating_stats": RATING_STATS,
     "system_stats": SYSTEM_STATS,

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastewell import schemas
-from tastewell.functions.casting import VISIBLE_TEXT, is_blank, to_finite_double, to_int, to_long
+from tastewell.functions.casting import VISIBLE_TEXT, is_blank, to_finite_double, to_long
+from tastewell.sources.quoted_lines import read_records
 
 RAW = "_raw"
 CORRUPT = "_corrupt"
@@ -79,6 +80,20 @@ def _read_lines(spark: SparkSession, path: str | list[str], columns: Sequence[st
     )
 
 
+def _read_records(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+    """As ``_read_lines``, but a record may hold line breaks in quotes; files are split all the same."""
+    records = read_records(spark, path)
+    schema = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "maxCharsPerColumn": "-1", "multiLine": "true"}
+    # The first record of every file is its header.
+    first = records.filter("block = 0").groupBy("file").agg(F.min("row").alias("_first"))
+    body = records.join(F.broadcast(first), "file", "left").filter(F.col("_first").isNull() | (F.col("row") != F.col("_first")) | (F.col("block") != 0))
+    kept = body.filter(F.length(F.regexp_replace("value", "[\\r\\n]", "")) > 0)
+    fields = F.from_csv("value", F.lit(schema), options)
+    place = F.struct(F.col("file").alias("file_path"), F.col("block").alias("file_block_start")).alias("_metadata")
+    return kept.select("*", fields.alias("_fields")).select(*[F.col(f"_fields.{c}").alias(c) for c in columns], F.col(f"_fields.{CORRUPT}").alias(RAW), place, F.col("row").alias("_row"))
+
+
 def _unbalanced() -> Column:
     """An odd number of quotes: a line that is a part of a row with line breaks, or broken."""
     quotes = F.length(RAW) - F.length(F.translate(RAW, '"', ""))
@@ -100,7 +115,7 @@ def _with_position(df: DataFrame, path: str | list[str]) -> DataFrame:
             F.coalesce(*places, F.lit(len(given))).alias("given"),
             file.alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col("_row") if "_row" in df.columns else F.monotonically_increasing_id()).alias("row"),
         ),
     )
 
@@ -136,22 +151,28 @@ def _partition(df: DataFrame, source: str, columns: Sequence[str], reason: Colum
     return rows, rejects
 
 
+def _read_quoted(spark: SparkSession, path: str | list[str], columns: Sequence[str], multi_line: bool | None) -> DataFrame:
+    if multi_line is None:
+        return _read_records(spark, path, columns)
+    return _read_text_fields(spark, path, columns, True) if multi_line else _read_lines(spark, path, columns)
+
+
 def read_movies(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True
+    spark: SparkSession, path: str | list[str], multi_line: bool | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Movies: at least three fields, extra fields ignored, whole-number id.
 
-    Titles may hold line breaks, so files are read whole by default: one task per file. Turn
-    ``multi_line`` off for large files without line breaks in fields and they are split; the
+    Titles may hold line breaks; files are split and records put together where a split cuts them. With
+    ``multi_line`` on a file is read whole by one task; with it off, line by line, and the
     lines of a row with line breaks then are rejects.
     """
     columns = ["movieId", "title", "genres"]
-    read = _read_text_fields(spark, path, columns, True) if multi_line else _read_lines(spark, path, columns)
+    read = _read_quoted(spark, path, columns, multi_line)
     df = _with_position(read, path)
     reason = (
-        F.when(F.lit(not multi_line) & _unbalanced(), "unbalanced quote")
+        F.when(F.lit(multi_line is False) & _unbalanced(), "unbalanced quote")
         .when(_is_short(3), "too few fields")
-        .when(to_int(F.col("movieId")).isNull(), "movieId is not a whole number")
+        .when(to_long(F.col("movieId")).isNull(), "movieId is not a whole number")
     )
     return _partition(
         df,
@@ -159,7 +180,7 @@ def read_movies(
         columns,
         reason,
         [
-            to_int(F.col("movieId")).alias("movieId"),
+            to_long(F.col("movieId")).alias("movieId"),
             _text("title").alias("title"),
             _text("genres").alias("genres"),
             POSITION,
@@ -175,8 +196,8 @@ def read_ratings(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame,
     columns = ["userId", "movieId", "rating", "timestamp"]
     df = _with_position(_by_header(spark, path, columns, multi_line=False), path)
     parsed = {
-        "userId": to_int(F.col("userId")),
-        "movieId": to_int(F.col("movieId")),
+        "userId": to_long(F.col("userId")),
+        "movieId": to_long(F.col("movieId")),
         "rating": to_finite_double(F.col("rating")),
         "ts": to_long(F.col("timestamp")),
     }
@@ -188,20 +209,20 @@ def read_ratings(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame,
 
 
 def read_tags(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True
+    spark: SparkSession, path: str | list[str], multi_line: bool | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Tags: at least four fields, tag not blank and kept untrimmed, whole-number ids.
 
     A malformed time becomes 0, as for stored tags without one.
     """
     columns = ["userId", "movieId", "tag", "timestamp"]
-    df = _read_text_fields(spark, path, columns, True) if multi_line else _read_lines(spark, path, columns)
+    df = _read_quoted(spark, path, columns, multi_line)
     reason = (
-        F.when(F.lit(not multi_line) & _unbalanced(), "unbalanced quote")
+        F.when(F.lit(multi_line is False) & _unbalanced(), "unbalanced quote")
         .when(_is_short(4), "too few fields")
         .when(is_blank(F.col("tag")), "blank tag")
-        .when(to_int(F.col("userId")).isNull(), "userId is not a number")
-        .when(to_int(F.col("movieId")).isNull(), "movieId is not a number")
+        .when(to_long(F.col("userId")).isNull(), "userId is not a number")
+        .when(to_long(F.col("movieId")).isNull(), "movieId is not a number")
     )
     return _partition(
         df,
@@ -209,8 +230,8 @@ def read_tags(
         columns,
         reason,
         [
-            to_int(F.col("userId")).alias("userId"),
-            to_int(F.col("movieId")).alias("movieId"),
+            to_long(F.col("userId")).alias("userId"),
+            to_long(F.col("movieId")).alias("movieId"),
             F.col("tag"),
             F.coalesce(to_long(F.col("timestamp")), F.lit(0)).cast("bigint").alias("ts"),
         ],

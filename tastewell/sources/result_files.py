@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from tastewell.functions.casting import to_int
+from tastewell.functions.casting import to_long
 
 
 def parse_pairs(lines: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 def movie_statistic(pairs: DataFrame, name: str, kind: str | DataType) -> DataFrame:
     """Pairs as one typed statistic per movie; malformed pairs are left out."""
     return pairs.select(
-        to_int(F.col("key")).alias("movieId"), F.col("value").try_cast(kind).alias(name)
+        to_long(F.col("key")).alias("movieId"), F.col("value").try_cast(kind).alias(name)
     ).dropna()
 
 

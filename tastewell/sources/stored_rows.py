@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastewell.constants import LATEST_RUN, MISSING_DETAIL, NOT_AVAILABLE, UNKNOWN
-from tastewell.functions.casting import first_non_empty, to_finite_double, to_int, to_long
+from tastewell.functions.casting import first_non_empty, to_finite_double, to_long
 from tastewell.functions.display import fixed
 
 ITEMS_PER_PAGE = 1000
@@ -29,13 +29,13 @@ def _cells_of(family: str) -> Column:
 def ratings_from_wide(stored: DataFrame) -> DataFrame:
     """One row per ``r:{movieId}`` cell, with the time of the matching ``t:`` cell, else 0."""
     entries = stored.select(
-        to_int(F.col("key")).alias("userId"), "cells", F.explode(_cells_of("r")).alias("entry")
+        to_long(F.col("key")).alias("userId"), "cells", F.explode(_cells_of("r")).alias("entry")
     )
     movie = F.substring_index("entry.key", ":", -1)
     time = F.try_element_at(F.col("cells"), F.concat(F.lit("t:"), movie))
     return entries.select(
         "userId",
-        to_int(movie).alias("movieId"),
+        to_long(movie).alias("movieId"),
         to_finite_double(F.col("entry.value")).alias("rating"),
         F.coalesce(to_long(time), F.lit(0)).cast("bigint").alias("ts"),
     ).dropna(subset=["userId", "movieId", "rating"])
@@ -58,7 +58,7 @@ def ratings_to_wide(ratings: DataFrame, items_per_page: int = ITEMS_PER_PAGE) ->
 def movies_from_cells(stored: DataFrame) -> DataFrame:
     """Movies with defaults for title and genres; rows with a malformed key are left out."""
     return stored.select(
-        to_int(F.col("key")).alias("movieId"),
+        to_long(F.col("key")).alias("movieId"),
         _cell("info:title", UNKNOWN).alias("title"),
         _cell("info:genres", "").alias("genres"),
     ).dropna(subset=["movieId"])
@@ -95,8 +95,8 @@ def tags_from_cells(stored: DataFrame) -> DataFrame:
     return (
         stored.select(F.explode(rows).alias("row"))
         .select(
-            to_int(F.col("row.user")).alias("userId"),
-            to_int(F.col("row.movie")).alias("movieId"),
+            to_long(F.col("row.user")).alias("userId"),
+            to_long(F.col("row.movie")).alias("movieId"),
             F.nullif(F.col("row.tag"), F.lit("")).alias("tag"),
             F.coalesce(to_long(F.col("row.time")), F.lit(0)).cast("bigint").alias("ts"),
         )

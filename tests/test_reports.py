@@ -7,8 +7,8 @@ from tastewell.operators import lists as li
 from tastewell.operators import reports as rp
 from tastewell.operators import statistics as st
 
-MOVIE = "movieId int, title string, genres string, avg_rating double, rating_count long"
-RECS = "model string, userId int, rank int, movieId int, score double, is_winner boolean"
+MOVIE = "movieId long, title string, genres string, avg_rating double, rating_count long"
+RECS = "model string, userId long, rank int, movieId long, score double, is_winner boolean"
 
 
 @pytest.fixture(scope="module")
@@ -68,7 +68,7 @@ def test_listing_and_search(recs, movies):
 
 
 def test_details_defaults(spark, movies):
-    tags = spark.createDataFrame([(1, 1, "fun", 1)], "userId int, movieId int, tag string, ts long")
+    tags = spark.createDataFrame([(1, 1, "fun", 1)], "userId long, movieId long, tag string, ts long")
     got = {r.movieId: (r.title, r.genres, r.avg_rating, r.rating_count, r.tags) for r in rp.movie_details(movies, tags).collect()}
     assert got[1][-1] == "fun"
     assert got[2][:2] == ("Unknown", "--")
@@ -79,7 +79,7 @@ def test_history_views(spark, movies, rows):
     day = 86400
     ratings = spark.createDataFrame(
         [(1, 1, 4.0, 5 * day), (1, 2, 5.0, 5 * day), (1, 9, 3.0, 0), (1, 4, 1.0, 9 * day)],
-        "userId int, movieId int, rating double, ts long",
+        "userId long, movieId long, rating double, ts long",
     )
     history = rp.user_history(ratings, movies)
     numbered = rp.user_history(ratings, movies, places=True).orderBy("ordinal").collect()
@@ -98,7 +98,7 @@ def test_history_views(spark, movies, rows):
 def test_genres_skip_markers_and_blanks(spark, rows):
     movies = spark.createDataFrame(
         [(1, "a", "Drama|War"), (2, "b", "Drama||"), (3, "c", "(no genres listed)"), (4, "d", "")],
-        "movieId int, title string, genres string",
+        "movieId long, title string, genres string",
     )
     genres = st.genre_counts(movies)
     assert rows(genres) == [("Drama", 2), ("War", 1)]
@@ -107,7 +107,7 @@ def test_genres_skip_markers_and_blanks(spark, rows):
 
 
 def test_bins_zero_filled(spark):
-    ratings = spark.createDataFrame([(1, 4.0), (2, 4.0), (3, 3.3), (4, None)], "userId int, rating double")
+    ratings = spark.createDataFrame([(1, 4.0), (2, 4.0), (3, 3.3), (4, None)], "userId long, rating double")
     histogram = st.rating_histogram(ratings)
     bins = {r.rating: r["count"] for r in st.binned_histogram(histogram).collect()}
     assert len(bins) == 10 and bins[4.0] == 2 and sum(bins.values()) == 2
@@ -153,7 +153,7 @@ def test_list_forms(recs, rows):
 
 
 def test_rating_pages(spark):
-    ratings = spark.createDataFrame([(1, m, 3.0) for m in range(2500)], "userId int, movieId int, rating double")
+    ratings = spark.createDataFrame([(1, m, 3.0) for m in range(2500)], "userId long, movieId long, rating double")
     pages = rp.user_rating_pages(ratings)
     assert sorted(len(r.ratings) for r in pages.collect()) == [500, 1000, 1000]
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,3 +243,49 @@ def test_a_cluster_needs_a_shared_folder(spark):
     with pytest.raises(RuntimeError, match="checkpoint"):
         session.shared_folder(far)
     assert session.is_local("local[4]") and not session.is_local("local-cluster[2,1,1024]")
+
+
+@pytest.mark.parametrize("size", ["128m", "700"])
+def test_split_files_with_line_breaks_equal_whole_ones(spark, rows, tmp_path, size):
+    rng = random.Random(2)
+
+    def field():
+        text = "".join(rng.choice('ab, é\n"') for _ in range(rng.randint(0, 14)))
+        if rng.random() < 0.6:
+            return '"' + text.replace('"', '""') + '"'
+        return "".join(rng.choice("ab é") for _ in range(rng.randint(0, 9))) + ("" if rng.random() < 0.9 else '5" x')
+
+    for f in range(3):
+        lines = ["movieId,title,genres"]
+        for i in range(400):
+            parts = [str(f * 10000 + i) if rng.random() < 0.9 else rng.choice(["x", "", "4.0", "3000000000"]), field(), field()]
+            lines.append(",".join(parts[:2] if rng.random() < 0.05 else [*parts, "extra"] if rng.random() < 0.05 else parts))
+        (tmp_path / f"{f}.csv").write_bytes(("\n".join(lines) + ("\n" if f else "")).encode())
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        whole, whole_rejects = csv_files.read_movies(spark, str(tmp_path), multi_line=True)
+        split, split_rejects = csv_files.read_movies(spark, str(tmp_path))
+        columns = ["movieId", "title", "genres"]
+        assert rows(split.select(*columns)) == rows(whole.select(*columns))
+        assert rows(split_rejects) == rows(whole_rejects)
+        assert rows(csv_files.last_written(split, ["movieId"])) == rows(csv_files.last_written(whole, ["movieId"]))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_a_quote_state_of_lines():
+    from tastewell.sources.quoted_lines import INSIDE, OUTSIDE, state_after
+
+    cases = [('1,"a', OUTSIDE, INSIDE), ('b",c', INSIDE, OUTSIDE), ('b"",c', INSIDE, INSIDE), ('1,5" x,y', OUTSIDE, OUTSIDE), ('"a","b', OUTSIDE, INSIDE), ('a",""', INSIDE, OUTSIDE), ("", INSIDE, INSIDE)]
+    for line, before, after in cases:
+        assert state_after(line, before) == after, line
+
+
+def test_files_without_rows(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("movieId,title,genres\n")
+    (tmp_path / "n.csv").write_text("")
+    good, rejects = csv_files.read_movies(spark, str(tmp_path))
+    assert good.count() == rejects.count() == 0
