@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tastewell.plans.statistics_job import load_store
+from tastewell.plans.statistics_job import load_store, merge_into_store
 from tastewell.plans.training import TrainingConfig, chosen_models, run_training
 from tastewell.session import discard_scratch
 
@@ -17,6 +17,7 @@ def main() -> None:
     load = jobs.add_parser("load", help="CSV files to stored tables with statistics")
     for name in ("movies", "ratings", "tags", "store"):
         load.add_argument(f"--{name}", required=True)
+    load.add_argument("--merge", action="store_true", help="keep what the store has and the files do not mention")
     train = jobs.add_parser("train", help="train, evaluate and store lists")
     train.add_argument("--store", required=True)
     train.add_argument("--run-id", required=True)
@@ -26,7 +27,8 @@ def main() -> None:
     spark = SparkSession.builder.appName(f"tastewell-{args.job}").getOrCreate()
     try:
         if args.job == "load":
-            rejects = load_store(spark, args.movies, args.ratings, args.tags, args.store)
+            job = merge_into_store if args.merge else load_store
+            rejects = job(spark, args.movies, args.ratings, args.tags, args.store)
             rejects.groupBy("source", "reason").count().show(truncate=False)
         else:
             config = TrainingConfig(models=chosen_models(args.model))

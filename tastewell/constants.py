@@ -16,10 +16,8 @@ MODELS = ["als", "cbf", "hybrid"]
 TEXT_DIMENSIONS = 512
 TAGS_PER_MOVIE = 100
 LIKE_THRESHOLD = 4.0
-LIKES_PER_USER = 30
 QUALITY_MIN_AVERAGE = 3.8
 QUALITY_MIN_VOTES = 100
-MAX_CANDIDATES = 1000
 DEFAULT_RATING = 3.0
 LIST_SIZE = 10
 

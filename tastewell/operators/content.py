@@ -227,19 +227,22 @@ def content_top_k(
     k: int = LIST_SIZE,
     dimensions: int = TEXT_DIMENSIONS,
     per_pass: int = CANDIDATES_PER_PASS,
+    history: DataFrame | None = None,
+    skipped=None,
 ) -> DataFrame:
     """The ``k`` best candidates of every user: ``userId, rank, movieId, score``.
 
     The score is a weighted sum of similarity to the profile and mean rating. Users stay where
     they are: a pass multiplies blocks of profiles with at most ``per_pass`` candidates that
     every executor holds until the pass is written. The lists of the passes are merged exactly;
-    hand in written profiles. Candidates that cannot enter any list are left out beforehand.
+    hand in written profiles. Candidates that cannot enter any list are left out beforehand. With a
+    ``history`` a user's rated movies are left out, and any candidate may be the next one of someone.
     Users whose profile has no weight get no list.
     """
     users = profiles.filter(F.col("norm") > 0).select("userId", "idx", "val", "norm")
-    chosen = competitive_candidates(candidates, k)
+    chosen = competitive_candidates(candidates, k) if history is None else candidates
     base = F.col("avg_rating") / MAX_SCORE * AVERAGE_WEIGHT
-    return top_by_passes(users, chosen.withColumn("base", base), k, dimensions, per_pass)
+    return top_by_passes(users, chosen.withColumn("base", base), k, dimensions, per_pass, history=history, skipped=skipped)
 
 
 def content_predictions(test: DataFrame, profiles: DataFrame, vectors: DataFrame) -> DataFrame:

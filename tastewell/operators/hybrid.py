@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +9,6 @@ from tastewell.constants import DEFAULT_RATING, HYBRID_MIN_VOTES, LIST_SIZE, MAX
 from tastewell.functions.ranking import top_per_key
 from tastewell.functions.scores import blended
 from tastewell.operators.statistics import movies_with_votes
-from tastewell.session import written
 
 
 def blend_lists(als: DataFrame, cbf: DataFrame, scale: str = "reference") -> DataFrame:
@@ -52,27 +48,6 @@ def with_enough_votes(scored: DataFrame, ratings: DataFrame, min_votes: int = HY
     return scored.join(movies_with_votes(ratings, min_votes), "movieId", "left_semi")
 
 
-def unrated_lists(
-    lists: Callable[[DataFrame, int], DataFrame], history: DataFrame, k: int
-) -> DataFrame:
-    """The ``k`` best movies of every user that the user has not rated, from ``lists(users, n)``.
-
-    Among a user's best ``k`` plus as many as they have rated there are ``k`` unrated ones, or all. Users
-    are taken by the size of their history, in powers of two, so that few make long lists.
-    """
-    sizes = history.groupBy("userId").agg(F.ceil(F.log2(F.count("*") + F.lit(1.0))).cast("int").alias("size_class"))
-    sizes = written(sizes, "history-sizes")
-    order = [F.desc("score"), F.asc("movieId")]
-    parts = []
-    for row in sizes.select("size_class").distinct().orderBy("size_class").collect():  # at most 64 classes
-        users = sizes.filter(F.col("size_class") == row[0]).select("userId")
-        fresh = without_rated(lists(users, k + 2 ** row[0]), history)
-        parts.append(top_per_key(fresh.drop("rank"), ["userId"], order, k))
-    if not parts:
-        return lists(history.select("userId"), k)
-    return reduce(DataFrame.unionByName, parts).select("userId", "rank", "movieId", "score")
-
-
 def hybrid_top_k(
     als: DataFrame | None,
     cbf: DataFrame | None,

@@ -1,4 +1,10 @@
-"""Top lists by matrix product: blocks of users against candidates every executor holds."""
+"""Exact top lists by inner product: users stay where they are, candidates come in passes of bounded size.
+
+Candidates stand in blocks in the order of the most they can reach. A block's bounds (its greatest norm, and the least and
+greatest value of each dimension) tell the most it can give a user; users whose k-th best score is above what all
+blocks left can give are done with the pass, and blocks that no user of a tile needs are skipped. Movies a
+user has rated are masked inside the pass, so one pass gives k unrated ones whatever the history.
+"""
 
 from __future__ import annotations
 
@@ -21,8 +27,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Scores are compared after rounding, so block layout cannot change an order.
 SCORE_DECIMALS = 9
-USERS_PER_BLOCK = 2048
-TOP_SCHEMA = "userId int, rank int, movieId int, score double"
+ROUNDING = 4 * 10.0**-SCORE_DECIMALS
+USERS_PER_TILE = 1024
+ITEMS_PER_BLOCK = 1024  # a tile is at most USERS_PER_TILE x ITEMS_PER_BLOCK scores: 8 MB
+VALUES_PER_TILE = 1 << 20  # dense values of a tile's users: 8 MB
+TOP_SCHEMA = "userId bigint, rank int, movieId bigint, score double"
 
 
 def dense_rows(idx: pd.Series, val: pd.Series, dimensions: int) -> np.ndarray:
@@ -36,96 +45,178 @@ def dense_rows(idx: pd.Series, val: pd.Series, dimensions: int) -> np.ndarray:
     return block
 
 
-def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, column and place (from 0) of the ``k`` best scores of each row.
-
-    Equal scores go to the lower column. Only scores at or above the k-th are sorted.
-    """
-    width = scores.shape[1]
-    if width > k:
-        floor = np.partition(scores, width - k, axis=1)[:, width - k]
-        rows, cols = np.nonzero(scores >= floor[:, None])
-    else:
-        rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
+class Candidates:
+    """The candidates of one pass as dense rows in blocks, those that can reach most first."""
+
+    def __init__(self, block: pd.DataFrame, dimensions: int, weight: float, size: int = ITEMS_PER_BLOCK):
+        norms = block["norm"].to_numpy(dtype=float)
+        items = weight * dense_rows(block["idx"], block["val"], dimensions)
+        items /= np.where(norms > 0, norms, 1.0)[:, None]
+        base, ids = block["base"].to_numpy(dtype=float), block["movieId"].to_numpy(dtype=np.int64)
+        lengths = np.linalg.norm(items, axis=1)
+        order = np.lexsort((ids, -(lengths + base)))
+        self.items, self.base, self.ids, lengths = items[order], base[order], ids[order], lengths[order]
+        self.starts = list(range(0, len(ids), size))
+        self.ends = [min(s + size, len(ids)) for s in self.starts]
+        spans = list(zip(self.starts, self.ends, strict=True))
+        # By block, the bounds of it and all that follow.
+        self.low = np.array([self.items[s:].min(0) for s, _ in spans]).reshape(len(spans), dimensions)
+        self.high = np.array([self.items[s:].max(0) for s, _ in spans]).reshape(len(spans), dimensions)
+        self.length = np.array([lengths[s:].max() for s, _ in spans])
+        self.most = np.array([self.base[s:].max() for s, _ in spans])
+        self.by_id = np.argsort(self.ids, kind="stable")
+
+    def bounds(self, users: np.ndarray) -> np.ndarray:
+        """The most that a block or a later one can give each user, by user and block."""
+        boxes = np.maximum(users, 0) @ self.high.T + np.minimum(users, 0) @ self.low.T
+        lengths = np.linalg.norm(users, axis=1)[:, None] * self.length[None, :]
+        return np.minimum(boxes, lengths) + self.most + ROUNDING
+
+    def places(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the ids are candidates here, and their places."""
+        sorted_ids = self.ids[self.by_id]
+        at = np.minimum(np.searchsorted(sorted_ids, ids), max(0, len(sorted_ids) - 1))
+        found = np.flatnonzero(sorted_ids[at] == ids) if len(sorted_ids) else np.zeros(0, np.int64)
+        return found, self.by_id[at[found]]
+
+
+def _merged(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, id, score and place (from 0) of the ``k`` best of each row; equal scores go to the lower id."""
+    order = np.lexsort((ids, -scores, rows))
+    rows, ids, scores = rows[order], ids[order], scores[order]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows)
     kept = place < k
-    return rows[kept], cols[kept], place[kept]
+    return rows[kept], ids[kept], scores[kept], place[kept]
+
+
+def best_of(users: np.ndarray, rated: list[np.ndarray] | None, candidates: Candidates, k: int):
+    """(row, id, score, place) of every user's ``k`` best, those in ``rated`` left out, and the number of blocks skipped."""
+    n = len(users)
+    bounds = candidates.bounds(users)
+    floor = np.full(n, -np.inf)
+    held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+    masked_rows = masked_places = np.zeros(0, np.int64)
+    if rated is not None:
+        lengths = np.fromiter((len(r) for r in rated), np.int64, n)
+        if lengths.sum():
+            found, masked_places = candidates.places(np.concatenate(rated).astype(np.int64))
+            masked_rows = np.repeat(np.arange(n), lengths)[found]
+            order = np.argsort(masked_places, kind="stable")
+            masked_rows, masked_places = masked_rows[order], masked_places[order]
+    skipped = 0
+    for number, (start, end) in enumerate(zip(candidates.starts, candidates.ends, strict=True)):
+        active = np.flatnonzero(bounds[:, number] >= floor)
+        if not len(active):
+            skipped += len(candidates.starts) - number
+            break
+        scores = np.round(users[active] @ candidates.items[start:end].T + candidates.base[start:end], SCORE_DECIMALS)
+        cut = slice(*np.searchsorted(masked_places, [start, end]))
+        if cut.stop > cut.start:
+            at = np.full(n, -1)
+            at[active] = np.arange(len(active))
+            rows = at[masked_rows[cut]]
+            scores[rows[rows >= 0], (masked_places[cut] - start)[rows >= 0]] = -np.inf
+        floors = floor[active]
+        if end - start > k:
+            # Nothing below the k-th best of this block alone can stay.
+            floors = np.maximum(floors, np.partition(scores, end - start - k, axis=1)[:, end - start - k])
+        rows, columns = np.nonzero((scores >= floors[:, None]) & (scores > -np.inf))
+        if not len(rows):
+            continue
+        found = active[rows], candidates.ids[start:end][columns], scores[rows, columns]
+        held = _merged(*(np.concatenate([h, f]) for h, f in zip(held, found, strict=False)), k)
+        full = held[3] == k - 1
+        floor[held[0][full]] = held[2][full]
+    return held, skipped
 
 
 def score_pass(
-    users: DataFrame, block: pd.DataFrame, k: int, dimensions: int, weight: float = SIMILARITY_WEIGHT
+    users: DataFrame, block: pd.DataFrame, k: int, dimensions: int, weight: float = SIMILARITY_WEIGHT, skipped=None
 ) -> DataFrame:
     """The ``k`` best of one block of candidates for every user, without a shuffle.
 
-    The score is ``weight`` times the product of the normed vectors plus the candidate's ``base``.
+    The score is ``weight`` times the product of the normed vectors plus the candidate's ``base``. A column
+    ``rated`` of the users holds movies that are left out. ``skipped``, an accumulator, counts blocks not multiplied.
 
     The result is written, so that the block can be dropped from the executors at once.
     """
-    norms = block["norm"].to_numpy(dtype=float)
-    items = dense_rows(block["idx"], block["val"], dimensions)
-    items /= np.where(norms > 0, norms, 1.0)[:, None]
-    shipped = users.sparkSession.sparkContext.broadcast(
-        (
-            np.ascontiguousarray(items.T),
-            block["movieId"].to_numpy(dtype=np.int32),
-            block["base"].to_numpy(dtype=float),
-        )
-    )
+    shipped = users.sparkSession.sparkContext.broadcast(Candidates(block, dimensions, weight))
+    per_tile = max(1, min(USERS_PER_TILE, VALUES_PER_TILE // max(1, dimensions)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matrix, movie_ids, base = shipped.value
+        candidates = shipped.value
         for batch in batches:
-            for start in range(0, len(batch), USERS_PER_BLOCK):
-                part = batch.iloc[start : start + USERS_PER_BLOCK]
+            for start in range(0, len(batch), per_tile):
+                part = batch.iloc[start : start + per_tile]
                 vectors = dense_rows(part["idx"], part["val"], dimensions)
                 vectors /= part["norm"].to_numpy(dtype=float)[:, None]
-                scores = np.round(weight * (vectors @ matrix) + base, SCORE_DECIMALS)
-                rows, cols, place = best_columns(scores, k)
-                yield pd.DataFrame(
-                    {
-                        "userId": part["userId"].to_numpy()[rows],
-                        "rank": place + 1,
-                        "movieId": movie_ids[cols],
-                        "score": scores[rows, cols],
-                    }
-                )
+                rated = list(part["rated"]) if "rated" in part else None
+                (rows, ids, scores, place), left_out = best_of(vectors, rated, candidates, k)
+                if skipped is not None:
+                    skipped.add(left_out)
+                yield pd.DataFrame({"userId": part["userId"].to_numpy()[rows], "rank": place + 1, "movieId": ids, "score": scores})
 
     found = written(users.mapInPandas(score, TOP_SCHEMA), "top-pass")
     shipped.destroy()
     return found
 
 
+def with_rated(users: DataFrame, history: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Users with ``rated``: the candidates among the movies they have rated, so at most one entry a candidate."""
+    seen = history.select("userId", "movieId").join(candidates.select("movieId"), "movieId", "left_semi")
+    lists = seen.groupBy("userId").agg(F.collect_set("movieId").alias("rated"))
+    rated = F.coalesce("rated", F.array().cast("array<bigint>")).alias("rated")
+    return users.join(lists, "userId", "left").select(*[F.col(c) for c in users.columns], rated)
+
+
 def top_by_passes(
-    users: DataFrame, candidates: DataFrame, k: int, dimensions: int, per_pass: int, weight: float = SIMILARITY_WEIGHT
+    users: DataFrame,
+    candidates: DataFrame,
+    k: int,
+    dimensions: int,
+    per_pass: int,
+    weight: float = SIMILARITY_WEIGHT,
+    history: DataFrame | None = None,
+    skipped=None,
 ) -> DataFrame:
     """The ``k`` best candidates of every user: ``userId, rank, movieId, score``.
 
     Users have ``userId, idx, val, norm``, candidates ``movieId, idx, val, norm, base``. Users stay
     where they are; a pass ships at most ``per_pass`` candidates, and the passes' lists are merged.
+    With a ``history`` (``userId, movieId``) a user's rated movies are left out.
     """
-    # Sorted by id, so that a block reads few row groups.
     chosen = candidates.select("movieId", "idx", "val", "norm", "base")
-    chosen = written(chosen.repartitionByRange("movieId").sortWithinPartitions("movieId"), "pass-candidates")
-    passes = [score_pass(users, block, k, dimensions, weight) for block in _blocks(chosen, per_pass)]
-    if not passes:
+    chosen = written(_in_passes(chosen, per_pass), "pass-candidates")
+    people = users.select("userId", "idx", "val", "norm")
+    if history is not None:
+        people = with_rated(people, history, chosen)
+    passes = chosen.agg(F.max("pass")).first()[0]
+    if passes is None:
         return users.sparkSession.createDataFrame([], TOP_SCHEMA)
-    if len(passes) == 1:
-        return passes[0]
-    pooled = reduce(DataFrame.unionByName, passes).drop("rank")
+    if passes:
+        people = written(people, "pass-users")
+    blocks = (chosen.filter(F.col("pass") == number).drop("pass").toPandas() for number in range(passes + 1))
+    found = [score_pass(people, block, k, dimensions, weight, skipped) for block in blocks if len(block)]
+    if len(found) == 1:
+        return found[0]
+    pooled = reduce(DataFrame.unionByName, found).drop("rank")
     order = [F.desc("score"), F.asc("movieId")]
     return top_per_key(pooled, ["userId"], order, k).select("userId", "rank", "movieId", "score")
 
 
-def _blocks(candidates: DataFrame, per_pass: int) -> Iterator[pd.DataFrame]:
-    """Candidates in blocks of ascending movie id, each small enough to ship."""
-    after = None
-    while True:
-        rest = candidates if after is None else candidates.filter(F.col("movieId") > after)
-        block = rest.orderBy("movieId").limit(per_pass).toPandas()
-        if len(block):
-            yield block
-        if len(block) < per_pass:
-            return
-        after = int(block["movieId"].iloc[-1])
+def _in_passes(candidates: DataFrame, per_pass: int) -> DataFrame:
+    """Candidates with the number of their pass; no pass holds more than ``per_pass``.
+
+    Movies, one row each, are dealt by a hash into a few more passes than the volume needs; if one is too large
+    all the same, they are dealt into more.
+    """
+    many = candidates.count()
+    if many <= per_pass:
+        return candidates.withColumn("pass", F.lit(0))
+    passes = 1 + -(-many * 5 // (per_pass * 4))
+    while passes < 2 * many:
+        dealt = candidates.withColumn("pass", F.pmod(F.xxhash64("movieId"), F.lit(passes)).cast("int"))
+        if dealt.groupBy("pass").count().agg(F.max("count")).first()[0] <= per_pass:
+            return dealt.repartition("pass")
+        passes += passes // 4 + 1
+    raise ValueError("movies stand among the candidates more than once")

@@ -13,7 +13,7 @@ LIST_MIN_VOTES = 25
 
 INPUTS = """
 lines AS (
-  SELECT CAST(o.o_custkey AS INT) AS userId, CAST(l.l_partkey AS INT) AS movieId,
+  SELECT CAST(o.o_custkey AS BIGINT) AS userId, CAST(l.l_partkey AS BIGINT) AS movieId,
          CAST(CEIL(l.l_quantity / 5.0) AS DOUBLE) / 2 AS rating,
          CAST(epoch(o.o_orderdate) AS BIGINT) AS ts,
          o.o_orderdate, l.l_quantity, l.l_linenumber, l.l_returnflag, o.o_orderpriority
@@ -25,7 +25,7 @@ ratings AS (
                                  ORDER BY o_orderdate DESC, l_quantity DESC) AS rn FROM lines)
   WHERE rn = 1),
 movies AS (
-  SELECT CAST(p_partkey AS INT) AS movieId, p_name AS title,
+  SELECT CAST(p_partkey AS BIGINT) AS movieId, p_name AS title,
          CASE WHEN p_partkey % 50 = 0 THEN '(no genres listed)' WHEN p_partkey % 50 = 1 THEN ''
               ELSE CONCAT(split_part(p_name, ' ', 1), '|', split_part(p_name, ' ', 2), '|', p_type)
          END AS genres
@@ -157,6 +157,12 @@ listing AS (
   FROM shown GROUP BY 1)
 """
 
+# Five loads: each fifth of the movies comes with its own, and one later load may rate a key again.
+RATED_AGAIN = """,
+rated_again AS (
+  SELECT userId, movieId, CASE WHEN userId % 7 > movieId % 5 AND userId % 7 < 5 THEN 5.5 - rating ELSE rating END AS rating
+  FROM ratings)"""
+
 RUNS = """,
 movie_mean AS (SELECT movieId, AVG(rating) AS pred_als FROM train GROUP BY 1),
 user_mean AS (SELECT userId, AVG(rating) AS pred_cbf FROM train GROUP BY 1),
@@ -235,9 +241,9 @@ def statements() -> dict[str, str]:
     return {
         "ratings_latest": _sql("SELECT * FROM ratings"),
         "tags_clean": _sql("SELECT * FROM tags"),
-        "ingest_movies": "SELECT CAST(p_partkey AS INT) AS movieId, p_name || ', \"' || p_brand || '\"' "
+        "ingest_movies": "SELECT CAST(p_partkey AS BIGINT) AS movieId, p_name || ', \"' || p_brand || '\"' "
         "|| chr(10) || p_type AS title, p_type AS genres FROM part",
-        "ingest_movies_split": "SELECT CAST(p_partkey AS INT) AS movieId, "
+        "ingest_movies_split": "SELECT CAST(p_partkey AS BIGINT) AS movieId, "
         "CASE WHEN p_partkey % 7 = 1 THEN p_name ELSE p_name || ', \"' || p_brand || '\"' END AS title, "
         "p_type AS genres FROM part WHERE p_partkey % 7 NOT IN (0, 2)",
         "ingest_overview": "SELECT CASE p_partkey % 7 WHEN 0 THEN 'too few fields' WHEN 2 THEN 'unbalanced quote' "
@@ -315,7 +321,7 @@ def statements() -> dict[str, str]:
         "user_ratings_map": _sql("SELECT userId, movieId, rating FROM ratings"),
         "movie_tags_text": _text(
             "SELECT movieId, string_agg(tag, ' ' ORDER BY place) AS tags_text FROM placed_tags "
-            "WHERE place <= 5 GROUP BY 1"
+            "WHERE place <= 100 GROUP BY 1"
         ),
         "movie_content": _text("SELECT * FROM content"),
         "tfidf_terms": _text("SELECT movieId, term, round(weight, 6) AS weight FROM weights"),
@@ -337,6 +343,10 @@ def statements() -> dict[str, str]:
             f"SELECT movieId, avg_rating, rating_count FROM features WHERE avg_rating >= {MIN_AVERAGE} "
             f"AND rating_count >= {MIN_VOTES}"
         ),
+        "quality_limit": _text(
+            f"SELECT movieId, avg_rating, rating_count FROM features WHERE avg_rating >= {MIN_AVERAGE} "
+            f"AND rating_count >= {MIN_VOTES} ORDER BY rating_count DESC, avg_rating DESC, movieId LIMIT 40"
+        ),
         "cbf_topk": _text(
             "SELECT userId, rank, movieId, score FROM (SELECT *, CAST(ROW_NUMBER() OVER "
             "(PARTITION BY userId ORDER BY score DESC, movieId) AS INT) AS rank FROM scored) WHERE rank <= 10",
@@ -452,6 +462,53 @@ long_predictions AS (
         "model_comparison": _sql(
             "SELECT model, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM newest_models", RUNS
         ),
+        "comparison_with_summary": _sql(
+            "SELECT model, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM newest_models", RUNS
+        ),
+        "entered_ids": """
+            SELECT TRY_CAST(entered AS BIGINT) AS userId FROM (
+              SELECT CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) WHEN 1 THEN '-' || o_custkey
+                     ELSE o_orderkey || '99999999999999999999' END AS entered FROM orders)
+            WHERE regexp_full_match(entered, '[0-9]+') AND TRY_CAST(entered AS BIGINT) IS NOT NULL""",
+        "wide_ids": _sql("SELECT userId + 3000000000 AS userId, movieId + 3000000000 AS movieId, rating, ts FROM ratings"),
+        "loaded_twice": _sql(
+            "SELECT userId, movieId, CASE WHEN userId % 4 = 0 THEN 5.5 - rating ELSE rating END AS rating, "
+            "CASE WHEN movieId % 3 = 0 OR userId % 4 = 0 THEN ts + 1 ELSE ts END AS ts FROM ratings"
+        ),
+        "statistics_after_deltas": _sql(
+            "SELECT movieId, AVG(rating) AS avg_rating, COUNT(*) AS rating_count FROM rated_again GROUP BY 1", RATED_AGAIN
+        ),
+        "overview_after_deltas": _sql(
+            "SELECT COUNT(DISTINCT userId) AS user_count, COUNT(*) AS rating_count, "
+            "(SELECT rating FROM rated_again GROUP BY 1 ORDER BY COUNT(*) DESC, rating DESC LIMIT 1) AS top_rating FROM rated_again",
+            RATED_AGAIN,
+        ),
+        "evaluation_share": _sql(
+            "SELECT COUNT(*) FILTER (WHERE rating IS NULL) AS foreign_rows, COUNT(*) - COUNT(DISTINCT (userId, movieId)) AS repeated, "
+            "CAST(0 AS BIGINT) AS other_when_drawn_again, COUNT(*) > 0 AS about_a_tenth FROM test"
+        ),
+        "als_list_shape": _sql(
+            "SELECT COUNT(DISTINCT userId) AS users, CAST(COUNT(DISTINCT userId) * LEAST(10, COUNT(DISTINCT movieId)) AS BIGINT) AS items, "
+            "CAST(0 AS BIGINT) AS wrong_ranks, CAST(0 AS BIGINT) AS rising_scores, CAST(0 AS BIGINT) AS repeated_movies, "
+            "CAST(0 AS BIGINT) AS unknown_movies FROM train"
+        ),
+        "als_rmse_bound": _sql(
+            "SELECT COUNT(*) AS scored, TRUE AS bounded FROM test WHERE userId IN (SELECT userId FROM train) "
+            "AND movieId IN (SELECT movieId FROM train)"
+        ),
+        "hybrid_invariants": _sql(
+            "SELECT COUNT(*) AS users, CAST(0 AS BIGINT) AS wrong_ranks, CAST(0 AS BIGINT) AS rising_scores, "
+            "CAST(0 AS BIGINT) AS repeated_movies, CAST(0 AS BIGINT) AS rated, CAST(0 AS BIGINT) AS few_votes "
+            "FROM (SELECT userId, COUNT(*) FILTER (WHERE votes >= 10) AS seen FROM train JOIN votes USING (movieId) GROUP BY 1) "
+            "WHERE seen < (SELECT COUNT(*) FROM votes WHERE votes >= 10)",
+            ", votes AS (SELECT movieId, COUNT(*) AS votes FROM train GROUP BY 1)",
+        ),
+        "training_run_cbf": _text(
+            "SELECT 'only' AS run_id, 'cbf' AS model, rmse, mae, TRUE AS is_winner FROM ("
+            + _errors("content_predictions", "pred_cbf")
+            + ")",
+            fitted + CONTENT_PREDICTIONS,
+        ),
         "overview_report": _sql(
             "SELECT format('{:,}', user_count) AS user_count, format('{:,}', movie_count) AS movie_count, "
             "format('{:,}', rating_count) AS rating_count, "

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastewell import fixtures as fx
-from tastewell.constants import HYBRID_MIN_VOTES, LISTING_USERS
+from tastewell.constants import HYBRID_MIN_VOTES, LATEST_RUN, LISTING_USERS
 from tastewell.functions.display import fixed
 from tastewell.functions.scores import clamp
 from tastewell.operators import content as cb
@@ -20,14 +20,15 @@ from tastewell.operators import evaluation as ev
 from tastewell.operators import factorisation as fa
 from tastewell.operators import hybrid as hy
 from tastewell.operators import lists as li
+from tastewell.operators import maintained as mt
 from tastewell.operators import reports as rp
 from tastewell.operators import statistics as st
 from tastewell.operators.ratings import latest_ratings, split_by_key
-from tastewell.plans.statistics_job import write_statistics
+from tastewell.plans.statistics_job import merge_ratings, write_statistics
 from tastewell.plans.training import TrainingConfig, run_training
 from tastewell.session import scratch_path, written
 from tastewell.sources import csv_files, result_files, stored_rows
-from tastewell.sources.tables import merge_statistics, read_table, write_table
+from tastewell.sources.tables import merge_statistics, merge_table, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,7 @@ MIN_AVERAGE = 2.8
 MIN_VOTES = 30
 LIST_MIN_VOTES = 25
 DECIMALS = 6
+SMALL_UNIT = 20_000  # rows: several units at every size
 
 
 def _rounded(df: DataFrame, *names: str, places: int = DECIMALS) -> DataFrame:
@@ -208,6 +210,55 @@ def ingest_ratings(spark, sf):
     return csv_files.last_written(good, ["userId", "movieId"])
 
 
+def wide_ids(spark, sf):
+    """Ids beyond 32 bits, through the CSV reader and the latest of each key."""
+    far = F.lit(3_000_000_000)
+    rows = fx.ratings(spark, sf).select(
+        (F.col("userId") + far).alias("userId"), (F.col("movieId") + far).alias("movieId"), "rating", F.col("ts").alias("timestamp")
+    )
+    path = scratch_path(spark, "wide-csv")
+    rows.write.csv(path, header=True)
+    good, _ = csv_files.read_ratings(spark, path)
+    return csv_files.last_written(good, ["userId", "movieId"])
+
+
+def loaded_twice(spark, sf):
+    """Two loads into one store: the second brings new keys and other ratings of every fourth user."""
+    root = scratch_path(spark, "twice")
+    ratings = written(fx.ratings(spark, sf), "ratings")
+    again = F.col("userId") % 4 == 0
+    merge_table(ratings.filter("movieId % 3 <> 0"), root, "ratings", rows_per_unit=SMALL_UNIT)
+    second = ratings.filter((F.col("movieId") % 3 == 0) | again)
+    second = second.withColumns({"rating": F.when(again, 5.5 - F.col("rating")).otherwise(F.col("rating")), "ts": F.col("ts") + 1})
+    merge_table(second, root, "ratings", rows_per_unit=SMALL_UNIT)
+    return read_table(spark, root, "ratings")
+
+
+def _after_deltas(spark, sf) -> str:
+    """A store after five loads, each with a fifth of the movies and other ratings of a seventh of the users."""
+    root = scratch_path(spark, "deltas")
+    ratings = written(fx.ratings(spark, sf), "ratings")
+    for delta in range(5):
+        again = (F.col("userId") % 7 == delta) & (F.col("movieId") % 5 < delta)
+        rows = ratings.filter((F.col("movieId") % 5 == delta) | again)
+        merge_ratings(rows.withColumn("rating", F.when(again, 5.5 - F.col("rating")).otherwise(F.col("rating"))), root, SMALL_UNIT)
+    return root
+
+
+def statistics_after_deltas(spark, sf):
+    """Mean and count per movie, moved along with five loads."""
+    return mt.statistics_of(read_table(spark, _after_deltas(spark, sf), "rating_counts"))
+
+
+def overview_after_deltas(spark, sf):
+    """Distinct users by their bits, ratings and the most frequent value after five loads."""
+    root = _after_deltas(spark, sf)
+    counts = read_table(spark, root, "rating_counts")
+    users = mt.bit_count(read_table(spark, root, "user_bits")).select("n").scalar()
+    top = mt.histogram_of(counts).agg(F.max_by("rating", F.struct("count", "rating")).alias("top_rating"), F.sum("count").alias("rating_count"))
+    return top.select(users.alias("user_count"), "rating_count", "top_rating")
+
+
 def _tags_csv(spark, sf) -> str:
     path = scratch_path(spark, "tags-csv")
     rows = fx.tags_raw(spark, sf).withColumnRenamed("ts", "timestamp")
@@ -396,7 +447,7 @@ def user_ratings_map(spark, sf):
 
 
 def movie_tags_text(spark, sf):
-    return cb.movie_tags_text(fx.tags(spark, sf), limit=5)
+    return cb.movie_tags_text(fx.tags(spark, sf))
 
 
 def movie_content(spark, sf):
@@ -435,6 +486,12 @@ def quality_candidates(spark, sf):
     return chosen.select("movieId", "avg_rating", "rating_count")
 
 
+def quality_limit(spark, sf):
+    """The most voted of the well rated movies, up to a limit."""
+    features = cb.item_features(vectors(spark, sf), st.movie_statistics(fx.ratings(spark, sf)))
+    return cb.quality_candidates(features, MIN_AVERAGE, MIN_VOTES, limit=40).select("movieId", "avg_rating", "rating_count")
+
+
 def _content_model(ratings: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Profiles and candidates of one set of ratings, written."""
     features = cb.item_features(items, st.movie_statistics(ratings))
@@ -628,6 +685,37 @@ def model_comparison(spark, sf):
     return _rounded(rp.model_comparison(run_metrics(spark, sf)).drop("updated_at"), "rmse", "mae")
 
 
+def comparison_with_summary(spark, sf):
+    """Rows that sum up a run stand among the metrics and are no model."""
+    runs = run_metrics(spark, sf)
+    summary = runs.withColumns({"model": F.lit(LATEST_RUN), "rmse": F.lit(0.0)})
+    return _rounded(rp.model_comparison(runs.unionByName(summary)).drop("updated_at"), "rmse", "mae")
+
+
+def entered_ids(spark, sf):
+    """Which texts are ids: of digits only, and within 64 bits."""
+    comment = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey").cast("string")).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("-"), F.col("o_custkey")))
+    entered = F.coalesce(comment, F.concat(F.col("o_orderkey"), F.lit("99999999999999999999")))
+    return rp.valid_user_ids(fx.table(spark, sf, "orders").select(entered.alias("entered")))
+
+
+def evaluation_share(spark, sf):
+    """A tenth of the test rows, drawn with a seed: none twice, all of them test rows, about a tenth."""
+    _, test = split_by_key(fx.ratings(spark, sf))
+    test = written(test, "test")
+    drawn = written(ev.evaluation_sample(test, 0.1), "drawn")
+    again = ev.evaluation_sample(test, 0.1)
+    keys = ["userId", "movieId"]
+    share = drawn.count() / max(1, test.count())
+    counts = {
+        "foreign_rows": drawn.join(test, keys, "left_anti").count(),
+        "repeated": drawn.count() - drawn.select(*keys).distinct().count(),
+        "other_when_drawn_again": drawn.exceptAll(again).count(),
+    }
+    row = [F.lit(n).cast("bigint").alias(name) for name, n in counts.items()]
+    return spark.range(1).select(*row, F.lit(0.08 < share < 0.12).alias("about_a_tenth"))
+
+
 def overview_report(spark, sf):
     return rp.overview_report(system_overview(spark, sf), run_metrics(spark, sf))
 
@@ -637,7 +725,7 @@ def report_rows(spark, sf):
     return rp.report_rows(system_overview(spark, sf), run_metrics(spark, sf), genres)
 
 
-# --- Factorisation and the training job (no SQL twin: iterative) -------------------------
+# --- Factorisation and the training job: iterative, so twins hold for their shape only ----
 
 
 def als_topk(spark, sf):
@@ -661,8 +749,8 @@ def _hybrid_lists(spark, sf, train: DataFrame) -> DataFrame:
     people, candidates = _content_model(train, vectors(spark, sf))
     fit = written(candidates.join(voted, "movieId", "left_semi"), "voted-candidates")
     model = fa.fit_als(train)
-    als = hy.unrated_lists(lambda users, n: fa.als_top_k(model, n, users, voted), train, 20)
-    cbf = hy.unrated_lists(lambda users, n: cb.content_top_k(people.join(users, "userId", "left_semi"), fit, n), train, 10)
+    als = fa.als_top_k(model, 20, movies=voted, history=train)
+    cbf = cb.content_top_k(people, fit, 10, history=train)
     return hy.hybrid_top_k(als, cbf, train)
 
 
@@ -685,6 +773,61 @@ def training_run(spark, sf):
     return metrics.join(stored, "model", "left").drop("updated_at")
 
 
+def als_list_shape(spark, sf):
+    """What must hold for factor lists whatever the factors: one row of counts."""
+    train, _ = split_by_key(written(fx.ratings(spark, sf), "ratings"))
+    model = fa.fit_als(train)
+    lists = written(fa.als_top_k(model), "lists")
+    shape = _list_shape(lists)
+    known = lists.join(train.select("movieId").distinct(), "movieId", "left_anti").agg(F.count("*").alias("unknown_movies"))
+    return shape.crossJoin(F.broadcast(known))
+
+
+def _list_shape(lists: DataFrame) -> DataFrame:
+    """One row: users, rows, lists that are not ranked 1 to their length, that repeat a movie or whose scores rise."""
+    by_user = lists.groupBy("userId").agg(
+        F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("entries"), F.count_distinct("movieId").alias("movies")
+    )
+    steps = F.transform("entries", lambda x, i: F.when(x.rank != i + 1, 1).otherwise(0))
+    rises = F.transform("entries", lambda x, i: F.when((i > 0) & (x.score > F.get("entries", i - 1).score), 1).otherwise(0))
+    total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
+    return by_user.agg(
+        F.count("*").alias("users"), F.coalesce(F.sum("n"), F.lit(0)).alias("items"), F.coalesce(F.sum(total(steps).cast("bigint")), F.lit(0)).alias("wrong_ranks"),
+        F.coalesce(F.sum(total(rises).cast("bigint")), F.lit(0)).alias("rising_scores"), F.coalesce(F.sum(F.col("n") - F.col("movies")), F.lit(0)).alias("repeated_movies"),
+    )
+
+
+def als_rmse_bound(spark, sf):
+    """Test rows with a prediction, and whether the error stays in reach of ratings that are noise."""
+    train, test = split_by_key(written(fx.ratings(spark, sf), "ratings"))
+    errors = ev.rating_errors(fa.als_predictions(test, fa.fit_als(train)), "pred_als")
+    return errors.select("scored", (F.col("rmse") < 2.0).alias("bounded"))
+
+
+def hybrid_invariants(spark, sf):
+    """What must hold for hybrid lists of real models: nothing rated, enough votes, ranks and scores in order."""
+    train, _ = split_by_key(written(fx.ratings(spark, sf), "ratings"))
+    train = written(train, "train")
+    lists = written(_hybrid_lists(spark, sf, train), "lists")
+    rated = lists.join(train, ["userId", "movieId"], "left_semi").agg(F.count("*").alias("rated"))
+    voted = st.movies_with_votes(train, HYBRID_MIN_VOTES)
+    few = lists.join(voted, "movieId", "left_anti").agg(F.count("*").alias("few_votes"))
+    return _list_shape(lists).crossJoin(F.broadcast(rated)).crossJoin(F.broadcast(few)).drop("items")
+
+
+def training_run_cbf(spark, sf):
+    """The training job for the content model alone: its stored metrics."""
+    root = scratch_path(spark, "store")
+    movies = fx.movies(spark, sf)
+    write_statistics(written(fx.ratings_raw(spark, sf), "raw"), movies, movies, root)
+    write_table(fx.ratings(spark, sf), root, "ratings")
+    write_table(fx.tags(spark, sf), root, "tags")
+    config = TrainingConfig(models=["cbf"], min_average=MIN_AVERAGE, min_votes=20)
+    run_training(spark, root, "only", config)
+    stored = read_table(spark, root, "model_metrics")
+    return _rounded(stored.select("run_id", "model", "rmse", "mae", "is_winner"), "rmse", "mae")
+
+
 REGISTERED: list[Query] = [
     ratings_latest,
     tags_clean,
@@ -763,6 +906,18 @@ REGISTERED: list[Query] = [
     als_eval,
     hybrid_topk,
     training_run,
+    wide_ids,
+    loaded_twice,
+    statistics_after_deltas,
+    overview_after_deltas,
+    quality_limit,
+    comparison_with_summary,
+    entered_ids,
+    evaluation_share,
+    als_list_shape,
+    als_rmse_bound,
+    hybrid_invariants,
+    training_run_cbf,
 ]
 
 

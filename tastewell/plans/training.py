@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +36,8 @@ from tastewell.operators.evaluation import (
     winners,
     with_winner_flag,
 )
-from tastewell.operators.factorisation import als_predictions, als_top_k, fit_als
-from tastewell.operators.hybrid import hybrid_predictions, hybrid_top_k, unrated_lists
+from tastewell.operators.factorisation import Factors, als_predictions, als_top_k, fit_als
+from tastewell.operators.hybrid import hybrid_predictions, hybrid_top_k
 from tastewell.operators.ratings import split_at_random, split_by_key
 from tastewell.operators.statistics import movie_statistics, movies_with_votes
 from tastewell.session import written
@@ -105,7 +104,7 @@ def fit_content(
 
 
 def predictions(
-    test: DataFrame, als: ALSModel | None, content: ContentModel | None, models: Sequence[str]
+    test: DataFrame, als: Factors | None, content: ContentModel | None, models: Sequence[str]
 ) -> DataFrame:
     """Test rows with a prediction column for every model, added one beside the other."""
     predicted = als_predictions(test, als)
@@ -117,7 +116,7 @@ def predictions(
 
 
 def recommendation_lists(
-    als: ALSModel | None, content: ContentModel | None, train: DataFrame, config: TrainingConfig
+    als: Factors | None, content: ContentModel | None, train: DataFrame, config: TrainingConfig
 ) -> DataFrame:
     """The lists of all chosen models in one table, ``model, userId, rank, movieId, score``."""
     lists: dict[str, DataFrame] = {}
@@ -129,13 +128,9 @@ def recommendation_lists(
         # The pools hold what the hybrid may show: movies with enough votes that the user has not rated.
         voted = written(movies_with_votes(train, config.hybrid_min_votes), "voted")
         candidates = written(content.candidates.join(voted, "movieId", "left_semi"), "voted-candidates")
-
-        def content_lists(users: DataFrame, n: int) -> DataFrame:
-            return content_top_k(content.profiles.join(users, "userId", "left_semi"), candidates, n)
-
         lists["hybrid"] = hybrid_top_k(
-            written(unrated_lists(lambda users, n: als_top_k(als, n, users, voted), train, 2 * config.k), "als-pool"),
-            written(unrated_lists(content_lists, train, config.content_pool), "cbf-pool"),
+            als_top_k(als, 2 * config.k, movies=voted, history=train),
+            content_top_k(content.profiles, candidates, config.content_pool, history=train),
             train,
             config.k,
             config.hybrid_min_votes,
@@ -188,7 +183,10 @@ def run_training(
     lists = recommendation_lists(als, content, train, config).withColumn(
         "is_winner", F.coalesce(F.col("model") == winner, F.lit(False))
     )
-    write_table(lists.select(*schemas.RECOMMENDATIONS.fieldNames()), root, "recommendations")
+    rows = written(lists.select(*schemas.RECOMMENDATIONS.fieldNames()), "lists")
+    # A model whose lists are empty now has no partition that would replace its earlier lists.
+    listed = {r["model"] for r in rows.select("model").distinct().collect()}
+    write_table(rows, root, "recommendations", emptied=tuple(m for m in config.models if m not in listed))
     kept = metrics
     if table_exists(spark, root, "model_metrics"):
         others = read_table(spark, root, "model_metrics").filter(F.col("run_id") != run_id)

@@ -5,11 +5,12 @@ from hypothesis import strategies as some
 from pyspark.sql import functions as F
 
 import numpy as np
+import pandas as pd
 
 from tastewell.functions.codec import decode_list, encode_list
 from tastewell.functions.display import epoch_date, fixed, rounded, signed, thousands
 from tastewell.functions.ranking import numbered, top_per_key
-from tastewell.operators.scoring import best_columns
+from tastewell.operators.scoring import Candidates, best_of
 
 
 def test_rounding_matches_format_strings(spark):
@@ -30,7 +31,7 @@ def test_display_edges(spark):
 
 
 def test_codec_clamps_and_skips_malformed(spark):
-    df = spark.createDataFrame([([(1, 7.0), (2, -1.0), (3, 3.125)],)], "items array<struct<movieId:int,score:double>>")
+    df = spark.createDataFrame([([(1, 7.0), (2, -1.0), (3, 3.125)],)], "items array<struct<movieId:bigint,score:double>>")
     text = df.select(encode_list(F.col("items")).alias("t"))
     assert text.first().t == "1:5.00,2:0.00,3:3.12"
     odd = spark.createDataFrame([("1:2.5,2,3:4:5,x:1.0,4:abc,5:1.00",), ("",)], "t string")
@@ -74,19 +75,40 @@ def test_numbered_equals_row_number(spark, rows):
     assert got == sorted(expected, key=repr)
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=80, deadline=None)
 @given(
-    some.integers(1, 6), some.integers(1, 12), some.integers(1, 12), some.integers(0, 2**31)
+    some.integers(1, 6), some.integers(1, 40), some.integers(1, 12), some.integers(1, 7), some.integers(0, 2**31), some.booleans()
 )
-def test_best_columns_against_sorting(height, width, k, seed):
-    scores = np.random.default_rng(seed).integers(0, 4, (height, width)).astype(float)
-    got_rows, got_cols, place = best_columns(scores, k)
-    expected = [
-        (r, c, p)
-        for r in range(height)
-        for p, c in enumerate(sorted(range(width), key=lambda c: (-scores[r, c], c))[:k])
-    ]
-    assert list(zip(got_rows, got_cols, place)) == expected
+def test_best_of_against_sorting(users, items, k, size, seed, masked):
+    rng = np.random.default_rng(seed)
+    block = pd.DataFrame(
+        {
+            "movieId": rng.permutation(2**40 + np.arange(items)), "idx": [[0, 1, 2]] * items, "val": list(rng.integers(-2, 3, (items, 3)).astype(float)),
+            "norm": np.ones(items), "base": rng.integers(0, 3, items).astype(float),
+        }
+    )
+    vectors = rng.integers(-2, 3, (users, 3)).astype(float)
+    rated = [rng.choice(block["movieId"], rng.integers(0, items + 1), replace=False) for _ in range(users)] if masked else None
+    (rows, ids, scores, place), _ = best_of(vectors, rated, Candidates(block, 3, 0.5, size), k)
+    expected = []
+    for u in range(users):
+        left = [i for i in range(items) if rated is None or block["movieId"][i] not in set(rated[u])]
+        value = {i: round(0.5 * float(vectors[u] @ block["val"][i]) + block["base"][i], 9) for i in left}
+        best = sorted(left, key=lambda i: (-value[i], block["movieId"][i]))[:k]
+        expected += [(u, block["movieId"][i], value[i], p) for p, i in enumerate(best)]
+    assert list(zip(rows, ids, scores, place)) == expected
+
+
+def test_bounds_leave_blocks_out():
+    rng = np.random.default_rng(1)
+    values = rng.random((5000, 4)) * (rng.random((5000, 1)) ** 6 + 0.01)
+    block = pd.DataFrame({"movieId": np.arange(5000), "idx": [[0, 1, 2, 3]] * 5000, "val": list(values), "norm": 1.0, "base": 0.0})
+    users = rng.random((50, 4))
+    (rows, ids, _, _), skipped = best_of(users, None, Candidates(block, 4, 1.0, 100), 10)
+    assert skipped >= 25
+    scores = np.round(users @ values.T, 9)
+    for u in range(50):
+        assert list(ids[rows == u]) == sorted(range(5000), key=lambda i: (-scores[u, i], i))[:10]
 
 
 def test_written_frames_live_in_the_named_folder(spark, rows):

@@ -12,7 +12,7 @@ from tastewell.operators.statistics import movie_statistics
 from tastewell.plans.training import TrainingConfig, chosen_models, run_training
 from tastewell.sources.tables import read_table, write_table
 
-RATING = "userId int, movieId int, rating double, ts long"
+RATING = "userId long, movieId long, rating double, ts long"
 
 
 def test_latest_rating_ties(spark, rows):
@@ -47,7 +47,7 @@ def test_likes_cap_and_ties(spark, rows):
 
 
 def test_tags_first_hundred_in_time_order(spark):
-    tags = spark.createDataFrame([(1, 1, f"t{i}", 1000 - i) for i in range(150)], "userId int, movieId int, tag string, ts long")
+    tags = spark.createDataFrame([(1, 1, f"t{i}", 1000 - i) for i in range(150)], "userId long, movieId long, tag string, ts long")
     words = cb.movie_tags_text(tags).first().tags_text.split()
     assert words == [f"t{i}" for i in range(149, 49, -1)]
 
@@ -55,11 +55,11 @@ def test_tags_first_hundred_in_time_order(spark):
 def _catalogue(spark):
     movies = spark.createDataFrame(
         [(1, "a", "Action|War"), (2, "b", "Drama"), (3, "c", ""), (4, "d", "Action"), (5, "e", "(no genres listed)")],
-        "movieId int, title string, genres string",
+        "movieId long, title string, genres string",
     )
     tags = spark.createDataFrame(
         [(1, 1, "loud", 1), (1, 2, "The slow one", 2), (2, 4, "loud", 3)],
-        "userId int, movieId int, tag string, ts long",
+        "userId long, movieId long, tag string, ts long",
     )
     return movies, tags
 
@@ -134,7 +134,7 @@ def test_content_predictions_defaults(spark):
     assert set(got.values()) == {3.0} and len(got) == 4
 
 
-FLAT = "userId int, rank int, movieId int, score double"
+FLAT = "userId long, rank int, movieId long, score double"
 
 
 def test_hybrid_blend_against_pandas(spark):
@@ -214,9 +214,9 @@ def planted(spark):
                 data.append((user, movie, float(rng.choice([4.5, 5.0] if likes else [0.5, 1.0, 1.5])), int(movie)))
     ratings = spark.createDataFrame(data, RATING)
     movies = spark.createDataFrame(
-        [(m, f"m{m}", "Drama" if m % 2 else "Action") for m in range(40)], "movieId int, title string, genres string"
+        [(m, f"m{m}", "Drama" if m % 2 else "Action") for m in range(40)], "movieId long, title string, genres string"
     )
-    tags = spark.createDataFrame([(0, m, "calm" if m % 2 else "loud", 1) for m in range(40)], "userId int, movieId int, tag string, ts long")
+    tags = spark.createDataFrame([(0, m, "calm" if m % 2 else "loud", 1) for m in range(40)], "userId long, movieId long, tag string, ts long")
     return ratings, movies, tags
 
 
@@ -319,8 +319,8 @@ def test_thinned_candidates_lose_nothing(spark):
     for movie in range(400):
         idx, val = kinds[rng.integers(4)]
         data.append((movie, idx, val, float(np.linalg.norm(val)), float(rng.integers(1, 6)) + float(rng.integers(0, 3)) * 1e-10))
-    items = spark.createDataFrame(data, "movieId int, idx array<int>, val array<double>, norm double, avg_rating double")
-    people = spark.createDataFrame([(u, [0, 1, 2], rng.random(3).tolist(), 1.0) for u in range(8)], "userId int, idx array<int>, val array<double>, norm double")
+    items = spark.createDataFrame(data, "movieId long, idx array<int>, val array<double>, norm double, avg_rating double")
+    people = spark.createDataFrame([(u, [0, 1, 2], rng.random(3).tolist(), 1.0) for u in range(8)], "userId long, idx array<int>, val array<double>, norm double")
     assert cb.competitive_candidates(items, 3).count() < 200
     got = {(r.userId, r.rank): r.movieId for r in cb.content_top_k(people, items, 3, dimensions=3, per_pass=50).collect()}
     vectors = np.zeros((400, 3))
@@ -333,17 +333,72 @@ def test_thinned_candidates_lose_nothing(spark):
         assert [got[r.userId, i] for i in (1, 2, 3)] == best
 
 
-def test_unrated_lists_are_full(spark):
-    ranked = spark.createDataFrame([(u, m, float(100 - m)) for u in range(4) for m in range(100)], "userId int, movieId int, score double")
-    history = spark.createDataFrame([(u, m, 3.0, 0) for u in range(4) for m in range(u * 7 + 1)], RATING)
-
-    def lists(users, n):
-        chosen = ranked.join(users, "userId", "left_semi")
-        return cb.top_per_key(chosen, ["userId"], [F.desc("score"), F.asc("movieId")], n)
-
-    got = hy.unrated_lists(lists, history, 5).collect()
-    for u in range(4):
-        assert [r.movieId for r in sorted(got, key=lambda r: r["rank"]) if r.userId == u] == list(range(u * 7 + 1, u * 7 + 6))
+def _planted_factors(spark, users, items, rank, seed=1):
+    rng = np.random.default_rng(seed)
+    # Few movies have long vectors, as popular ones do.
+    people, movies = rng.random((users, rank)), rng.random((items, rank)) * (rng.random((items, 1)) ** 4 + 0.02)
+    frames = [
+        spark.createDataFrame(list(enumerate(v.tolist())), f"{name} long, features array<double>")
+        for name, v in (("userId", people), ("movieId", movies))
+    ]
+    return fa.Factors(*frames, rank), people, movies
+
+
+@pytest.mark.parametrize("per_pass", [50_000, 300])
+def test_factor_lists_equal_the_full_product(spark, monkeypatch, per_pass):
+    from tastewell.operators import scoring
+
+    monkeypatch.setattr(fa, "ITEMS_PER_PASS", per_pass)
+    monkeypatch.setattr(scoring, "ITEMS_PER_BLOCK", 64)
+    monkeypatch.setattr(scoring.Candidates.__init__, "__defaults__", (64,))
+    model, people, movies = _planted_factors(spark, 200, 1500, 6)
+    rng = np.random.default_rng(9)
+    seen = {u: set(rng.choice(1500, 1400 if u == 7 else 1500 if u == 8 else rng.integers(0, 40), replace=False).tolist()) for u in range(200)}
+    history = spark.createDataFrame([(u, m, 1.0, 0) for u, ms in seen.items() for m in ms] + [(3, 10**12, 1.0, 0)], RATING)
+    skipped = spark.sparkContext.accumulator(0)
+    scores = np.round(people @ movies.T, 9)
+    for lists, left_out in ((fa.als_top_k(model, 10, skipped=skipped), {}), (fa.als_top_k(model, 10, history=history), seen)):
+        got = {}
+        for r in lists.orderBy("userId", "rank").collect():
+            got.setdefault(r.userId, []).append(r.movieId)
+        for u in range(200):
+            best = sorted(set(range(1500)) - left_out.get(u, set()), key=lambda m: (-scores[u, m], m))[:10]
+            assert got.get(u, []) == best
+    assert skipped.value > 0
+
+
+def test_a_tile_is_small_whatever_the_number_of_movies():
+    import tracemalloc
+
+    from tastewell.operators import scoring
+
+    rng = np.random.default_rng(2)
+    n = 200_000
+    block = pd.DataFrame({"movieId": np.arange(n), "idx": [np.arange(10)] * n, "val": list(rng.random((n, 10))), "norm": 1.0, "base": 0.0})
+    candidates, users = scoring.Candidates(block, 10, 1.0), rng.random((scoring.USERS_PER_TILE, 10))
+    tracemalloc.start()
+    scoring.best_of(users, None, candidates, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+def test_ids_beyond_32_bits_train(spark, planted):
+    shift = 3_000_000_000
+    train, test = split_by_key(planted[0])
+    far = [df.withColumns({"userId": F.col("userId") + shift, "movieId": F.col("movieId") + shift}) for df in (train, test)]
+    model = fa.fit_als(far[0])
+    users = {r.userId for r in model.users.collect()}
+    assert users == {r.userId for r in far[0].select("userId").distinct().collect()}
+    scored = fa.als_predictions(far[1], model)
+    assert scored.filter("pred_als is null").count() < 20
+    assert ev.rating_errors(scored, "pred_als").first().rmse < 1.0
+
+
+def test_dense_ids(spark):
+    ids = spark.createDataFrame([(i * 10**9,) for i in range(100)] + [(0,), (None,)], "userId long").repartition(7)
+    got = {r.userId: r.n for r in fa.dense_ids(ids, "userId", "n").collect()}
+    assert got == {i * 10**9: i for i in range(100)}
 
 
 def test_a_repeated_run_replaces_itself(spark, planted, tmp_path):
