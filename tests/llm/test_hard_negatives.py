@@ -64,7 +64,7 @@ def test_nothing_to_do(spark):
 
 def test_large_numbers_stay_exact(spark):
     big = float(2**21)
-    rows = [(0, [big, 1.0], 0), (1, [big, 0.5], 0), (2, [big * 0.9, 0.5], 1), (3, [1e30, 0.0], 1)]
+    rows = [(0, [big, 1.0], 0), (1, [big, 0.5], 0), (2, [1_900_000.0, 0.5], 1), (3, [1e30, 0.0], 1)]
     found = hn.hard_negatives(spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA), F.col("vec_id") % 50 == 0)
     assert sorted(tuple(r) for r in found.collect()) == _brute(rows[:3])
     assert found.count() == 1
