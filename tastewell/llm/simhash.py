@@ -30,7 +30,8 @@ RADIUS = 3
 SEED = 42
 VARIANTS_PER_PARTITION = 1 << 20
 HASHES_PER_STEP = 1 << 16
-VIEWS, VIEW_BITS = 2, 40  # fingerprints of the distinct words, for candidates
+VIEWS, VIEW_BITS, VIEW_RADIUS = 2, 40, 2  # fingerprints of the distinct words, for candidates
+LEAST_PARITIES = 64
 BROADCAST_KEYS = 500_000  # pairs of id and text hash: some 20 MB
 PREFIXES_PER_PARTITION = 1 << 20
 SAMPLED_TEXTS = 20_000  # that tell which shingles are common; this sets their order only
@@ -82,9 +83,9 @@ def _masks(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[np.uint64(0)], bit]), np.array(pairs, np.uint64)
 
 
-def _variants(bits: int):
+def _variants(bits: int, radius: int = RADIUS):
     single, double = _masks(bits)
-    both = np.concatenate([single, double])
+    both = np.concatenate([single, double]) if radius > 2 else single
 
     def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(variant, flip): the number of the flip that made the variant; a fingerprint is its variant flipped again."""
@@ -135,20 +136,22 @@ def _meet(bits: int):
     return meet
 
 
-def links(marks: DataFrame, bits: int = BITS) -> DataFrame:
-    """Verified edges (a, b) between distinct fingerprints that connect all pairs within the radius.
+def links(marks: DataFrame, bits: int = BITS, radius: int = RADIUS) -> DataFrame:
+    """Verified edges (a, b) between distinct fingerprints that connect all pairs within the radius, two or three.
 
     Bits above ``bits`` never differ inside a pair: they keep fingerprints of several kinds apart.
     """
+    if radius not in (2, 3):
+        raise ValueError(f"radius {radius}")
     spark = marks.sparkSession
     distinct = written(marks.select("mark").distinct(), "marks")
-    emitted = distinct.count() * (1 + bits + bits // 2 * (bits // 2 - 1) // 2)
+    emitted = distinct.count() * (1 + bits + (bits // 2 * (bits // 2 - 1) // 2 if radius > 2 else 0))
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), emitted // VARIANTS_PER_PARTITION + 1)
     # Few small rows become hundreds of times as many: deal them to all cores first.
     spread = distinct.repartition(partitions, F.xxhash64("mark"))
-    variants = spread.mapInArrow(_variants(bits), "variant bigint, flip smallint")
+    variants = spread.mapInArrow(_variants(bits, radius), "variant bigint, flip smallint")
     met = variants.repartition(partitions, "variant").mapInArrow(_meet(bits), "a bigint, b bigint")
-    return met.distinct().filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
+    return met.distinct().filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
 def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3) -> DataFrame:
@@ -202,9 +205,37 @@ def _common_shingles(docs: DataFrame, text_column: str, shingle: int) -> np.ndar
     return top["token"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
 
 
+def _parities(tokens: np.ndarray) -> bytes:
+    """Parity of the number of tokens in each of about as many cells; the cells of a smaller table are sums of these."""
+    cells = max(LEAST_PARITIES, 1 << max(0, len(tokens) - 1).bit_length())
+    counts = np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _likely(similarity: float):
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs that may be alike: a shingle of one text alone changes one parity, so these differ in no more cells than
+        the texts in shingles."""
+        for batch in batches:
+            kept = []
+            sizes = [batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3)]
+            most = (1 - similarity) / (1 + similarity) * (sizes[0] + sizes[1]) + SLACK
+            for i in range(batch.num_rows):
+                one, two = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint8) for c in (4, 5))
+                while len(one) != len(two):
+                    one, two = (two, one) if len(one) < len(two) else (one, two)
+                    one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+                if int(np.bitwise_count(one ^ two).sum()) <= most[i]:
+                    kept.append(i)
+            if kept:
+                yield batch.select([0, 1]).take(pa.array(kept))
+
+    return likely
+
+
 def _sketches(shingle: int, similarity: float, common: np.ndarray):
     """Adds the key of the word sequence, the views (majority bits of the hashes of the distinct words), the
-    number of distinct shingles and the prefix.
+    number of distinct shingles, the prefix and the parities of the shingles.
 
     All texts order their shingles alike: by hash, the common ones last. Two sets alike in ``similarity`` share that
     part of the larger, so if the first of one are as many as it may lack and one more, these and those of the other meet.
@@ -214,7 +245,7 @@ def _sketches(shingle: int, similarity: float, common: np.ndarray):
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, views, sizes, prefixes = [], [], [], []
+            keys, views, sizes, prefixes, parities = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 words = (text or "").encode().lower().split()
                 keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
@@ -222,6 +253,7 @@ def _sketches(shingle: int, similarity: float, common: np.ndarray):
                 bits = 2 * np.unpackbits(hashed, axis=1).sum(0, dtype=np.int64) > len(hashed)
                 views.append([int.from_bytes(np.packbits(bits[v * VIEW_BITS : (v + 1) * VIEW_BITS])) | v << VIEW_BITS for v in range(VIEWS)])
                 tokens = _shingled(words, shingle)
+                parities.append(_parities(tokens))
                 if len(known):
                     place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                     last = known[place] == tokens
@@ -231,9 +263,9 @@ def _sketches(shingle: int, similarity: float, common: np.ndarray):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(views, pa.list_(pa.int64())),
-                    pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(parities, pa.binary()),
                 ],
-                names=["id", "text_hash", "key", "views", "size", "prefix"],
+                names=["id", "text_hash", "key", "views", "size", "prefix", "parities"],
             )
 
     return sketches
@@ -340,23 +372,23 @@ def deduplicated(
     Texts are linked whose sets of word shingles have a Jaccard similarity of ``similarity`` or more, all of them.
     Candidates come from ball hashing over two short fingerprints of the distinct words, which join the large
     groups in few rows, and from a prefix-filtered join of the shingles, which is complete: first stars over
-    the shingles of the prefixes, then every pair of a prefix shingle that is not in one group by then. Each
-    candidate is verified on the shingles themselves. The row with the smallest id stays, null last; of rows
+    the shingles of the prefixes, then every pair of a prefix shingle that is not in one group by then. What
+    the parities of the shingles do not rule out is verified on the shingles themselves. The row with the smallest id stays, null last; of rows
     alike in id and text one. Null, empty and blank texts are equal to each other.
     """
     own = docs.select(F.struct(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("text_hash")).alias("__key"), F.struct("*").alias("__doc"))
     keyed = own.select("__key.id", "__key.text_hash", F.col(f"__doc.{text_column}").alias("text")).mapInArrow(
         _sketches(shingle, similarity, _common_shingles(docs, text_column, shingle)),
-        "id bigint, text_hash bigint, key binary, views array<bigint>, size int, prefix array<bigint>",
+        "id bigint, text_hash bigint, key binary, views array<bigint>, size int, prefix array<bigint>, parities binary",
     )
     keyed = written(keyed, "sketches")
     named = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash")
-    classes = keyed.groupBy("key").agg(F.min(named).alias("name"), F.first(F.struct("views", "size", "prefix")).alias("sketch")).select("key", "name", "sketch.*")
+    classes = keyed.groupBy("key").agg(F.min(named).alias("name"), F.first(F.struct("views", "size", "prefix", "parities")).alias("sketch")).select("key", "name", "sketch.*")
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "text-classes")
     # The smallest class of each fingerprint stands for it; the others with that fingerprint are linked to it.
     held = written(classes.select("node", F.explode("views").alias("mark")), "class-marks")
     first = written(held.groupBy("mark").agg(F.min("node").alias("first")), "first-classes")
-    found = links(first, VIEW_BITS)
+    found = links(first, VIEW_BITS, VIEW_RADIUS)
     names = first.select(F.col("mark").alias("__mark"), "first")
     edges = found.join(names, F.col("a") == F.col("__mark")).select(F.col("first").alias("a"), "b")
     edges = edges.join(names, F.col("b") == F.col("__mark")).select("a", F.col("first").alias("b"))
@@ -371,7 +403,11 @@ def deduplicated(
     stars = shared.repartition(partitions, "token").mapInArrow(_stars(similarity), "a bigint, b bigint")
 
     def verified(edges: DataFrame) -> DataFrame:
-        edges = written(edges.distinct(), "candidates")
+        # Most candidates of a shared shingle are ruled out by their parities, before any text is read again.
+        marks = [classes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "parities")]) for side in "ab"]
+        pairs = edges.distinct().join(marks[0], F.col("a") == F.col("node_a")).join(marks[1], F.col("b") == F.col("node_b"))
+        pairs = pairs.select("a", "b", "size_a", "size_b", "parities_a", "parities_b").mapInArrow(_likely(similarity), "a bigint, b bigint")
+        edges = written(pairs, "candidates")
         wanted = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = written(wanted.join(classes, "node").select("node", F.col("name.id").alias("__id"), F.col("name.text_hash").alias("__text_hash")), "wanted")
         texts = _near(own, wanted, "inner", most).select("node", F.col(f"__doc.{text_column}").alias("text"))
