@@ -31,7 +31,8 @@ SEED = 42
 VARIANTS_PER_PARTITION = 1 << 20
 HASHES_PER_STEP = 1 << 16
 VIEWS, VIEW_BITS, VIEW_RADIUS = 2, 40, 2  # fingerprints of the distinct words, for candidates
-LEAST_PARITIES = 64
+LEAST_PARITIES = 256
+FOLDS = [f"fold_{i}" for i in range(LEAST_PARITIES // 64)]
 BROADCAST_KEYS = 500_000  # pairs of id and text hash: some 20 MB
 PREFIXES_PER_PARTITION = 1 << 20
 SAMPLED_TEXTS = 20_000  # that tell which shingles are common; this sets their order only
@@ -212,14 +213,23 @@ def _parities(tokens: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def _most_apart(one: np.ndarray, two: np.ndarray, similarity: float) -> np.ndarray:
+    """Most shingles that only one of two texts alike can have."""
+    return (1 - similarity) / (1 + similarity) * (one + two) + SLACK
+
+
+def _folded(parities: bytes) -> list[int]:
+    """The parities of the smallest table, as longs."""
+    return np.bitwise_xor.reduce(np.frombuffer(parities, np.int64).reshape(-1, len(FOLDS)), axis=0).tolist()
+
+
 def _likely(similarity: float):
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs that may be alike: a shingle of one text alone changes one parity, so these differ in no more cells than
         the texts in shingles."""
         for batch in batches:
             kept = []
-            sizes = [batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3)]
-            most = (1 - similarity) / (1 + similarity) * (sizes[0] + sizes[1]) + SLACK
+            most = _most_apart(*(batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3)), similarity)
             for i in range(batch.num_rows):
                 one, two = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint8) for c in (4, 5))
                 while len(one) != len(two):
@@ -245,7 +255,7 @@ def _sketches(shingle: int, similarity: float, common: np.ndarray):
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, views, sizes, prefixes, parities = [], [], [], [], []
+            keys, views, sizes, prefixes, parities, folds = [], [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 words = (text or "").encode().lower().split()
                 keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
@@ -254,6 +264,7 @@ def _sketches(shingle: int, similarity: float, common: np.ndarray):
                 views.append([int.from_bytes(np.packbits(bits[v * VIEW_BITS : (v + 1) * VIEW_BITS])) | v << VIEW_BITS for v in range(VIEWS)])
                 tokens = _shingled(words, shingle)
                 parities.append(_parities(tokens))
+                folds.append(_folded(parities[-1]))
                 if len(known):
                     place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                     last = known[place] == tokens
@@ -264,8 +275,9 @@ def _sketches(shingle: int, similarity: float, common: np.ndarray):
                 [
                     batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(views, pa.list_(pa.int64())),
                     pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(parities, pa.binary()),
+                    *(pa.array([f[i] for f in folds], pa.int64()) for i in range(len(FOLDS))),
                 ],
-                names=["id", "text_hash", "key", "views", "size", "prefix", "parities"],
+                names=["id", "text_hash", "key", "views", "size", "prefix", "parities", *FOLDS],
             )
 
     return sketches
@@ -323,10 +335,11 @@ def _stars(similarity: float):
 
 def _pairs(similarity: float):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All pairs of a token that may be alike and are not in one group yet."""
-        token, node, size, rest, group = _rows_by_token(batches, 5)
+        """All pairs of a token that may be alike by sizes and parities and are not in one group yet."""
+        token, node, size, rest, group, *folds = _rows_by_token(batches, 5 + len(FOLDS))
         order = np.lexsort((size, token))
-        token, node, size, rest, group = (x[order] for x in (token, node, size, rest, group))
+        token, node, size, rest, group, *folds = (x[order] for x in (token, node, size, rest, group, *folds))
+        marks = np.stack(folds, 1).view(np.uint64)
         left, step, held, many = np.arange(len(token)), 0, [], 0
         while len(left):
             step += 1
@@ -335,10 +348,12 @@ def _pairs(similarity: float):
             # Sizes ascend within a token: from the first that is too large on, no other fits.
             fits = (token[left] == token[right]) & (similarity * size[right] <= size[left] + SLACK)
             left, right = left[fits], right[fits]
-            found = (group[left] != group[right]) & _may_be_alike(size, rest, left, right, similarity)
-            if found.any():
+            found = np.flatnonzero((group[left] != group[right]) & _may_be_alike(size, rest, left, right, similarity))
+            apart = np.bitwise_count(marks[left[found]] ^ marks[right[found]]).sum(1, dtype=np.int64)
+            found = found[apart <= _most_apart(size[left[found]], size[right[found]], similarity)]
+            if len(found):
                 held.append((node[left[found]], node[right[found]]))
-                many += int(found.sum())
+                many += len(found)
             if held and (many >= PREFIXES_PER_PARTITION or not len(left)):
                 yield _edges(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
                 held, many = [], 0
@@ -379,11 +394,11 @@ def deduplicated(
     own = docs.select(F.struct(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("text_hash")).alias("__key"), F.struct("*").alias("__doc"))
     keyed = own.select("__key.id", "__key.text_hash", F.col(f"__doc.{text_column}").alias("text")).mapInArrow(
         _sketches(shingle, similarity, _common_shingles(docs, text_column, shingle)),
-        "id bigint, text_hash bigint, key binary, views array<bigint>, size int, prefix array<bigint>, parities binary",
+        "id bigint, text_hash bigint, key binary, views array<bigint>, size int, prefix array<bigint>, parities binary, " + ", ".join(f"{f} bigint" for f in FOLDS),
     )
     keyed = written(keyed, "sketches")
     named = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash")
-    classes = keyed.groupBy("key").agg(F.min(named).alias("name"), F.first(F.struct("views", "size", "prefix", "parities")).alias("sketch")).select("key", "name", "sketch.*")
+    classes = keyed.groupBy("key").agg(F.min(named).alias("name"), F.first(F.struct("views", "size", "prefix", "parities", *FOLDS)).alias("sketch")).select("key", "name", "sketch.*")
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "text-classes")
     # The smallest class of each fingerprint stands for it; the others with that fingerprint are linked to it.
     held = written(classes.select("node", F.explode("views").alias("mark")), "class-marks")
@@ -418,7 +433,8 @@ def deduplicated(
         return both.filter(common >= F.lit(similarity) * (F.size("left") + F.size("right") - common)).select("a", "b")
 
     groups = written(components(verified(ball.union(stars))), "first-groups")
-    named = shared.join(groups, "node", "left").select("token", "node", "size", "rest", F.coalesce("component", "node").alias("component"))
+    named = shared.join(groups, "node", "left").join(classes.select("node", *FOLDS), "node")
+    named = named.select("token", "node", "size", "rest", F.coalesce("component", "node").alias("component"), *FOLDS)
     others = named.repartition(partitions, "token").mapInArrow(_pairs(similarity), "a bigint, b bigint")
     near = verified(others).union(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
     grouped = components(near).select(F.col("node").alias("member"), "component")

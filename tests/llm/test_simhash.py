@@ -129,3 +129,22 @@ def test_deduplicated_compares_members_of_foreign_hubs(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted(r["doc_id"] for r in simhash.deduplicated(docs).collect())
     assert kept == [*range(40), *range(100, 160)]
+
+
+def test_parities_never_rule_out_texts_alike():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        common = rng.integers(0, 2**63, int(rng.integers(1, 900)), dtype=np.uint64)
+        one, two = (np.unique(np.concatenate([common, rng.integers(0, 2**63, int(rng.integers(0, len(common) // 4 + 1)), dtype=np.uint64)])) for _ in range(2))
+        apart = len(np.setxor1d(one, two))
+        folds = np.array([simhash._folded(simhash._parities(x)) for x in (one, two)])
+        assert np.bitwise_count((folds[0] ^ folds[1]).view(np.uint64)).sum() <= apart
+        alike = len(np.intersect1d(one, two)) >= 0.8 * len(np.union1d(one, two)) - 1e-9
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([1]), pa.array([2]), pa.array([len(one)]), pa.array([len(two)]), *(pa.array([simhash._parities(x)], pa.binary()) for x in (one, two))],
+            names=["a", "b", "size_a", "size_b", "parities_a", "parities_b"],
+        )
+        kept = list(simhash._likely(0.8)(iter([batch])))
+        assert kept or not alike
