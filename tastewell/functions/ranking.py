@@ -52,8 +52,8 @@ def numbered(
     """Number every row of every group in order, without sorting a whole group in one task.
 
     ``buckets`` is a leading part of the order, as (expression, descending) pairs. Rows are
-    counted per bucket, the counts are summed up along the buckets, and only the rows inside
-    one bucket are sorted by ``order``. Null keys and bucket values are values like any other.
+    counted per bucket, the counts are summed up along the buckets in two levels, so that no window holds all
+    buckets of a key, and only the rows inside one bucket are sorted by ``order``. Null keys and bucket values are values like any other.
     """
     labels = [f"_bucket_{i}" for i in range(len(buckets))]
     cut = df.withColumns({label: expr for label, (expr, _) in zip(labels, buckets)})
@@ -61,13 +61,18 @@ def numbered(
         F.desc(label) if descending else F.asc(label)
         for label, (_, descending) in zip(labels, buckets)
     ]
-    before = Window.partitionBy(*keys).orderBy(*along).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*keys, *labels)
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
+    counts = cut.groupBy(*keys, *labels).agg(F.count("*").alias("_rows"))
+    ahead = (Window.unboundedPreceding, -1)
+    # Two levels: the buckets of one first value among themselves, and the first values of a key.
+    among = Window.partitionBy(*keys, labels[0]).orderBy(*along).rowsBetween(*ahead)
+    along_key = Window.partitionBy(*keys).orderBy(along[0]).rowsBetween(*ahead)
+    totals = counts.groupBy(*keys, labels[0]).agg(F.sum("_rows").alias("_all")).withColumn("_before", F.sum("_all").over(along_key))
+    totals = totals.select("_before", *[F.col(c).alias(f"_first_{c}") for c in (*keys, labels[0])])
+    within = counts.withColumn("_within", F.sum("_rows").over(among)).join(
+        totals, [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in (*keys, labels[0])]
     )
+    offset = F.coalesce("_before", F.lit(0)) + F.coalesce("_within", F.lit(0))
+    offsets = within.select(*keys, *labels, offset.alias("_offset"))
     inside = Window.partitionBy(*keys, *labels).orderBy(*order)
     named = offsets.select("_offset", *[F.col(c).alias(f"_of_{c}") for c in (*keys, *labels)])
     same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*keys, *labels)]

@@ -201,13 +201,13 @@ def search_listing(listing: DataFrame, query: str, literal: bool = False) -> Dat
     if literal:
         text = query.lower()
         return listing.filter(F.lower(user).contains(text) | F.lower(details).contains(text))
-    if not _valid_pattern(listing, query):
+    if not valid_pattern(listing, query):
         return listing
     pattern = f"(?i){query}"
     return listing.filter(user.rlike(pattern) | details.rlike(pattern))
 
 
-def _valid_pattern(df: DataFrame, query: str) -> bool:
+def valid_pattern(df: DataFrame, query: str) -> bool:
     """Whether the engine that will run the expression accepts it."""
     jvm = df.sparkSession.sparkContext._jvm
     try:

@@ -436,6 +436,11 @@ long_predictions AS (
             "OR regexp_matches(details, 'RED (bolt|ring)', 'i')",
             LISTS,
         ),
+        "recs_search_indexed": _sql(
+            "SELECT * FROM listing WHERE regexp_matches(CAST(userId AS VARCHAR), 'RED (bolt|ring)', 'i') "
+            "OR regexp_matches(details, 'RED (bolt|ring)', 'i')",
+            LISTS,
+        ),
         "model_metrics": _sql(
             "SELECT run_id, model, round(r.rmse, 6) AS rmse, round(r.mae, 6) AS mae, "
             "r.model = b.winner_model AS is_winner FROM runs r JOIN best b USING (run_id)",

@@ -24,6 +24,7 @@ from tastewell.operators import maintained as mt
 from tastewell.operators import reports as rp
 from tastewell.operators import statistics as st
 from tastewell.operators.ratings import latest_ratings, split_by_key
+from tastewell.operators.search_index import search_stored, store_listing
 from tastewell.plans.statistics_job import merge_ratings, write_statistics
 from tastewell.plans.training import TrainingConfig, run_training
 from tastewell.session import scratch_path, written
@@ -39,6 +40,7 @@ MIN_VOTES = 30
 LIST_MIN_VOTES = 25
 DECIMALS = 6
 SMALL_UNIT = 20_000  # rows: several units at every size
+SMALL_PAGE = 500
 
 
 def _rounded(df: DataFrame, *names: str, places: int = DECIMALS) -> DataFrame:
@@ -648,6 +650,13 @@ def recs_search(spark, sf):
     return rp.search_listing(listing, "RED (bolt|ring)")
 
 
+def recs_search_indexed(spark, sf):
+    """The same search over a stored listing, through its index."""
+    root = scratch_path(spark, "listing")
+    store_listing(written(rp.recommendation_listing(surrogate_lists(spark, sf), enriched(spark, sf)), "listing"), root, SMALL_PAGE)
+    return search_stored(spark, root, "RED (bolt|ring)")
+
+
 def model_metrics(spark, sf):
     return _rounded(
         ev.with_winner_flag(run_metrics(spark, sf)).select("run_id", "model", "rmse", "mae", "is_winner"),
@@ -906,6 +915,7 @@ REGISTERED: list[Query] = [
     als_eval,
     hybrid_topk,
     training_run,
+    recs_search_indexed,
     wide_ids,
     loaded_twice,
     statistics_after_deltas,
