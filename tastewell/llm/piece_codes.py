@@ -15,6 +15,7 @@ import re
 import sys
 import types
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SPACE = "▁"  # the vocabulary's sign for a space
 CHARS_PER_STEP = 1 << 20
 LONGEST_KNOWN_UNIT = 64
-KNOWN_UNITS = 500_000
+KNOWN_UNITS = 1_000_000
 KNOWN_PAIRS = 1 << 20
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 MEMORY = "tastewell_piece_codes"
@@ -43,7 +44,7 @@ class Pieces:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         model = self.model
-        size = model.get_piece_size()
+        size = self.many = model.get_piece_size()
         self.byte_ids = {bytes.fromhex(model.id_to_piece(i)[3:5])[0]: i for i in range(size) if model.is_byte(i)}
         ordinary = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.pieces = {i: model.id_to_piece(i) for i in ordinary}
@@ -66,7 +67,6 @@ class Pieces:
         # The longest piece that is a proper prefix of each piece.
         self.shorter = {i: self._longest_prefix(self.pieces[i]) for i in self.reached}
         self.signs = {p for p in self.ids if len(p) == 1}
-        self.neighbours = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.pairs: dict[int, bool] = {}
         self.unit = self._unit_pattern()
         self._forget()
@@ -87,16 +87,19 @@ class Pieces:
         return None
 
     def _unit_pattern(self) -> re.Pattern | None:
-        """What pieces never reach across: the place before a space that follows something else, and signs without a piece."""
+        """What pieces never reach across: the place before a space that follows something else, the one between a word and
+        a mark that no piece joins to the words before it, and signs without a piece."""
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             return None
         alone = re.escape("".join(c for c in map(chr, range(128)) if c not in self.signs))
-        apart = f"[{alone}]|" if alone else ""
-        return re.compile(f"{apart}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
+        marks = re.escape(MARKS)
+        joined = {p[k] for p in self.ids for k in range(1, len(p)) if p[k] in MARKS and p[k - 1] not in MARKS + SPACE}
+        word = f"[^{SPACE}{marks}{alone}]*"
+        on = f"(?:[{re.escape(''.join(sorted(joined)))}][{marks}]*{word})*" if joined else ""
+        return re.compile((f"[{alone}]|" if alone else "") + f"{SPACE}*[{marks}]*{word}{on}")
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
-        self.stems: dict[str, list[int]] = {}
         self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def merged(self, text: str) -> list[str]:
@@ -131,7 +134,7 @@ class Pieces:
         It does unless a part at the end of the left one and a part at the front of the right one, both there at
         the same time, merge before either is consumed. Of equal scores the one further left comes first.
         """
-        key = left << 32 | right
+        key = left * self.many + right
         known = self.pairs.get(key)
         if known is None:
             if self.ordered and SPACE * 2 not in self.pieces[left] + self.pieces[right]:
@@ -157,7 +160,7 @@ class Pieces:
         longest: list[int] = [0] * size
         for end, (i, length) in self.automaton.iter(text):
             longest[end - length + 1] = i  # a later end is a longer piece
-        reached, shorter, pairs = self.reached, self.shorter, self.pairs
+        reached, shorter, pairs, many = self.reached, self.shorter, self.pairs, self.many
         failed = bytearray(size // 8 + 1)
         out: list[int] = []
         place, piece, last = 0, longest[0], None
@@ -167,7 +170,7 @@ class Pieces:
                 if not failed[end >> 3] >> (end & 7) & 1:
                     if last is None:
                         break
-                    fits = pairs.get(last << 32 | piece)
+                    fits = pairs.get(last * many + piece)
                     if fits or fits is None and self.compatible(last, piece):
                         break
                 piece = shorter[piece]
@@ -186,17 +189,8 @@ class Pieces:
 
     def encode_unit(self, text: str) -> list[int]:
         """Ids of a stretch of normalised text; signs outside the vocabulary become their bytes."""
-        stem = text.rstrip(MARKS)
-        if stem and len(stem) < len(text) and stem[-1] + text[len(stem)] not in self.neighbours:
-            # No piece reaches across: the signs at the end are encoded apart, and stems are found again.
-            found = self.stems.get(stem)
-            if found is None:
-                found = self.encode_unit(stem)
-                if len(stem) <= LONGEST_KNOWN_UNIT:
-                    self.stems[stem] = found
-            return found + self.encode_unit(text[len(stem) :])
         if self.signs.issuperset(text):
-            return self.stems.get(text) or self._known_signs(text)
+            return self._known_signs(text)
         out: list[int] = []
         start = 0
         for place, sign in enumerate(text):
@@ -219,13 +213,13 @@ class Pieces:
             border = re.compile(f"(?<!{SPACE}){SPACE}").search(text, start + CHARS_PER_STEP)
             if border is None:
                 break
-            yield self.unit.findall(text, start, border.start())
+            yield [u for u in self.unit.findall(text, start, border.start()) if u]
             start = border.start()
-        yield self.unit.findall(text, start)
+        yield [u for u in self.unit.findall(text, start) if u]
 
     def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after the other, and the number of each."""
-        new = [u for u in set(units) if u not in self.slots and len(u) <= LONGEST_KNOWN_UNIT]
+        new = [u for u in set(units).difference(self.slots) if len(u) <= LONGEST_KNOWN_UNIT]
         if len(self.slots) + len(new) > KNOWN_UNITS:
             self._forget()
             new = [u for u in set(units) if len(u) <= LONGEST_KNOWN_UNIT]
@@ -235,8 +229,8 @@ class Pieces:
             self.slots.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.sizes = np.concatenate([self.sizes, lengths])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for f in found for i in f), np.int32, int(lengths.sum()))])
-        slots = np.fromiter((self.slots.get(u, -1) for u in units), np.int64, len(units))
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))])
+        slots = np.fromiter(map(self.slots.get, units, repeat(-1)), np.int64, len(units))
         known = slots >= 0
         sizes = np.zeros(len(units), np.int64)
         sizes[known] = self.sizes[slots[known]]
