@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -309,7 +310,7 @@ def encoded_texts(docs: DataFrame, model_path: str, text_column: str = "text", o
     rest = docs.withColumn(text_column, value)
     row = [F.col(f"`{c}`") for c in docs.columns if c not in (text_column, out)]
     sent = rest.select(F.struct(*(row or [F.lit(None).cast("int").alias("__none")])).alias("__row"), F.col(f"`{text_column}`").alias("__text"))
-    made = sent.mapInArrow(_encoded(model_path), f"__row {sent.schema['__row'].dataType.simpleString()}, __ids array<int>")
+    made = sent.mapInArrow(_encoded(model_path), T.StructType([sent.schema["__row"], T.StructField("__ids", T.ArrayType(T.IntegerType()))]))
     return made.select(*([F.col("__row.*")] if row else []), F.col("__ids").alias(out))
 
 
@@ -317,5 +318,5 @@ def decoded_ids(df: DataFrame, model_path: str, ids_column: str = "ids", out: st
     """The frame with ``out``, the text that the model gives for the ids; null ids decode to the empty text."""
     row = [F.col(f"`{c}`") for c in df.columns if c != out]
     sent = df.select(F.struct(*row).alias("__row"), F.col(f"`{ids_column}`").cast("array<int>").alias("__ids"))
-    made = sent.mapInArrow(_decoded(model_path), f"__row {sent.schema['__row'].dataType.simpleString()}, __text string")
+    made = sent.mapInArrow(_decoded(model_path), T.StructType([sent.schema["__row"], T.StructField("__text", T.StringType())]))
     return made.select("__row.*", F.col("__text").alias(out))
