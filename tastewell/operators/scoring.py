@@ -140,11 +140,13 @@ def score_pass(
 
     The result is written, so that the block can be dropped from the executors at once.
     """
-    shipped = users.sparkSession.sparkContext.broadcast(Candidates(block, dimensions, weight))
+    # Plain arrays: a broadcast object would be unpacked by its class's name, which executors do not know.
+    shipped = users.sparkSession.sparkContext.broadcast(vars(Candidates(block, dimensions, weight)))
     per_tile = max(1, min(USERS_PER_TILE, VALUES_PER_TILE // max(1, dimensions)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        candidates = shipped.value
+        candidates = Candidates.__new__(Candidates)
+        vars(candidates).update(shipped.value)
         for batch in batches:
             for start in range(0, len(batch), per_tile):
                 part = batch.iloc[start : start + per_tile]
