@@ -417,3 +417,24 @@ def test_a_repeated_run_replaces_itself(spark, planted, tmp_path):
     assert [sorted(map(str, read_table(spark, root, t).collect())) for t in ("model_metrics", "recommendations")] == tables
     run_training(spark, root, "two", TrainingConfig(models=["cbf"], min_average=0.0, min_votes=1, split="random", train_fraction=0.7))
     assert read_table(spark, root, "model_metrics").count() == 2
+
+
+def test_candidates_of_few_dimensions_go_in_one_pass(spark, monkeypatch):
+    from tastewell.operators import scoring
+
+    sizes = []
+    one_pass = scoring.score_pass
+    monkeypatch.setattr(scoring, "score_pass", lambda users, block, *rest: sizes.append(len(block)) or one_pass(users, block, *rest))
+    rng = np.random.default_rng(11)
+    vectors, averages = rng.integers(0, 3, (300, 2)) + 1.0, rng.random(300) * 5
+    data = [(m, [7, 400], vectors[m].tolist(), float(np.linalg.norm(vectors[m])), float(averages[m])) for m in range(300)]
+    items = spark.createDataFrame(data, "movieId long, idx array<int>, val array<double>, norm double, avg_rating double")
+    people = spark.createDataFrame([(u, [7, 9, 400], [u + 1.0, 5.0, 2.0], 9.0) for u in range(6)], "userId long, idx array<int>, val array<double>, norm double")
+    history = spark.createDataFrame([(2, m, 1.0, 0) for m in range(0, 300, 2)], RATING)
+    got = {(r.userId, r.rank): r.movieId for r in cb.content_top_k(people, items, 4, per_pass=20, history=history).collect()}
+    assert sizes == [300]  # two of 512 dimensions are used
+    for u in range(6):
+        cosines = vectors @ [u + 1.0, 2.0] / 9.0 / np.linalg.norm(vectors, axis=1)
+        scores = np.round(0.6 * cosines + averages / 5 * 0.4, 9)
+        best = sorted((m for m in range(300) if u != 2 or m % 2), key=lambda m: (-scores[m], m))[:4]
+        assert [got[u, i] for i in (1, 2, 3, 4)] == best
