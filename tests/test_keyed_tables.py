@@ -127,3 +127,11 @@ def test_files_are_merged_into_a_store(spark, rows, tmp_path, first):
     assert read_table(spark, root, "tags").count() == 2
     assert rows(read_table(spark, root, "system_stats")) == [(4, 3, 4)]
     assert {r.genre: r["count"] for r in read_table(spark, root, "genre_stats").collect()} == {"Drama": 1, "War": 1, "Comedy": 1}
+
+
+def test_small_units_need_few_tasks(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("id div 50 AS userId", "id % 50 AS movieId", "1.0D AS rating", "id AS ts")
+    found = kt._written_units(rows, f"{tmp_path}/t", ["userId", "movieId"], 5000, 100, [])
+    assert [(low, n) for _, low, n, _ in found] == [([u, 0], 100) for u in range(0, 100, 2)]
+    # All fifty were written by one task.
+    assert {int(path.rpartition("=")[2]) >> 33 for *_, path in found} == {0}
