@@ -438,3 +438,8 @@ def test_candidates_of_few_dimensions_go_in_one_pass(spark, monkeypatch):
         scores = np.round(0.6 * cosines + averages / 5 * 0.4, 9)
         best = sorted((m for m in range(300) if u != 2 or m % 2), key=lambda m: (-scores[m], m))[:4]
         assert [got[u, i] for i in (1, 2, 3, 4)] == best
+
+
+def test_blocks_do_not_multiply_the_copies_of_factors():
+    # A row's factors are sent to every block it has ratings in, in every round.
+    assert [fa.block_count(n) for n in (0, 1000, 29_000_000, 170_000_000, 640_000_000)] == [8, 8, 8, 8, 20]
