@@ -30,8 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SPACE = "▁"  # the vocabulary's sign for a space
 CHARS_PER_STEP = 1 << 20
 LONGEST_KNOWN_UNIT = 64
-KNOWN_UNITS = 1_000_000
-KNOWN_PAIRS = 1 << 20
+KNOWN_UNITS = 400_000
+KNOWN_PAIRS = 1 << 18
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 MEMORY = "tastewell_piece_codes"
 
@@ -80,6 +80,19 @@ class Pieces:
             held[path] = cls(path)
         return held[path]
 
+    @staticmethod
+    def model_of_process(path: str):
+        """The library's model alone: decoding needs no vocabulary tables and no units."""
+        import sentencepiece
+
+        held = sys.modules.setdefault(MEMORY, types.ModuleType(MEMORY)).__dict__
+        if path in held:
+            return held[path].model
+        name = f"model {path}"
+        if name not in held:
+            held[name] = sentencepiece.SentencePieceProcessor(model_file=path)
+        return held[name]
+
     def _longest_prefix(self, piece: str) -> int | None:
         for end in range(len(piece) - 1, 0, -1):
             i = self.ids.get(piece[:end])
@@ -280,6 +293,7 @@ def _encoded(path: str):
                 ids, sizes = pieces.encode(part.column(part.num_columns - 1).to_pylist())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["__row", "__ids"])
 
     return encoded
@@ -287,7 +301,7 @@ def _encoded(path: str):
 
 def _decoded(path: str):
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Pieces.of_process(path).model
+        model = Pieces.model_of_process(path)
         for batch in batches:
             lists = batch.column(1)
             for start in range(batch.num_rows):

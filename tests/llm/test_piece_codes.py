@@ -81,3 +81,16 @@ def test_frames(spark, model):
     assert piece_codes.encoded_texts(docs.select("text"), PATH).columns == ["ids"]
     nothing = spark.createDataFrame([(None,)], "ids array<int>")
     assert piece_codes.decoded_ids(nothing, PATH).first()["decoded"] == ""
+
+
+def test_decoding_needs_the_model_only(monkeypatch):
+    import sys
+    import types
+
+    import pyarrow as pa
+
+    monkeypatch.setitem(sys.modules, piece_codes.MEMORY, types.ModuleType(piece_codes.MEMORY))
+    monkeypatch.setattr(piece_codes.Pieces, "__init__", lambda *_: pytest.fail("tables of the vocabulary are built"))
+    ids = piece_codes.Pieces.model_of_process(PATH).encode("two words")
+    batch = pa.RecordBatch.from_arrays([pa.array([{"a": 1}]), pa.array([ids], pa.list_(pa.int32()))], names=["__row", "__ids"])
+    assert [b.column(1).to_pylist() for b in piece_codes._decoded(PATH)(iter([batch]))] == [["two words"]]
