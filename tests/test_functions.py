@@ -10,7 +10,7 @@ import pandas as pd
 from tastewell.functions.codec import decode_list, encode_list
 from tastewell.functions.display import epoch_date, fixed, rounded, signed, thousands
 from tastewell.functions.ranking import numbered, top_per_key
-from tastewell.operators.scoring import Candidates, best_of
+from tastewell.operators.scoring import Candidates, _ordered, best_of
 
 
 def test_rounding_matches_format_strings(spark):
@@ -111,6 +111,33 @@ def test_bounds_leave_blocks_out():
         assert list(ids[rows == u]) == sorted(range(5000), key=lambda i: (-scores[u, i], i))[:10]
 
 
+def test_blocks_use_few_columns_of_sparse_vectors():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 16, 4000)
+    block = pd.DataFrame({"movieId": np.arange(4000), "idx": [[w, 16] for w in words], "val": list(rng.random((4000, 2)) + 0.1), "norm": 1.0, "base": rng.random(4000)})
+    candidates = Candidates(block, 17, 1.0)
+    used = [(candidates.items[s:e] != 0).any(0).sum() for s, e in zip(candidates.starts, candidates.ends)]
+    assert np.mean(used[1:]) < 6
+    users = rng.random((300, 17))
+    (rows, ids, _, _), _ = best_of(users, None, candidates, 10)
+    dense = np.zeros((4000, 17))
+    np.put_along_axis(dense, np.array(block["idx"].tolist()), np.array(block["val"].tolist()), 1)
+    scores = np.round(users @ dense.T + block["base"].to_numpy(), 9)
+    for u in range(300):
+        assert list(ids[rows == u]) == sorted(range(4000), key=lambda i: (-scores[u, i], i))[:10]
+
+
+@settings(max_examples=60, deadline=None)
+@given(some.integers(0, 2**31), some.sampled_from([1, 40, 2**62]), some.sampled_from([1.0, 1e6]))
+def test_order_of_pairs(seed, farthest, largest):
+    rng = np.random.default_rng(seed)
+    rows, ids = rng.integers(0, 5, 60), rng.integers(-farthest, farthest, 60)
+    scores = np.round(rng.choice(rng.normal(size=8) * largest, 60), 9)
+    got = _ordered(rows, ids, scores)
+    expected = np.lexsort((ids, -scores, rows))
+    assert all((x[got] == x[expected]).all() for x in (rows, ids, scores))
+
+
 def test_written_frames_live_in_the_named_folder(spark, rows):
     from tastewell.session import shared_folder, written
 

@@ -443,3 +443,23 @@ def test_candidates_of_few_dimensions_go_in_one_pass(spark, monkeypatch):
 def test_blocks_do_not_multiply_the_copies_of_factors():
     # A row's factors are sent to every block it has ratings in, in every round.
     assert [fa.block_count(n) for n in (0, 1000, 29_000_000, 170_000_000, 640_000_000)] == [8, 8, 8, 8, 20]
+
+
+def test_lines_meet_their_orders_once(spark, monkeypatch, tmp_path):
+    from tastewell import fixtures as fx
+    from tastewell.plans import queries
+
+    joins, join = [], fx._lines_with_orders
+    monkeypatch.setattr(fx, "_lines_with_orders", lambda *a: joins.append(a) or join(*a))
+    queries.cbf_topk(spark, "/root/testdata/sf0.001")
+    assert len(joins) == 1
+
+
+def test_a_text_is_taken_apart_once(spark, monkeypatch):
+    seen, terms = [], cb._terms
+    monkeypatch.setattr(cb, "_terms", lambda df: seen.append(df.count()) or terms(df))
+    content = spark.createDataFrame([(m, t) for m in range(40) for t in ("dark dark plot", "funny", "funny", " ")], "movieId long, content string")
+    items = cb.item_vectors(content, 64)
+    assert seen == [3]
+    other = cb.item_vectors(spark.createDataFrame([(m, "dark dark plot funny funny") for m in range(40)], "movieId long, content string"), 64)
+    assert [tuple(r) for r in items.orderBy("movieId").collect()] == [tuple(r) for r in other.orderBy("movieId").collect()]
