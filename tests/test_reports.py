@@ -161,3 +161,11 @@ def test_rating_pages(spark):
 def test_entered_ids(spark, rows):
     ids = spark.createDataFrame([("12",), ("x1",), ("",), ("-3",)], "entered string")
     assert rows(rp.valid_user_ids(ids)) == [(12,)]
+
+
+def test_genre_tasks_follow_the_length_of_the_history(spark):
+    history = spark.createDataFrame([(u, 1.0 + u % 5, "Drama|War") for u in range(20)], "userId long, rating double, genres string")
+    profile = st.user_top_genre(st.user_genre_profile(history, 20_000_000))
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and ", 40), REPARTITION_BY_NUM" in plan
+    assert profile.count() == 20
