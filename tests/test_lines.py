@@ -38,3 +38,13 @@ def test_lines_are_joined_once(spark, folder, monkeypatch, query):
     monkeypatch.setattr(fx, "_lines_with_orders", lambda *a: joined.append(a) or join(*a))
     getattr(queries, query)(spark, folder)
     assert len(joined) == 1
+
+
+def test_an_order_is_read_once_and_the_train_set_written(spark, folder, monkeypatch):
+    plan = fx.rated_lines(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    before = plan[plan.index("Join Inner") :]
+    assert "AS ts" in before and "AS word" in before
+    names = []
+    monkeypatch.setattr(queries, "written", lambda df, name, w=queries.written: names.append(name) or w(df, name))
+    queries.hybrid_lists(spark, folder)
+    assert "train" in names
