@@ -15,6 +15,7 @@ import types
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ LEVELS = 4  # 32-bit ids
 RANK_STEP = 512
 END_ID = 1
 TEXT_BYTES_PER_RUN = 2 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 800_000
+KNOWN_PIECES = 250_000
 PIECES_PER_TEXT = 4096
 WORD_END = "</w>"
 MEMORY = "tastewell_word_ids"
@@ -91,7 +93,8 @@ def token_at(levels: list[bytes], bitmaps: list[bytes], ranks: list[bytes], plac
 
 class _WordIds:
     """Ids of words this process has seen, flat, with their places. White space only separates in these
-    vocabularies, so a text's ids are those of its words; the memory is emptied when it is full."""
+    vocabularies, so a text's ids are those of its words. Words and the pieces they are made of are forgotten
+    apart, each when its memory is full: pieces are only looked up for words that are new."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -108,11 +111,15 @@ class _WordIds:
         self.ends = np.array([str(self.tokenizer.id_to_token(i)).endswith(WORD_END) for i in range(size)], bool)
         self.marks_ends = bool(self.ends.any())
         self.letters: dict[str, bool] = {}
-        self._forget()
+        self._forget_words()
+        self._forget_pieces()
 
-    def _forget(self) -> None:
-        self.slots, self.pieces = {}, {"": 0}
+    def _forget_words(self) -> None:
+        self.slots = {}
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _forget_pieces(self) -> None:
+        self.pieces = {"": 0}
         self.piece_flat, self.piece_starts, self.piece_sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     @classmethod
@@ -193,14 +200,18 @@ class _WordIds:
 
     def _add(self, words: list[str]) -> None:
         split = [self._split(w) for w in words]
-        new = [p for p in dict.fromkeys(p for pair in split for p in pair) if p not in self.pieces]
+        used = dict.fromkeys(chain.from_iterable(split))
+        new = [p for p in used if p not in self.pieces]
+        if len(self.pieces) + len(new) > KNOWN_PIECES:
+            self._forget_pieces()
+            new = [p for p in used if p]
         if new:
             ids, sizes = self._encode(new)
             self.pieces.update(zip(new, range(len(self.piece_sizes), len(self.piece_sizes) + len(new)), strict=True))
             self.piece_starts = np.concatenate([self.piece_starts, len(self.piece_flat) + np.cumsum(sizes) - sizes])
             self.piece_sizes = np.concatenate([self.piece_sizes, sizes])
             self.piece_flat = np.concatenate([self.piece_flat, ids])
-        places = np.array([self.pieces[p] for pair in split for p in pair], np.int64)
+        places = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(split)), np.int64, 2 * len(split))
         ids = _gathered(self.piece_flat, self.piece_starts[places], self.piece_sizes[places])
         sizes = self.piece_sizes[places].reshape(-1, 2).sum(1)
         self.slots.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words)), strict=True))
@@ -215,7 +226,7 @@ class _WordIds:
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = [w for w in distinct if w not in self.slots]
         if len(self.slots) + len(new) > KNOWN_WORDS:
-            self._forget()
+            self._forget_words()
             new = distinct
         if new:
             self._add(new)

@@ -72,3 +72,15 @@ def test_random_access(spark, monkeypatch):
     asked = spark.range(0, len(every), 7).select(F.col("id").alias("place"))
     got = {r["place"]: r["token"] for r in token_store.read_token(spark, folder, asked).collect()}
     assert got == {p: every[p] for p in range(0, len(every), 7)}
+
+
+def test_words_stay_known_when_pieces_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_store, "KNOWN_PIECES", 30, raising=False)
+    rng = random.Random(4)
+    words = token_store._WordIds(PATH)
+    texts = [" ".join("".join(rng.choices("abcdeé.", k=rng.randint(1, 7))) for _ in range(20)) for _ in range(12)]
+    for text in texts:
+        ids, sizes = words.of(pa.array([text]))
+        assert list(ids) == words.tokenizer.encode(text, add_special_tokens=False).ids and list(sizes) == [len(ids)]
+    assert set(" ".join(texts).split()) <= set(words.slots)
+    assert len(words.pieces) <= 41
