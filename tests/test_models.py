@@ -463,3 +463,13 @@ def test_a_text_is_taken_apart_once(spark, monkeypatch):
     assert seen == [3]
     other = cb.item_vectors(spark.createDataFrame([(m, "dark dark plot funny funny") for m in range(40)], "movieId long, content string"), 64)
     assert [tuple(r) for r in items.orderBy("movieId").collect()] == [tuple(r) for r in other.orderBy("movieId").collect()]
+
+
+def test_passes_are_no_more_than_the_volume_needs(spark):
+    from tastewell.operators.scoring import _in_passes
+
+    movies = spark.range(1200).withColumnRenamed("id", "movieId")
+    sizes = [r["count"] for r in _in_passes(movies, 500).groupBy("pass").count().collect()]
+    assert len(sizes) == 3 and sum(sizes) == 1200 and max(sizes) <= 500
+    tight = [r["count"] for r in _in_passes(movies, 20).groupBy("pass").count().collect()]
+    assert sum(tight) == 1200 and max(tight) <= 20
