@@ -5,7 +5,7 @@ strings side by side: the first merge across a border would happen in the pair a
 from its front with the longest piece that begins at each place, found by an Aho-Corasick automaton, and a piece is
 taken if merging it anew with the one before leaves both as they are. Where no piece fits, the place is marked in a
 bitfield as failed, the last piece is given back and the next shorter one tried; no place fails twice, so the walk
-takes a number of steps linear in the text.
+takes a number of steps linear in the text. Short stretches take this walk side by side, one step of all at a time.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ import math
 import re
 import sys
 import types
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SPACE = "▁"  # the vocabulary's sign for a space
 CHARS_PER_STEP = 1 << 20
 LONGEST_KNOWN_UNIT = 64
-KNOWN_UNITS = 400_000
-KNOWN_PAIRS = 1 << 18
+KNOWN_UNITS = 170_000
+KNOWN_PAIRS = 1 << 20  # a power of two
+KNOWN_LONE_PAIRS = 1 << 16
+COMMON_SIGNS = 255
+UNITS_PER_WALK = 1 << 13
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 MEMORY = "tastewell_piece_codes"
 
@@ -63,15 +67,62 @@ class Pieces:
         self.fronts = {i: self._spine(self.pieces[i], 0) for i in self.reached}
         self.automaton = ahocorasick.Automaton()
         for i, length in self.reached.items():
-            self.automaton.add_word(self.pieces[i], (i, length))
+            self.automaton.add_word(self.pieces[i], i)
         self.automaton.make_automaton()
         # The longest piece that is a proper prefix of each piece.
         self.shorter = {i: self._longest_prefix(self.pieces[i]) for i in self.reached}
         self.signs = {p for p in self.ids if len(p) == 1}
+        self._build_trie()
+        # The last place of each table stands for no piece.
+        self.lengths, self.next_shorter = np.zeros(size + 1, np.int32), np.full(size + 1, -1, np.int32)
+        for i, length in self.reached.items():
+            self.lengths[i] = length
+            self.next_shorter[i] = -1 if self.shorter[i] is None else self.shorter[i]
+        # Pairs that were looked at, each in the place its number gives: a later one takes it over.
         self.pairs: dict[int, bool] = {}
+        self.pair_keys, self.pair_fits = np.full(KNOWN_PAIRS, -1, np.int64), np.zeros(KNOWN_PAIRS, bool)
         self.unit = self._unit_pattern()
         self._forget()
 
+    def _build_trie(self) -> None:
+        """The pieces of common signs as a table: the next node by node and sign, nodes that lead on first."""
+        used = Counter(chain.from_iterable(self.pieces.values()))
+        self.common = {sign for sign, _ in used.most_common(COMMON_SIGNS)} & self.signs
+        self.border = next(c for c in map(chr, range(sys.maxunicode)) if c not in used)  # no piece reaches across it
+        self.sign_class = np.zeros(sys.maxunicode + 1, np.uint8)  # 0 leads nowhere
+        for number, sign in enumerate(sorted(self.common)):
+            self.sign_class[ord(sign)] = number + 1
+        spelt = {p: i for i in self.reached if self.common.issuperset(p := self.pieces[i])}
+        prefixes = {p[:end] for p in spelt for end in range(len(p))}
+        prefixes.discard("")
+        nodes = ["", *sorted(prefixes), *(p for p in spelt if p not in prefixes)]
+        number = {p: k for k, p in enumerate(nodes)}
+        self.inner = 1 + len(prefixes)
+        # No sign leads to the first node, so 0 stands for none.
+        self.next_node = np.zeros((self.inner, len(self.common) + 1), np.min_scalar_type(len(nodes)))
+        for p, k in number.items():
+            if p:
+                self.next_node[number[p[:-1]], self.sign_class[ord(p[-1])]] = k
+        self.node_piece = np.array([spelt.get(p, -1) for p in nodes], np.int32)
+
+    def _longest(self, text: str) -> np.ndarray:
+        """The longest piece that begins at each place of a text of common signs and borders, -1 at the borders."""
+        signs = self.sign_class[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        longest = np.full(len(text) + 1, -1, np.int32)
+        place = np.flatnonzero(signs)
+        signs = np.append(signs, 0)
+        node, ahead = np.zeros(len(place), self.next_node.dtype), place
+        while len(place):
+            node = self.next_node[node, signs[ahead]]
+            alive = np.flatnonzero(node)
+            node, place, ahead = node[alive], place[alive], ahead[alive]
+            piece = self.node_piece[node]
+            full = np.flatnonzero(piece >= 0)
+            longest[place[full]] = piece[full]
+            on = np.flatnonzero(node < self.inner)
+            node, place, ahead = node[on], place[on], ahead[on] + 1
+        return longest
+
     @classmethod
     def of_process(cls, path: str) -> Pieces:
         """The one of this worker process: later tasks find the units of earlier ones."""
@@ -148,33 +199,85 @@ class Pieces:
         It does unless a part at the end of the left one and a part at the front of the right one, both there at
         the same time, merge before either is consumed. Of equal scores the one further left comes first.
         """
-        key = left * self.many + right
-        known = self.pairs.get(key)
-        if known is None:
-            if self.ordered and SPACE * 2 not in self.pieces[left] + self.pieces[right]:
-                scores, known = self.scores, True
-                for x, made_x, gone_x in self.ends[left]:
-                    for y, made_y, gone_y in self.fronts[right]:
-                        score = scores.get(x + y)
-                        if score is not None:
-                            moment = min(score, made_x, made_y)
-                            if moment > gone_x and moment >= gone_y:
-                                known = False
-            else:
-                a, b = self.pieces[left], self.pieces[right]
-                known = self.merged(a + b) == [a, b]
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = known
-        return known
+        if self.ordered and SPACE * 2 not in self.pieces[left] + self.pieces[right]:
+            scores = self.scores
+            for x, made_x, gone_x in self.ends[left]:
+                for y, made_y, gone_y in self.fronts[right]:
+                    score = scores.get(x + y)
+                    if score is not None:
+                        moment = min(score, made_x, made_y)
+                        if moment > gone_x and moment >= gone_y:
+                            return False
+            return True
+        a, b = self.pieces[left], self.pieces[right]
+        return self.merged(a + b) == [a, b]
+
+    def _all_compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``compatible`` for many pairs."""
+        keys = left.astype(np.int64) * self.many + right
+        places = (keys * 0x9E3779B1 >> 16) & (len(self.pair_keys) - 1)
+        fits = self.pair_fits[places]
+        missed = np.flatnonzero(self.pair_keys[places] != keys)
+        if len(missed):
+            new, back = np.unique(keys[missed], return_inverse=True)
+            found = np.fromiter((self.compatible(*divmod(key, self.many)) for key in new.tolist()), bool, len(new))
+            fits[missed] = found[back]
+            # One pair after the other, so that the key and the answer of a shared place belong together.
+            for key, place, fit in zip(new.tolist(), ((new * 0x9E3779B1 >> 16) & (len(self.pair_keys) - 1)).tolist(), found.tolist(), strict=True):
+                self.pair_keys[place], self.pair_fits[place] = key, fit
+        return fits
+
+    def _walked(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units of common signs one after the other, and the number of each; no unit is empty.
+
+        Every unit makes a step at a time: it takes its piece, tries a shorter one, or gives the last one back.
+        """
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        text = self.border.join(units)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        longest = self._longest(text)
+        failed = np.zeros(len(text) + 1, bool)
+        taken = np.full(len(text) + 1, -1, np.int32)  # the pieces of each unit, from its start on
+        counts = np.zeros(len(units), np.int64)
+        who, place, tops, stops, first = np.arange(len(units)), starts.copy(), starts.copy(), starts + sizes, starts
+        piece, last = longest[place], np.full(len(units), -1, np.int32)
+        while len(who):
+            some = piece >= 0
+            end = place + self.lengths[piece]
+            fits = some & ~failed[end]
+            asked = np.flatnonzero(fits & (last >= 0))
+            fits[asked] = self._all_compatible(last[asked], piece[asked])
+            on = np.flatnonzero(fits)
+            taken[tops[on]] = piece[on]
+            tops[on] += 1
+            place[on] = end[on]
+            last[on] = piece[on]
+            shorter = self.next_shorter[piece]
+            back = np.flatnonzero(~some)
+            if len(back):
+                failed[place[back]] = True
+                tops[back] -= 1
+                given = taken[tops[back]]
+                taken[tops[back]] = -1
+                place[back] -= self.lengths[given]
+                shorter[back] = self.next_shorter[given]
+                last[back] = np.where(tops[back] > first[back], taken[tops[back] - 1], -1)
+            shorter[on] = longest[place[on]]
+            piece = shorter
+            left = place < stops
+            if not left.all():
+                counts[who[~left]] = (tops - first)[~left]
+                who, place, tops, stops, first, piece, last = (x[left] for x in (who, place, tops, stops, first, piece, last))
+        return taken[taken >= 0], counts
 
     def _known_signs(self, text: str) -> list[int]:
         """Ids of a text whose signs all are pieces."""
         size = len(text)
         longest: list[int] = [0] * size
-        for end, (i, length) in self.automaton.iter(text):
-            longest[end - length + 1] = i  # a later end is a longer piece
-        reached, shorter, pairs, many = self.reached, self.shorter, self.pairs, self.many
+        reached, shorter = self.reached, self.shorter
+        for end, i in self.automaton.iter(text):
+            longest[end - reached[i] + 1] = i  # a later end is a longer piece
+        pairs, many = self.pairs, self.many
         failed = bytearray(size // 8 + 1)
         out: list[int] = []
         place, piece, last = 0, longest[0], None
@@ -185,7 +288,11 @@ class Pieces:
                     if last is None:
                         break
                     fits = pairs.get(last * many + piece)
-                    if fits or fits is None and self.compatible(last, piece):
+                    if fits is None:
+                        if len(pairs) >= KNOWN_LONE_PAIRS:
+                            pairs.clear()
+                        fits = pairs[last * many + piece] = self.compatible(last, piece)
+                    if fits:
                         break
                 piece = shorter[piece]
             if piece is not None:
@@ -227,24 +334,38 @@ class Pieces:
             border = re.compile(f"(?<!{SPACE}){SPACE}").search(text, start + CHARS_PER_STEP)
             if border is None:
                 break
-            yield [u for u in self.unit.findall(text, start, border.start()) if u]
+            yield list(filter(None, self.unit.findall(text, start, border.start())))
             start = border.start()
-        yield [u for u in self.unit.findall(text, start) if u]
+        yield list(filter(None, self.unit.findall(text, start)))
+
+    def _encode_new(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of short units one after the other, and the number of each; those with rare signs go to the end of the list."""
+        plain = list(map(self.common.issuperset, units))
+        odd = [u for u, known in zip(units, plain, strict=True) if not known]
+        units[:] = compress(units, plain)
+        walks = [self._walked(units[k : k + UNITS_PER_WALK]) for k in range(0, len(units), UNITS_PER_WALK)]
+        units += odd
+        for u in odd:
+            ids = self.encode_unit(u)
+            walks.append((np.array(ids, np.int32), np.array([len(ids)])))
+        return tuple(np.concatenate(x) for x in zip(*walks, strict=True))
 
     def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after the other, and the number of each."""
-        new = [u for u in set(units).difference(self.slots) if len(u) <= LONGEST_KNOWN_UNIT]
+        slots = np.fromiter(map(self.slots.get, units, repeat(-1)), np.int64, len(units))
+        missed = np.flatnonzero(slots < 0)
+        new = [u for u in {units[k] for k in missed.tolist()} if len(u) <= LONGEST_KNOWN_UNIT]
         if len(self.slots) + len(new) > KNOWN_UNITS:
             self._forget()
+            missed = np.arange(len(units))
             new = [u for u in set(units) if len(u) <= LONGEST_KNOWN_UNIT]
         if new:
-            found = [self.encode_unit(u) for u in new]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            found, lengths = self._encode_new(new)
             self.slots.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.sizes = np.concatenate([self.sizes, lengths])
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))])
-        slots = np.fromiter(map(self.slots.get, units, repeat(-1)), np.int64, len(units))
+            self.flat = np.concatenate([self.flat, found])
+            slots[missed] = np.fromiter((self.slots.get(units[k], -1) for k in missed.tolist()), np.int64, len(missed))
         known = slots >= 0
         sizes = np.zeros(len(units), np.int64)
         sizes[known] = self.sizes[slots[known]]

@@ -94,3 +94,16 @@ def test_decoding_needs_the_model_only(monkeypatch):
     ids = piece_codes.Pieces.model_of_process(PATH).encode("two words")
     batch = pa.RecordBatch.from_arrays([pa.array([{"a": 1}]), pa.array([ids], pa.list_(pa.int32()))], names=["__row", "__ids"])
     assert [b.column(1).to_pylist() for b in piece_codes._decoded(PATH)(iter([batch]))] == [["two words"]]
+
+
+def test_short_units_are_walked_side_by_side(model, monkeypatch):
+    monkeypatch.setattr(piece_codes, "KNOWN_PAIRS", 16)
+    monkeypatch.setattr(piece_codes, "UNITS_PER_WALK", 7)
+    small = piece_codes.Pieces(PATH)
+    rng = random.Random(4)
+    units = sorted({"".join(rng.choice("abcdehinorst'") for _ in range(rng.randint(1, 30))) for _ in range(3000)})
+    want = [small._known_signs(u) for u in units]
+    ids, sizes = small._walked(units)
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    monkeypatch.setattr(small, "_known_signs", lambda _: pytest.fail("a unit is walked alone"))
+    _same(small, model, [" ".join(units[k : k + 50]) for k in range(0, len(units), 50)])
