@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPACE = "▁"  # the vocabulary's sign for a space
+SPACE_BYTES = SPACE.encode()
 CHARS_PER_STEP = 1 << 20
+IDS_PER_STEP = 1 << 18
 LONGEST_KNOWN_UNIT = 64
 KNOWN_UNITS = 170_000
 KNOWN_PAIRS = 1 << 20  # a power of two
@@ -80,8 +82,8 @@ class Pieces:
             self.next_shorter[i] = -1 if self.shorter[i] is None else self.shorter[i]
         # Pairs that were looked at, each in the place its number gives: a later one takes it over.
         self.pairs: dict[int, bool] = {}
-        self.pair_keys, self.pair_fits = np.full(KNOWN_PAIRS, -1, np.int64), np.zeros(KNOWN_PAIRS, bool)
-        self.unit = self._unit_pattern()
+        self.pair_keys = np.full(KNOWN_PAIRS, -1, np.int64)  # twice the pair, and one more if it fits
+        self.byte_kinds = self._kinds_of_bytes()
         self._forget()
 
     def _build_trie(self) -> None:
@@ -151,17 +153,44 @@ class Pieces:
                 return i
         return None
 
-    def _unit_pattern(self) -> re.Pattern | None:
-        """What pieces never reach across: the place before a space that follows something else, the one between a word and
-        a mark that no piece joins to the words before it, and signs without a piece."""
+    def _kinds_of_bytes(self) -> np.ndarray | None:
+        """What a byte is part of: 0 a word, 1 a mark that some piece joins to the word before it, 2 another mark, 3 a sign
+        without a piece. None if pieces reach across spaces."""
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             return None
-        alone = re.escape("".join(c for c in map(chr, range(128)) if c not in self.signs))
-        marks = re.escape(MARKS)
         joined = {p[k] for p in self.ids for k in range(1, len(p)) if p[k] in MARKS and p[k - 1] not in MARKS + SPACE}
-        word = f"[^{SPACE}{marks}{alone}]*"
-        on = f"(?:[{re.escape(''.join(sorted(joined)))}][{marks}]*{word})*" if joined else ""
-        return re.compile((f"[{alone}]|" if alone else "") + f"{SPACE}*[{marks}]*{word}{on}")
+        kinds = np.zeros(256, np.uint8)
+        for sign in map(chr, range(128)):
+            kinds[ord(sign)] = 3 if sign not in self.signs else 0 if sign not in MARKS else 1 if sign in joined else 2
+        return kinds
+
+    def _units(self, stretches: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The units of stretches of normalised text, none of them empty, and the number of each stretch's units.
+
+        Pieces never reach across the place before a space that follows something else, the one between a word and a mark
+        that no piece joins to the words before it, and the two ends of a sign without a piece.
+        """
+        held = pa.array(stretches, pa.large_string())
+        offsets = np.frombuffer(held.buffers()[1], np.int64)[: len(held) + 1]
+        if self.byte_kinds is None:
+            return held, np.ones(len(held), np.int64)
+        data = np.frombuffer(held.buffers()[2], np.uint8)[: offsets[-1]]
+        kinds = self.byte_kinds[data]
+        space = np.zeros(len(data), bool)
+        first, second, third = SPACE_BYTES
+        space[:-2] = (data[:-2] == first) & (data[1:-1] == second) & (data[2:] == third)
+        border = kinds == 2
+        border[1:] &= kinds[:-1] == 0
+        border |= space
+        border[3:] &= ~space[:-3]  # neither spaces nor marks leave a space before them
+        alone = kinds == 3
+        border |= alone
+        border[1:] |= alone[:-1]
+        border[offsets[:-1]] = True
+        starts = np.flatnonzero(border)
+        ends = np.append(starts, len(data))
+        units = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), held.buffers()[2])
+        return units, np.diff(np.searchsorted(ends, offsets))
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
@@ -216,15 +245,14 @@ class Pieces:
         """``compatible`` for many pairs."""
         keys = left.astype(np.int64) * self.many + right
         places = (keys * 0x9E3779B1 >> 16) & (len(self.pair_keys) - 1)
-        fits = self.pair_fits[places]
-        missed = np.flatnonzero(self.pair_keys[places] != keys)
+        held = self.pair_keys[places]
+        fits = (held & 1).astype(bool)
+        missed = np.flatnonzero(held >> 1 != keys)
         if len(missed):
             new, back = np.unique(keys[missed], return_inverse=True)
             found = np.fromiter((self.compatible(*divmod(key, self.many)) for key in new.tolist()), bool, len(new))
             fits[missed] = found[back]
-            # One pair after the other, so that the key and the answer of a shared place belong together.
-            for key, place, fit in zip(new.tolist(), ((new * 0x9E3779B1 >> 16) & (len(self.pair_keys) - 1)).tolist(), found.tolist(), strict=True):
-                self.pair_keys[place], self.pair_fits[place] = key, fit
+            self.pair_keys[(new * 0x9E3779B1 >> 16) & (len(self.pair_keys) - 1)] = 2 * new + found
         return fits
 
     def _walked(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -324,79 +352,84 @@ class Pieces:
             out += self._known_signs(text[start:] if start else text)
         return out
 
-    def _stretches(self, text: str) -> Iterator[list[str]]:
-        """The units of a normalised text, a bounded number of signs at a time."""
-        if self.unit is None:
-            yield [text] if text else []
-            return
+    def _stretches(self, text: str) -> Iterator[str]:
+        """A normalised text, a bounded number of signs at a time where a border of units allows it."""
         start = 0
-        while len(text) - start > CHARS_PER_STEP:
+        while self.byte_kinds is not None and len(text) - start > CHARS_PER_STEP:
             border = re.compile(f"(?<!{SPACE}){SPACE}").search(text, start + CHARS_PER_STEP)
             if border is None:
                 break
-            yield list(filter(None, self.unit.findall(text, start, border.start())))
+            yield text[start : border.start()]
             start = border.start()
-        yield list(filter(None, self.unit.findall(text, start)))
-
-    def _encode_new(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of short units one after the other, and the number of each; those with rare signs go to the end of the list."""
-        plain = list(map(self.common.issuperset, units))
-        odd = [u for u, known in zip(units, plain, strict=True) if not known]
-        units[:] = compress(units, plain)
-        walks = [self._walked(units[k : k + UNITS_PER_WALK]) for k in range(0, len(units), UNITS_PER_WALK)]
-        units += odd
-        for u in odd:
-            ids = self.encode_unit(u)
+        if start < len(text):
+            yield text[start:]
+
+    def _encode_new(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of short units one after the other, and the number of each, after the order that they stand in: those with rare
+        signs come last."""
+        plain = np.fromiter(map(self.common.issuperset, units), bool, len(units))
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        walkable = list(compress(units, plain))
+        walks = [self._walked(walkable[k : k + UNITS_PER_WALK]) for k in range(0, len(walkable), UNITS_PER_WALK)]
+        for k in order[len(walkable) :].tolist():
+            ids = self.encode_unit(units[k])
             walks.append((np.array(ids, np.int32), np.array([len(ids)])))
-        return tuple(np.concatenate(x) for x in zip(*walks, strict=True))
+        return order, *(np.concatenate(x) for x in zip(*walks, strict=True))
 
-    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after the other, and the number of each."""
-        slots = np.fromiter(map(self.slots.get, units, repeat(-1)), np.int64, len(units))
-        missed = np.flatnonzero(slots < 0)
-        new = [u for u in {units[k] for k in missed.tolist()} if len(u) <= LONGEST_KNOWN_UNIT]
-        if len(self.slots) + len(new) > KNOWN_UNITS:
+        coded = units.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        slots = np.fromiter(map(self.slots.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missed = [k for k in np.flatnonzero(slots < 0).tolist() if len(distinct[k]) <= LONGEST_KNOWN_UNIT]
+        if len(self.slots) + len(missed) > KNOWN_UNITS:
             self._forget()
-            missed = np.arange(len(units))
-            new = [u for u in set(units) if len(u) <= LONGEST_KNOWN_UNIT]
-        if new:
-            found, lengths = self._encode_new(new)
-            self.slots.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+            slots[:] = -1
+            missed = [k for k, u in enumerate(distinct) if len(u) <= LONGEST_KNOWN_UNIT]
+        if missed:
+            order, found, lengths = self._encode_new([distinct[k] for k in missed])
+            missed = np.array(missed)[order]
+            slots[missed] = np.arange(len(self.sizes), len(self.sizes) + len(missed))
+            self.slots.update(zip([distinct[k] for k in missed.tolist()], slots[missed].tolist(), strict=True))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.sizes = np.concatenate([self.sizes, lengths])
             self.flat = np.concatenate([self.flat, found])
-            slots[missed] = np.fromiter((self.slots.get(units[k], -1) for k in missed.tolist()), np.int64, len(missed))
-        known = slots >= 0
-        sizes = np.zeros(len(units), np.int64)
-        sizes[known] = self.sizes[slots[known]]
-        parts, start = [], 0
-        # Units too long to be kept are encoded where they stand.
-        for place in [*np.flatnonzero(~known).tolist(), len(units)]:
-            held, many = slots[start:place], sizes[start:place]
-            parts.append(self.flat[np.repeat(self.starts[held] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))])
-            if place < len(units):
-                parts.append(np.array(self.encode_unit(units[place]), np.int32))
-                sizes[place] = len(parts[-1])
-            start = place + 1
-        return np.concatenate(parts), sizes
+        # Units too long to be kept are encoded for this step only.
+        long = np.flatnonzero(slots < 0)
+        parts = [np.array(self.encode_unit(distinct[k]), np.int32) for k in long.tolist()]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        slots[long] = len(self.sizes) + np.arange(len(long))
+        starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])[slots]
+        sizes = np.concatenate([self.sizes, lengths])[slots]
+        flat = np.concatenate([self.flat, *parts]) if parts else self.flat
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        many = sizes[which]
+        return flat[np.repeat(starts[which] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))], many
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's ids."""
         totals = np.zeros(len(texts), np.int64)
         parts: list[np.ndarray] = []
-        units: list[str] = []
-        owners: list[np.ndarray] = []
+        stretches: list[str] = []
+        owners: list[int] = []
         signs = 0
+
+        def step() -> None:
+            units, counts = self._units(stretches)
+            ids, sizes = self._encode_units(units)
+            np.add.at(totals, owners, np.add.reduceat(sizes, np.cumsum(counts) - counts))
+            parts.append(ids)
+
         for number, text in enumerate(texts):
             for found in self._stretches(self.model.normalize(text)):
-                units += found
-                owners.append(np.full(len(found), number))
-                signs += min(len(text), CHARS_PER_STEP)
-                if signs >= CHARS_PER_STEP or number == len(texts) - 1:
-                    ids, sizes = self._encode_units(units)
-                    np.add.at(totals, np.concatenate(owners), sizes)
-                    parts.append(ids)
-                    units, owners, signs = [], [], 0
+                stretches.append(found)
+                owners.append(number)
+                signs += len(found)
+                if signs >= CHARS_PER_STEP:
+                    step()
+                    stretches, owners, signs = [], [], 0
+        if stretches:
+            step()
         return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), totals
 
 
@@ -425,11 +458,16 @@ def _decoded(path: str):
         model = Pieces.model_of_process(path)
         for batch in batches:
             lists = batch.column(1)
-            for start in range(batch.num_rows):
-                # A row at a time: the ids of one text are the most that is held as Python numbers.
-                ids = lists[start].values
-                text = model.decode(ids.to_pylist() if ids is not None else [])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, 1), pa.array([text], pa.string())], names=["__row", "__text"])
+            start, texts, many = 0, [], 0
+            for place in range(batch.num_rows):
+                ids = lists[place].values
+                # The library reads the numbers of an array where they stand.
+                texts.append(model.decode(ids.to_numpy() if ids is not None else []))
+                many += 0 if ids is None else len(ids)
+                if many >= IDS_PER_STEP or place == batch.num_rows - 1:
+                    rows = batch.column(0).slice(start, len(texts))
+                    yield pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.string())], names=["__row", "__text"])
+                    start, texts, many = place + 1, [], 0
 
     return decoded
 

@@ -107,3 +107,43 @@ def test_short_units_are_walked_side_by_side(model, monkeypatch):
     assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
     monkeypatch.setattr(small, "_known_signs", lambda _: pytest.fail("a unit is walked alone"))
     _same(small, model, [" ".join(units[k : k + 50]) for k in range(0, len(units), 50)])
+
+
+def test_units_are_cut_where_no_piece_reaches(pieces, model, monkeypatch):
+    signs = "ab▁'.-\té日"
+    rng = random.Random(5)
+    texts = ["▁", "a", "é", *("".join(rng.choice(signs) for _ in range(rng.randint(1, 30))) for _ in range(300))]
+    units, counts = pieces._units(texts)
+    cut, start = units.to_pylist(), 0
+    for text, count in zip(texts, counts.tolist(), strict=True):
+        assert count and "".join(cut[start : start + count]) == text and all(cut[start : start + count])
+        assert [i for u in cut[start : start + count] for i in pieces.encode_unit(u)] == pieces.encode_unit(text)
+        start += count
+    assert start == len(cut)
+    assert pieces._units(["▁▁don't,▁no.▁\tx"])[0].to_pylist() == ["▁▁don", "'t,", "▁no.", "▁", "\t", "x"]
+    # A unit that stands often in a text is looked up once.
+    looked = []
+    monkeypatch.setattr(pieces, "slots", type("Slots", (dict,), {"get": lambda self, *a: looked.append(a[0]) or dict.get(self, *a)})())
+    _same(pieces, model, ["again " * 500])
+    assert len(looked) == 2
+
+
+def test_decoding_reads_arrays_and_sends_rows_together(model, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["two words", "", "naïve 日本 \U0001f600\x01", "x" * 50, "end"]
+    given = []
+
+    class Model:
+        def decode(self, ids):
+            given.append(type(ids))
+            return model.decode(ids)
+
+    monkeypatch.setattr(piece_codes.Pieces, "model_of_process", lambda _: Model())
+    monkeypatch.setattr(piece_codes, "IDS_PER_STEP", 20, raising=False)
+    lists = pa.array([*map(model.encode, texts), None], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array([{"a": k} for k in range(len(lists))]), lists], names=["__row", "__ids"])
+    found = list(piece_codes._decoded(PATH)(iter([batch])))
+    assert [r for b in found for r in b.to_pylist()] == [{"__row": {"a": k}, "__text": t} for k, t in enumerate([*texts, ""])]
+    assert 1 < len(found) < len(lists) and given == [np.ndarray] * 5 + [list]
