@@ -8,6 +8,7 @@ the number of ones before it in the bitmap. One row of the table holds one run o
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import sys
@@ -15,7 +16,7 @@ import types
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,10 @@ CHUNK_BITS = 8
 LEVELS = 4  # 32-bit ids
 RANK_STEP = 512
 END_ID = 1
-TEXT_BYTES_PER_RUN = 2 << 20
-KNOWN_WORDS = 800_000
-KNOWN_PIECES = 250_000
-PIECES_PER_TEXT = 4096
+TEXT_BYTES_PER_RUN = 4 << 20
+KNOWN_WORDS = 650_000
+KNOWN_PIECES = 500_000
+PIECES_PER_TEXT = 512
 WORD_END = "</w>"
 MEMORY = "tastewell_word_ids"
 SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
@@ -130,20 +131,33 @@ class _WordIds:
             held[path] = cls(path)
         return held[path]
 
-    def _split(self, word: str) -> tuple[str, str]:
-        """A word's stem and the signs at its end, which every vocabulary here encodes apart."""
-        if self.suspect(word):
-            return word, ""
-        if word.isascii():
-            word = word.lower()
-        stem = word.rstrip(SIGNS)
-        if len(stem) == len(word) or not stem:
-            return word, ""
-        last = stem[-1]
-        letter = self.letters.get(last)
-        if letter is None:
-            letter = self.letters[last] = self._stays_letter(last)
-        return (stem, word[len(stem) :]) if letter else (word, "")
+    def _split(self, words: pa.Array) -> pa.Array:
+        """The stem of each word and, after it, the signs at its end, which every vocabulary here encodes apart.
+
+        Words that may hold a special token and those whose stem does not end in a letter stay whole.
+        """
+        suspect = self._suspects(words)
+        lower = pc.if_else(pc.and_not(pc.string_is_ascii(words), suspect), pc.ascii_lower(words), words)
+        stems = pc.ascii_rtrim(lower, characters=SIGNS)
+        last = pc.utf8_slice_codeunits(stems, -1).dictionary_encode()
+        for sign in last.dictionary.to_pylist():
+            if sign not in self.letters:
+                self.letters[sign] = self._stays_letter(sign)
+        letter = np.array([self.letters[sign] for sign in last.dictionary.to_pylist()], bool)[last.indices.to_numpy()]
+        sizes = pc.binary_length(lower).to_numpy().astype(np.int64)
+        kept = np.where(letter & ~suspect.to_numpy(zero_copy_only=False), pc.binary_length(stems).to_numpy(), sizes)
+        # Both parts of a word stand side by side in its bytes.
+        ends = np.cumsum(sizes)
+        offsets = np.zeros(2 * len(sizes) + 1, np.int64)
+        offsets[1::2] = ends - sizes + kept
+        offsets[2::2] = ends
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(lower)], lower), "")
+        return pa.LargeStringArray.from_buffers(2 * len(sizes), pa.py_buffer(offsets), joined.buffers()[2])
+
+    def _suspects(self, words: pa.Array) -> pa.Array:
+        """Which words may hold a special token."""
+        first = sorted({m[0] for m in self.marks} | {"\0"})
+        return functools.reduce(pc.or_, [pc.match_substring(words, sign) for sign in first])
 
     @staticmethod
     def _stays_letter(sign: str) -> bool:
@@ -158,14 +172,11 @@ class _WordIds:
         splits a text before anything else looks at it. Pieces that may hold a special token go alone.
         """
         sizes, parts, order = np.zeros(len(pieces), np.int64), [], []
-        letters, joint, alone = [], [], []
-        for i, piece in enumerate(pieces):
-            if self.suspect(piece) or self.separator is None:
-                alone.append(i)
-            elif self.marks_ends and piece.isalpha():
-                letters.append(i)
-            else:
-                joint.append(i)
+        lone = np.zeros(len(pieces), bool) if self.separator else np.ones(len(pieces), bool)
+        if self.suspect("".join(pieces)):
+            lone |= np.fromiter(map(bool, map(self.suspect, pieces)), bool, len(pieces))
+        lettered = np.fromiter(map(str.isalpha, pieces), bool, len(pieces)) & ~lone & self.marks_ends
+        letters, joint, alone = (np.flatnonzero(x).tolist() for x in (lettered, ~lettered & ~lone, lone))
         for start in range(0, len(letters), PIECES_PER_TEXT):
             # A piece of letters is one word of the vocabulary's own split: it stops where a word ends.
             group = letters[start : start + PIECES_PER_TEXT]
@@ -198,23 +209,27 @@ class _WordIds:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _add(self, words: list[str]) -> None:
-        split = [self._split(w) for w in words]
-        used = dict.fromkeys(chain.from_iterable(split))
-        new = [p for p in used if p not in self.pieces]
-        if len(self.pieces) + len(new) > KNOWN_PIECES:
+    def _add(self, words: pa.Array, names: list[str]) -> None:
+        coded = self._split(words).dictionary_encode()
+        used = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = np.fromiter(map(self.pieces.get, used, repeat(-1)), np.int64, len(used))
+        missed = np.flatnonzero(places < 0)
+        if len(self.pieces) + len(missed) > KNOWN_PIECES:
             self._forget_pieces()
-            new = [p for p in used if p]
-        if new:
+            missed = np.array([k for k, p in enumerate(used) if p], np.int64)
+            places[:] = 0
+        if len(missed):
+            new = [used[k] for k in missed.tolist()]
             ids, sizes = self._encode(new)
-            self.pieces.update(zip(new, range(len(self.piece_sizes), len(self.piece_sizes) + len(new)), strict=True))
+            places[missed] = np.arange(len(self.piece_sizes), len(self.piece_sizes) + len(new))
+            self.pieces.update(zip(new, places[missed].tolist(), strict=True))
             self.piece_starts = np.concatenate([self.piece_starts, len(self.piece_flat) + np.cumsum(sizes) - sizes])
             self.piece_sizes = np.concatenate([self.piece_sizes, sizes])
             self.piece_flat = np.concatenate([self.piece_flat, ids])
-        places = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(split)), np.int64, 2 * len(split))
+        places = places[coded.indices.to_numpy()]
         ids = _gathered(self.piece_flat, self.piece_starts[places], self.piece_sizes[places])
         sizes = self.piece_sizes[places].reshape(-1, 2).sum(1)
-        self.slots.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words)), strict=True))
+        self.slots.update(zip(names, range(len(self.sizes), len(self.sizes) + len(names)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.flat = np.concatenate([self.flat, ids])
@@ -224,18 +239,20 @@ class _WordIds:
         lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = [w for w in distinct if w not in self.slots]
-        if len(self.slots) + len(new) > KNOWN_WORDS:
+        slot = np.fromiter(map(self.slots.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missed = np.flatnonzero(slot < 0)
+        if len(self.slots) + len(missed) > KNOWN_WORDS:
             self._forget_words()
-            new = distinct
-        if new:
-            self._add(new)
-        slot = np.array(list(map(self.slots.__getitem__, distinct)), np.int64)
+            missed = np.arange(len(distinct))
+        if len(missed):
+            slot[missed] = np.arange(len(self.sizes), len(self.sizes) + len(missed))
+            self._add(words.dictionary.take(pa.array(missed)), [distinct[k] for k in missed.tolist()])
         slot = slot[words.indices.to_numpy(zero_copy_only=False)]
         sizes = self.sizes[slot]
         ids = _gathered(self.flat, self.starts[slot], sizes)
-        owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        return ids, np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)
+        return ids, np.diff(upto[ends], prepend=0)
 
 
 def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -84,3 +84,25 @@ def test_words_stay_known_when_pieces_are_forgotten(monkeypatch):
         assert list(ids) == words.tokenizer.encode(text, add_special_tokens=False).ids and list(sizes) == [len(ids)]
     assert set(" ".join(texts).split()) <= set(words.slots)
     assert len(words.pieces) <= 41
+
+
+def test_words_are_split_together():
+    import unicodedata
+
+    words = token_store._WordIds(PATH)
+    rng = random.Random(5)
+    made = ["".join(rng.choices("abZé0ſ'.,!)́İ漢<", k=rng.randint(1, 9))) for _ in range(3000)]
+    made += ["...", "x", "É!", "a\0b.", "<|endoftext|>.", "The.", "é.", "́.", "don't,", "İ."]
+    parts = words._split(pa.array(made)).to_pylist()
+    cut = 0
+    for word, stem, signs in zip(made, parts[::2], parts[1::2], strict=True):
+        assert stem + signs in (word, word.lower()) and stem and set(signs) <= set(token_store.SIGNS)
+        whole = any(sign in word for sign in "<\0")
+        assert not signs or (not whole and unicodedata.normalize("NFC", stem)[-1].isalpha())
+        cut += bool(signs)
+    assert cut > 300 and ("the", ".") in zip(parts[::2], parts[1::2], strict=True)
+    for start in range(0, len(made), 500):
+        texts = [" ".join(made[start + k : start + k + 9]) for k in range(0, 500, 9)]
+        ids, sizes = words.of(pa.array([*texts, "", " "]))
+        want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == [*map(len, want), 0, 0] and ids.tolist() == [i for w in want for i in w]
