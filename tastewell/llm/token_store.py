@@ -34,9 +34,9 @@ CHUNK_BITS = 8
 LEVELS = 4  # 32-bit ids
 RANK_STEP = 512
 END_ID = 1
-TEXT_BYTES_PER_RUN = 4 << 20
-KNOWN_WORDS = 650_000
-KNOWN_PIECES = 500_000
+TEXT_BYTES_PER_RUN = 2 << 20
+KNOWN_WORDS = 450_000
+KNOWN_PIECES = 300_000
 PIECES_PER_TEXT = 512
 WORD_END = "</w>"
 MEMORY = "tastewell_word_ids"
