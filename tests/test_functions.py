@@ -111,6 +111,31 @@ def test_bounds_leave_blocks_out():
         assert list(ids[rows == u]) == sorted(range(5000), key=lambda i: (-scores[u, i], i))[:10]
 
 
+def test_short_vectors_are_ruled_out_by_their_length():
+    rng = np.random.default_rng(12)
+    values = np.maximum(rng.normal(0.5, 0.5, (20_000, 10)), 0)
+    block = pd.DataFrame({"movieId": np.arange(20_000), "idx": [np.arange(10)] * 20_000, "val": list(values), "norm": 1.0, "base": 0.0})
+    users = np.maximum(rng.normal(0.5, 0.5, (2000, 10)), 0)
+    candidates = Candidates(block, 10, 1.0)
+    (rows, ids, _, _), skipped = best_of(users, None, candidates, 10)
+    assert skipped > len(candidates.starts) / 4
+    scores = np.round(users[:40] @ values.T, 9)
+    for u in range(40):
+        assert list(ids[rows == u]) == sorted(range(20_000), key=lambda i: (-scores[u, i], i))[:10]
+
+
+def test_a_floor_leaves_out_only_what_is_below():
+    rng = np.random.default_rng(13)
+    values, users = rng.random((3000, 5)), rng.random((30, 5))
+    block = pd.DataFrame({"movieId": np.arange(3000), "idx": [np.arange(5)] * 3000, "val": list(values), "norm": 1.0, "base": 0.0})
+    scores = np.round(users @ values.T, 9)
+    floor = np.where(np.arange(30) % 3 == 0, -np.inf, np.sort(scores, axis=1)[:, -4])
+    (rows, ids, found, _), _ = best_of(users, None, Candidates(block, 5, 1.0), 10, floor)
+    for u in range(30):
+        best = sorted(range(3000), key=lambda i: (-scores[u, i], i))[:10]
+        assert list(ids[(rows == u) & (found >= floor[u])]) == [i for i in best if scores[u, i] >= floor[u]]
+
+
 def test_blocks_use_few_columns_of_sparse_vectors():
     rng = np.random.default_rng(3)
     words = rng.integers(0, 16, 4000)

@@ -473,3 +473,68 @@ def test_passes_are_no_more_than_the_volume_needs(spark):
     assert len(sizes) == 3 and sum(sizes) == 1200 and max(sizes) <= 500
     tight = [r["count"] for r in _in_passes(movies, 20).groupBy("pass").count().collect()]
     assert sum(tight) == 1200 and max(tight) <= 20
+
+
+def test_users_whose_list_is_settled_take_no_part_in_later_passes(spark, monkeypatch):
+    from tastewell.operators import scoring
+
+    sizes, people_left = [], []
+    one_pass = scoring.score_pass
+    monkeypatch.setattr(scoring, "score_pass", lambda users, block, *rest: sizes.append(len(block)) or people_left.append(users.count()) or one_pass(users, block, *rest))
+    monkeypatch.setattr(fa, "ITEMS_PER_PASS", 300)
+    model, people, movies = _planted_factors(spark, 60, 1500, 6)
+    # One user has rated all but the shortest vectors and so needs every pass.
+    reach = np.argsort(-np.linalg.norm(movies, axis=1))
+    history = spark.createDataFrame([(7, int(m), 1.0, 0) for m in reach[:1490]] + [(3, int(reach[0]), 1.0, 0)], RATING)
+    got = {}
+    for r in fa.als_top_k(model, 10, history=history).orderBy("userId", "rank").collect():
+        got.setdefault(r.userId, []).append((r.rank, r.movieId))
+    assert sum(sizes) == 1500 and max(sizes) <= 300 and people_left[0] == 60 and people_left[2:] == [1] * (len(sizes) - 2)
+    scores = np.round(people @ movies.T, 9)
+    seen = {7: set(reach[:1490].tolist()), 3: {int(reach[0])}}
+    for u in range(60):
+        best = sorted(set(range(1500)) - seen.get(u, set()), key=lambda m: (-scores[u, m], m))[:10]
+        assert got[u] == list(enumerate(best, 1))
+    sizes.clear()
+    assert fa.als_top_k(model, 10).count() == 600 and len(sizes) <= 2
+
+
+def test_passes_hold_no_more_than_their_volume_where_all_reach_equally_far(spark):
+    from tastewell.operators.scoring import _by_reach
+
+    movies = spark.range(1200).select(F.col("id").alias("movieId"), F.lit(1.0).alias("length"), F.lit(0.5).alias("base"))
+    sizes = [r["count"] for r in _by_reach(movies, 500).groupBy("pass").count().collect()]
+    assert sum(sizes) == 1200 and max(sizes) <= 500
+    apart = movies.withColumn("base", F.col("movieId") / 1200)
+    ranges = _by_reach(apart, 500).groupBy("pass").agg(F.min("base"), F.max("base")).orderBy("pass").collect()
+    assert len(ranges) == 3 and all(a[1] > b[2] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_thinned_candidates_are_enough_for_users_who_have_rated_some(spark, monkeypatch):
+    monkeypatch.setattr(cb, "CANDIDATES_PER_PASS", 100)
+    rng = np.random.default_rng(14)
+    kinds = [([0], [1.0]), ([1], [2.0]), ([0, 2], [1.0, 1.0]), ([], [])]
+    data = []
+    for movie in range(600):
+        idx, val = kinds[movie % 4]
+        data.append((movie, idx, val, float(np.linalg.norm(val)), float(rng.integers(1, 40)) / 8))
+    items = spark.createDataFrame(data, "movieId long, idx array<int>, val array<double>, norm double, avg_rating double")
+    people = spark.createDataFrame([(u, [0, 1, 2], rng.random(3).tolist(), 1.0) for u in range(9)], "userId long, idx array<int>, val array<double>, norm double")
+    vectors = np.zeros((600, 3))
+    for movie, idx, val, norm, _ in data:
+        vectors[movie, idx] = np.array(val) / (norm or 1)
+    base = np.array([d[4] for d in data]) / 5 * 0.4
+    scores = {r.userId: np.round(0.6 * (vectors @ np.array(r.val)) + base, 9) for r in people.collect()}
+    # The best of each user, some twice in the history; one has rated nothing, one nearly everything.
+    many = {u: 25 for u in range(8)} | {0: 0}
+    seen = {u: sorted(range(600), key=lambda m: (-scores[u][m], m))[:n] for u, n in many.items()}
+    rows = [(u, m) for u, ms in seen.items() for m in ms] + [(5, m) for m in seen[5]] + [(None, 1), (2, 10**6)]
+    history = spark.createDataFrame(rows, "userId long, movieId long")
+    assert cb.competitive_candidates(items, 3, history).count() < 400
+    for rows in (rows, rows + [(8, m) for m in range(5, 600)]):
+        history = spark.createDataFrame(rows, "userId long, movieId long")
+        got = {(r.userId, r.rank): r.movieId for r in cb.content_top_k(people, items, 3, dimensions=3, history=history).collect()}
+        for u in range(9):
+            left = {m for v, m in rows if v == u}
+            best = sorted(set(range(600)) - left, key=lambda m: (-scores[u][m], m))[:3]
+            assert [got[u, i] for i in (1, 2, 3)] == best
