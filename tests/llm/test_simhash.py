@@ -131,6 +131,32 @@ def test_deduplicated_compares_members_of_foreign_hubs(spark):
     assert kept == [*range(40), *range(100, 160)]
 
 
+def test_the_sample_sets_the_order_of_shingles_and_not_what_is_kept(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    shared, rows = [f"s{i}" for i in range(60)], []
+    for i in range(50):
+        words = shared + [f"t{w}" for w in rng.integers(20000, size=int(rng.integers(60, 200)))]
+        at, part = int(rng.integers(len(words))), int(rng.integers(2, len(words) // 5))
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(words[:at] + [f"n{w}" for w in rng.integers(20000, size=part)] + words[at:]))]
+    group = {i: i for i, _ in rows}
+    for i, (a, one) in enumerate(rows):
+        for b, two in rows[i + 1 :]:
+            if _alike(one, two):
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = {k: new if g == old else g for k, g in group.items()}
+    expected = sorted({g for g in group.values()})
+    assert 50 < len(expected) < 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shingles = np.unique(np.concatenate([simhash._shingled(t.encode().split(), 5) for _, t in rows]))
+    sampled = simhash._common_shingles
+    # The order that eight sampled texts give, none, and any at all.
+    orders = [sampled, lambda *_: np.zeros(0, np.uint64), lambda *_: rng.permutation(shingles)]
+    monkeypatch.setattr(simhash, "SAMPLED_TEXTS", 8)
+    for order in orders:
+        monkeypatch.setattr(simhash, "_common_shingles", order)
+        assert sorted(r["doc_id"] for r in simhash.deduplicated(docs).collect()) == expected
+
+
 def test_parities_never_rule_out_texts_alike():
     import pyarrow as pa
 
