@@ -38,7 +38,7 @@ from tastewell.operators.evaluation import (
 )
 from tastewell.operators.factorisation import Factors, als_predictions, als_top_k, fit_als
 from tastewell.operators.hybrid import hybrid_predictions, hybrid_top_k
-from tastewell.operators.ratings import split_at_random, split_by_key
+from tastewell.operators.ratings import in_train_set, split_at_random
 from tastewell.operators.statistics import movie_statistics, movies_with_votes
 from tastewell.session import written
 from tastewell.sources.tables import load_dataset, read_table, table_exists, write_table
@@ -146,7 +146,9 @@ def recommendation_lists(
 def split_ratings(ratings: DataFrame, config: TrainingConfig) -> tuple[DataFrame, DataFrame]:
     """Train and test set by the rule on the key, or at random with the run's seed."""
     if config.split == "key":
-        return split_by_key(ratings, config.train_fraction)
+        # Many steps read the train set: the digests of the keys are computed once.
+        sides = written(ratings.withColumn("_in_train", in_train_set(config.train_fraction)), "sides")
+        return sides.filter("_in_train").drop("_in_train"), sides.filter("NOT _in_train").drop("_in_train")
     if config.split != "random":
         raise ValueError(f"unknown split {config.split!r}")
     # Written, so that both sides come from one draw.
@@ -159,8 +161,8 @@ def run_training(
 ) -> DataFrame:
     """Train on the stored tables, store lists and metrics, return the metrics of the run.
 
-    The split is a rule on the key, so train and test set are scans with a filter: nothing
-    has to stay in memory, and a lost executor costs a rescan. A run can be repeated: its lists
+    The split is a rule on the key and written once beside the ratings, so train and test set are scans with a filter:
+    nothing has to stay in memory, and a lost executor costs a rescan. A run can be repeated: its lists
     replace those of its models, its metrics those of its run id. The metrics come last; they name
     the winner, so an unfinished run has none.
     """

@@ -538,3 +538,13 @@ def test_thinned_candidates_are_enough_for_users_who_have_rated_some(spark, monk
             left = {m for v, m in rows if v == u}
             best = sorted(set(range(600)) - left, key=lambda m: (-scores[u][m], m))[:3]
             assert [got[u, i] for i in (1, 2, 3)] == best
+
+
+def test_a_run_computes_the_digests_of_the_keys_once(spark, rows):
+    from tastewell.plans.training import split_ratings
+
+    ratings = spark.createDataFrame([(u, m, 3.0, 0) for u in range(20) for m in range(20)] + [(None, 1, 2.0, 0), (1, None, 2.0, 0)], RATING)
+    sides = split_ratings(ratings, TrainingConfig())
+    for got, expected in zip(sides, split_by_key(ratings), strict=True):
+        assert got.columns == ratings.columns and rows(got) == rows(expected)
+        assert "md5" not in got._jdf.queryExecution().optimizedPlan().toString()
